@@ -1,0 +1,119 @@
+"""Key joins that stay balanced when a few keys hold much of the data.
+
+Adaptive execution splits a skewed sort-merge join, but not one whose output partitioning
+the next join on the same key relies on, which is exactly the shape of a chain of joins on
+``id``. Here the few hot keys are found first with a mergeable sketch over the key column,
+and only their rows are spread: the table that is hot on a key is cut into ``SPREAD`` parts
+and the other tables' few rows for that key are repeated once per part. Everything else
+takes the plain join. No row is dropped and the choice of path never changes the result.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SPREAD = 64
+# A key is hot when it has at least this many rows and this share of its table.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 0.005
+# The sketch keeps this many counters; it misses no key above about 1/3000 of the rows.
+TRACKED = 4_096
+_SKETCH_KEYS = 256
+
+
+def hot_keys(
+    tables: list[DataFrame], key: str, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
+) -> list[dict]:
+    """Per table, a dict of key value -> row count for the keys that are hot in it.
+
+    One job reads the key column of every table. At most ``1 / hot_share`` keys per table can
+    qualify, so what comes back to the driver is bounded whatever the data size.
+    """
+    tagged = [t.select(F.col(key).alias("k"), F.lit(i).alias("source")) for i, t in enumerate(tables)]
+    found = (
+        reduce(DataFrame.unionAll, tagged)
+        .where(F.col("k").isNotNull())
+        .groupBy("source")
+        .agg(F.count("k").alias("rows"), F.expr(f"approx_top_k(k, {_SKETCH_KEYS}, {TRACKED})").alias("top"))
+        .where(F.col("rows") >= hot_rows)
+        .collect()
+    )
+    hot: list[dict] = [{} for _ in tables]
+    for row in found:
+        limit = max(hot_rows, hot_share * row["rows"])
+        hot[row["source"]] = {t["item"]: t["count"] for t in row["top"] if t["count"] >= limit}
+    return hot
+
+
+def _part_of(df: DataFrame, parts: int) -> Column:
+    # Row content alone would send all copies of one row to one part; the input partition
+    # spreads them, and unlike a random number it is the same when a task is retried.
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns]), F.lit(parts))
+
+
+def _spread(df: DataFrame, parts: int) -> DataFrame:
+    return df.withColumn("__part", _part_of(df, parts).cast("int"))
+
+
+def _repeat(df: DataFrame, parts: int) -> DataFrame:
+    return df.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+
+def _only(df: DataFrame, key: str, values: list) -> DataFrame:
+    return df.where(F.col(key).isin(values))
+
+
+def _without(df: DataFrame, key: str, values: list) -> DataFrame:
+    return df.where(~F.coalesce(F.col(key).isin(values), F.lit(False)))
+
+
+def inner_join_on_key(
+    tables: list[DataFrame], key: str, hot: list[dict] | None = None, parts: int = SPREAD
+) -> DataFrame:
+    """Inner join of all ``tables`` on ``key``, kept once, columns in table order.
+
+    ``hot`` comes from :func:`hot_keys`; it is worked out here when not given.
+    """
+    hot = hot_keys(tables, key) if hot is None else hot
+    spread_by: dict[int, list] = {}
+    for value in sorted({v for counts in hot for v in counts}):
+        largest = max(range(len(tables)), key=lambda i: hot[i].get(value, 0))
+        spread_by.setdefault(largest, []).append(value)
+
+    def chain(parts_of: list[DataFrame], on: list[str]) -> DataFrame:
+        return reduce(lambda left, right: left.join(right, on, "inner"), parts_of)
+
+    if not spread_by:
+        return chain(tables, [key])
+    all_hot = [v for values in spread_by.values() for v in values]
+    branches = [chain([_without(t, key, all_hot) for t in tables], [key])]
+    for owner, values in spread_by.items():
+        cut = [
+            (_spread if i == owner else _repeat)(_only(t, key, values), parts)
+            for i, t in enumerate(tables)
+        ]
+        branches.append(chain(cut, [key, "__part"]).drop("__part"))
+    return reduce(DataFrame.unionByName, branches)
+
+
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    hot: dict | None = None,
+    parts: int = SPREAD,
+) -> DataFrame:
+    """``left``, ``left_anti``, ``left_semi`` or ``inner`` join to a side with unique keys."""
+    hot = hot_keys([left], key)[0] if hot is None else hot
+    if not hot:
+        return left.join(right, key, how)
+    values = sorted(hot)
+    plain = _without(left, key, values).join(right, key, how)
+    split = _spread(_only(left, key, values), parts).join(
+        _repeat(_only(right, key, values), parts), [key, "__part"], how
+    )
+    return plain.unionByName(split.drop("__part"))
