@@ -8,28 +8,31 @@ from lotledger.catalogue.base_sql import over_vehicles
 from lotledger.catalogue.common import accident_pages, inspection_pages, listing_pages
 from lotledger.catalogue.tables import brand_files
 from lotledger.plans import jobs, vehicle_tables as vt
-from lotledger.schemas import INSURANCE_NAMES
+from lotledger.schemas import COLLECTED, ERROR_IDS, INSURANCE_NAMES
 from lotledger.session import new_location
 from lotledger.streaming.collect import collect_stream
 
 TARGET_SHARE = 0.6
 
 
-def _inputs(spark, sf_dir):
-    """Listings, ids stored earlier, ids failed earlier and the two kinds of report."""
+def _stores(spark, sf_dir):
+    """Ids stored earlier, and ids that failed earlier."""
     orders = vt.table(spark, sf_dir, "orders")
     key = F.col("o_orderkey").alias("id")
     return (
-        vt.price(spark, sf_dir),
         orders.where(F.col("o_orderstatus") == "F").select(key),
         orders.where(F.col("o_orderpriority") == "1-URGENT").select(key),
-        inspection_pages(spark, sf_dir),
-        accident_pages(spark, sf_dir),
     )
 
 
+def _collected(spark, sf_dir, target=None):
+    prices = vt.price(spark, sf_dir)
+    reports = jobs.read_reports(inspection_pages(spark, sf_dir), accident_pages(spark, sf_dir))
+    return jobs.incremental_collect(prices, prices, *_stores(spark, sf_dir), reports, target)
+
+
 def incremental_collect(spark, sf_dir):
-    return jobs.incremental_collect(*_inputs(spark, sf_dir))[0]
+    return _collected(spark, sf_dir)[0]
 
 
 def _outcomes(good, bad):
@@ -37,23 +40,36 @@ def _outcomes(good, bad):
 
 
 def incremental_outcomes(spark, sf_dir):
-    return _outcomes(*jobs.incremental_collect(*_inputs(spark, sf_dir)))
+    return _outcomes(*_collected(spark, sf_dir))
 
 
 def incremental_capped(spark, sf_dir):
-    inputs = _inputs(spark, sf_dir)
-    target = int(inputs[0].count() * TARGET_SHARE)
-    return _outcomes(*jobs.incremental_collect(*inputs, target=target))
+    target = int(vt.price(spark, sf_dir).count() * TARGET_SHARE)
+    return _outcomes(*_collected(spark, sf_dir, target))
 
 
-def incremental_stream(spark, sf_dir):
-    """The same collection fed by a stream of listing ids, run until the input is used up."""
-    listings, done, failed, inspections, accidents = _inputs(spark, sf_dir)
+def _streamed(spark, sf_dir):
+    """Both reports of every listing arrive as files of a stream, run until it is used up."""
     root = new_location(spark, "stream")
-    listings.repartition(4, "id").write.parquet(f"{root}/listings")
-    stream = spark.readStream.schema(listings.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/listings")
-    collect_stream(stream, done, failed, inspections, accidents, root).awaitTermination()
-    return spark.read.parquet(f"{root}/collected").drop("batch")
+    prices = vt.price(spark, sf_dir)
+    pages = (
+        prices.select("id")
+        .join(vt.inspection_pages(spark, sf_dir).withColumnRenamed("html", "inspection"), "id", "left")
+        .join(vt.accident_pages(spark, sf_dir).withColumnRenamed("html", "accident"), "id", "left")
+    )
+    pages.repartition(16, "id").write.parquet(f"{root}/pages")
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/pages")
+    collect_stream(stream, prices, *_stores(spark, sf_dir), root).awaitTermination()
+    return root
+
+
+def incremental_stream(spark, sf_dir):
+    stored = spark.read.schema(COLLECTED).parquet(f"{_streamed(spark, sf_dir)}/collected")
+    return stored.select(*COLLECTED.fieldNames())
+
+
+def incremental_stream_errors(spark, sf_dir):
+    return spark.read.schema(ERROR_IDS).parquet(f"{_streamed(spark, sf_dir)}/failed").select("id")
 
 
 def brand_collect(spark, sf_dir):
@@ -76,6 +92,7 @@ QUERIES = {
     "incremental_outcomes": incremental_outcomes,
     "incremental_capped": incremental_capped,
     "incremental_stream": incremental_stream,
+    "incremental_stream_errors": incremental_stream_errors,
     "brand_collect": brand_collect,
     "brand_merge": brand_merge,
 }
@@ -100,6 +117,7 @@ ORACLES = {
     "incremental_stream": _COLLECTED,
     "incremental_outcomes": over_vehicles(
         f"{_TODO} SELECT id, CASE WHEN ok THEN 'ok' ELSE 'error' END AS outcome FROM outcomes"),
+    "incremental_stream_errors": over_vehicles(f"{_TODO} SELECT id FROM outcomes WHERE NOT ok"),
     "incremental_capped": over_vehicles(f"""{_TODO},
         room AS (SELECT (SELECT CAST(floor(count(*) * 0.6) AS BIGINT) FROM orders)
                         - (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n),

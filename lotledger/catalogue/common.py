@@ -16,7 +16,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.clean_history(vehicle_tables.history_raw(spark, sf_dir))
+    """Cleaned from a stored raw table: finding the mean amounts takes a pass of its own."""
+    return jobs.clean_history(materialise(vehicle_tables.history_raw(spark, sf_dir), "history-raw"))
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +33,12 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accident reports as a stored page table, the form in which extraction meets them."""
-    return materialise(vehicle_tables.accident_pages(spark, sf_dir), "accident-pages")
+    return materialise(vehicle_tables.accident_pages(spark, sf_dir), "accident-pages", widen=True)
 
 
 def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(vehicle_tables.inspection_pages(spark, sf_dir), "inspection-pages")
+    return materialise(vehicle_tables.inspection_pages(spark, sf_dir), "inspection-pages", widen=True)
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(vehicle_tables.listing_pages(spark, sf_dir), "listing-pages")
+    return materialise(vehicle_tables.listing_pages(spark, sf_dir), "listing-pages", widen=True)

@@ -35,7 +35,7 @@ def _line_vectors(spark, sf_dir):
     """Line price explained by quantity, stored once for fitting and scoring."""
     lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     vectors = models.assemble(lines, exclude=["l_extendedprice"], keep=["l_orderkey", "l_linenumber"], label="l_extendedprice")
-    return materialise(vectors, "line-vectors")
+    return materialise(vectors, "line-vectors", widen=True)
 
 
 def linear_fit(spark, sf_dir):
@@ -76,7 +76,8 @@ def standardise(spark, sf_dir):
 def _scaled_line_vectors(spark, sf_dir):
     lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
     scaled = categories.standardise(lines, ["l_quantity", "l_extendedprice"])
-    return models.assemble(scaled, exclude=["l_tax", "l_orderkey", "l_linenumber"], label="l_tax")
+    vectors = models.assemble(scaled, exclude=["l_tax", "l_orderkey", "l_linenumber"], label="l_tax")
+    return materialise(vectors, "scaled-vectors", widen=True)
 
 
 def pca_ratios(spark, sf_dir):

@@ -20,6 +20,7 @@ TABLE_CELL = r"(?s)<td[^>]*>(.*?)</td>"
 SPAN_TEXT = r"(?s)<span[^>]*>([^<]*)</span>"
 DEFINITION = r"(?s)<dd[^>]*>([^<]*)</dd>"
 STRONG_TEXT = r"(?s)<strong[^>]*>([^<]*)</strong>"
+LABELLED_CELL = r"(?s)<th[^>]*>([^<]*)</th>\s*<td[^>]*>([^<]*)</td>"
 
 
 class Step(NamedTuple):
@@ -80,45 +81,68 @@ COLLECT_FIELDS: dict[str, list[Step]] = {
 }
 
 
-def nth_match(text: Column, step: Step) -> Column:
-    """Null when the page has fewer matches."""
-    return F.get(F.regexp_extract_all(text, F.lit(step.pattern), F.lit(1)), F.lit(step.position - 1))
+def _once(pages: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are worked out exactly once per page.
+
+    As plain projections they would be copied into every later filter and column that uses
+    them, and page matching repeated each time; nothing is pushed through a generator.
+    """
+    return pages.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def field_at(html: Column, steps: list[Step]) -> Column:
-    return reduce(nth_match, steps, html)
+def _matches(text: Column, patterns: tuple[str, ...]) -> Column:
+    """First-group matches of the first pattern, each split further by the rest: nested arrays."""
+    found = F.regexp_extract_all(text, F.lit(patterns[0]), F.lit(1))
+    return F.transform(found, lambda part: _matches(part, patterns[1:])) if patterns[1:] else found
 
 
 def extract_fields(
     pages: DataFrame, fields: dict[str, list[Step]], keep: list[str], html: str = "html"
 ) -> DataFrame:
-    """One trimmed text column per field, in one pass over the page; a missing node is null."""
-    found = [F.trim(field_at(F.col(html), steps)).alias(name) for name, steps in fields.items()]
-    return pages.select(*keep, *found)
-
+    """One trimmed text column per field; a missing node is null.
 
-def labelled_cell(html: Column, label: str) -> Column:
-    """The ``td`` right after the first ``th`` whose text contains ``label``."""
-    pattern = r"(?s)<th[^>]*>[^<]*\Q" + label + r"\E[^<]*</th>\s*<td[^>]*>([^<]*)</td>"
-    return F.trim(nth_match(html, Step(pattern, 1)))
+    Fields that lie along the same patterns share one nested array, so a block is matched
+    once however many fields it holds.
+    """
+    paths = list(dict.fromkeys(tuple(step.pattern for step in steps) for steps in fields.values()))
+    layout = _once(pages, keep, {f"__path{i}": _matches(F.col(html), path) for i, path in enumerate(paths)})
 
+    def field(steps: list[Step]) -> Column:
+        node = F.col(f"__path{paths.index(tuple(step.pattern for step in steps))}")
+        for step in steps:
+            node = F.get(node, F.lit(step.position - 1))
+        return F.trim(node)
 
-def labelled_item(html: Column, label: str) -> Column:
-    """The first span text of the first list item that contains ``label``."""
-    items = F.regexp_extract_all(html, F.lit(LIST_ITEM), F.lit(1))
-    item = F.get(F.filter(items, lambda text: text.contains(label)), F.lit(0))
-    return F.trim(nth_match(item, Step(SPAN_TEXT, 1)))
+    return layout.select(*keep, *[field(steps).alias(name) for name, steps in fields.items()])
 
 
 def extract_labelled(
     pages: DataFrame, cells: dict[str, str], items: dict[str, str], keep: list[str], html: str = "html"
 ) -> DataFrame:
-    """Fields found by their label instead of their place; ``cells`` in tables, ``items`` in lists."""
+    """Fields found by their label instead of their place; missing labels are null.
+
+    ``cells`` take the ``td`` right after the first ``th`` that contains the label, ``items``
+    the first span text of the first list item that contains it.
+    """
     text = F.col(html)
-    return pages.select(
+    layout = _once(pages, keep, {
+        "__heads": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(1)),
+        "__cells": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(2)),
+        "__items": F.regexp_extract_all(text, F.lit(LIST_ITEM), F.lit(1)),
+    })
+
+    def cell(label: str) -> Column:
+        pairs = F.arrays_zip(F.col("__heads").alias("head"), F.col("__cells").alias("cell"))
+        return F.get(F.filter(pairs, lambda pair: pair["head"].contains(label)), F.lit(0))["cell"]
+
+    def item(label: str) -> Column:
+        found = F.get(F.filter("__items", lambda node: node.contains(label)), F.lit(0))
+        return F.get(F.regexp_extract_all(found, F.lit(SPAN_TEXT), F.lit(1)), F.lit(0))
+
+    return layout.select(
         *keep,
-        *[labelled_cell(text, label).alias(name) for name, label in cells.items()],
-        *[labelled_item(text, label).alias(name) for name, label in items.items()],
+        *[F.trim(cell(label)).alias(name) for name, label in cells.items()],
+        *[F.trim(item(label)).alias(name) for name, label in items.items()],
     )
 
 

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def rounded_mean(df: DataFrame, column: str) -> Column:
-    """Mean of an integer column rounded half to even, as a scalar subquery.
+def rounded_mean(column: str) -> Column:
+    """Aggregate: mean of an integer column rounded half to even.
 
     The sum is exact, so the value does not depend on the order tasks finish in.
     """
     total = F.sum(F.col(column).cast("decimal(38,0)")).cast("double")
-    mean = F.try_divide(total, F.count(column))
-    return df.agg(F.bround(mean).cast("long").alias("fill")).scalar()
+    return F.bround(F.try_divide(total, F.count(column))).cast("long")
 
 
 def to_int(number: Column) -> Column:
@@ -22,5 +21,9 @@ def to_int(number: Column) -> Column:
 
 
 def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Fill the nulls of each column with its rounded mean; known zeros count in the mean."""
-    return df.withColumns({c: F.coalesce(to_int(F.col(c)), rounded_mean(df, c)) for c in columns})
+    """Fill the nulls of each column with its rounded mean; known zeros count in the mean.
+
+    All means come from one scalar subquery, which reads only these columns.
+    """
+    means = df.agg(F.struct(*[rounded_mean(c).alias(c) for c in columns]).alias("means")).scalar()
+    return df.withColumns({c: F.coalesce(to_int(F.col(c)), means[c]) for c in columns})

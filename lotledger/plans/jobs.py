@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,7 +117,7 @@ def _train(
     one = filter_model(features, model_name)
     rows = models.assemble(one, keep=[split_key] if split_key else None, on_null=on_null)
     # Split, fit and evaluation all read these rows: write the assembled vectors once.
-    rows = materialise(rows, "assembled")
+    rows = materialise(rows, "assembled", widen=True)
     if split_key:
         marked = models.hash_split(rows, split_key)
         train, test = marked.where("is_train"), marked.where(~F.col("is_train"))
@@ -148,7 +149,7 @@ def pca_diagnosis(features: DataFrame, model_name: str, on_null: str = "error")
     coded = categories.one_hot(one, [name for name, kind in one.dtypes if kind == "string"])
     inputs = [c for c in coded.columns if c != "price"]
     vectors = models.assemble(categories.standardise(coded, inputs), exclude=["price"])
-    vectors = materialise(vectors, "pca-vectors")
+    vectors = materialise(vectors, "pca-vectors", widen=True)
     fitted = models.fit_pca(vectors, len(inputs))
     return models.pca_ratios(fitted, vectors), models.pca_scores(fitted, vectors)
 
@@ -158,49 +159,56 @@ def mean_price_by_model(vehicles: DataFrame) -> DataFrame:
     return mean_by(drop_outliers(vehicles, "model", "price", ddof=0, passes=2), "model", "price")
 
 
+_COLLECTED_FIELDS = [name for name in COLLECTED.fieldNames() if name not in ("id", "price")]
+
+
+def _collected(rows: DataFrame) -> DataFrame:
+    """Tokens cut out of the extracted texts, and ``is_ok`` when no field is missing."""
+    cut = rows.withColumns({
+        "car_number": nth_token(F.col("car_title"), ", ", 2, " "),
+        "registration_date": nth_token(F.col("registered"), " ", -1, ")"),
+        "transmission": nth_token(F.col("gearbox"), " ", -1, ")"),
+    })
+    complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in _COLLECTED_FIELDS])
+    return cut.select("id", *_COLLECTED_FIELDS, complete.alias("is_ok"))
+
+
 def read_reports(inspections: DataFrame, accidents: DataFrame) -> DataFrame:
-    """The collected fields of both reports for every inspected id, with ``is_ok``.
+    """The collected fields of both report tables per inspected id, with ``is_ok``.
 
-    A report that is absent or lacks a field makes the row not ok.
+    Pages are read where they are stored; only the short fields are joined.
     """
     inspected = extract.extract_fields(inspections, extract.COLLECT_FIELDS, ["id"])
     named = extract.extract_fields(accidents, extract.ACCIDENT_SUMMARY_FIELDS, ["id"])
-    fields = [f.name for f in COLLECTED.fields if f.name not in ("id", "price")]
-    rows = (
-        inspected.join(named, "id", "left")
-        .withColumns({
-            "car_number": nth_token(F.col("car_title"), ", ", 2, " "),
-            "registration_date": nth_token(F.col("registered"), " ", -1, ")"),
-            "transmission": nth_token(F.col("gearbox"), " ", -1, ")"),
-        })
-        .select("id", *fields)
-    )
-    complete = F.lit(True)
-    for name in fields:
-        complete = complete & F.col(name).isNotNull()
-    return rows.withColumn("is_ok", complete)
+    return _collected(inspected.join(named, "id", "left"))
+
+
+def read_report_pairs(pages: DataFrame) -> DataFrame:
+    """The same from rows that carry both pages of an id as ``inspection`` and ``accident``."""
+    inspected = extract.extract_fields(pages, extract.COLLECT_FIELDS, ["id", "accident"], html="inspection")
+    fields = [c for c in inspected.columns if c != "accident"]
+    return _collected(extract.extract_fields(inspected, extract.ACCIDENT_SUMMARY_FIELDS, fields, html="accident"))
 
 
 def incremental_collect(
-    listings: DataFrame, done: DataFrame, failed: DataFrame,
-    inspections: DataFrame, accidents: DataFrame, target: int | None = None,
-    listing_order: list[str] = ["price"],
+    ids: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, reports: DataFrame,
+    target: int | None = None, price_order: list[str] = ["price"],
 ) -> tuple[DataFrame, DataFrame]:
     """New complete rows, and the ids that failed, of one resumed collection.
 
     Ids already stored or failed are skipped. With a ``target`` ids are taken in order until
     the stored rows reach it; ids after that point are neither stored nor failed.
     """
-    todo = exclude_ids(listings.select("id"), done, failed).distinct()
-    read = todo.join(read_reports(inspections, accidents), "id", "left")
-    read = materialise(read.withColumn("is_ok", F.coalesce("is_ok", F.lit(False))), "collected")
-    good, bad = read.where("is_ok").drop("is_ok"), read.where(~F.col("is_ok")).select("id")
+    todo = exclude_ids(ids.select("id").distinct(), done, failed, hot={})
+    read = todo.join(reports, "id", "left").withColumn("is_ok", F.coalesce("is_ok", F.lit(False)))
+    good, bad = writers.split_ok_error(materialise(read, "collected"))
     if target is not None:
         room = max(0, target - done.select("id").distinct().count())
         good = materialise(first_rows(good, ["id"], room), "collected-capped")
         stop = good.agg(F.when(F.count("id") >= room, F.coalesce(F.max("id"), F.lit(-1))).alias("stop")).first()["stop"]
         bad = bad if stop is None else bad.where(F.col("id") < stop)
-    priced = lookup_default(good, listings, "id", "price", PRICE_MISSING_TEXT, listing_order)
+    # Good ids are distinct, so none of them can be hot.
+    priced = lookup_default(good, prices, "id", "price", PRICE_MISSING_TEXT, price_order, hot={})
     return priced.select(*COLLECTED.fieldNames()), bad
 
 

@@ -48,12 +48,18 @@ def new_location(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lotledger/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, widen: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where a result is read more than once: later passes prune columns, and a lost
     executor re-reads files instead of recomputing the joins and aggregates behind them.
+    ``widen`` gives heavy work after a map-only plan over a few small files a task per core;
+    larger inputs already have more files than that and are left as they are.
     """
-    path = new_location(df.sparkSession, label)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if widen and len(df.inputFiles()) < cores:
+        df = df.repartition(cores)
+    path = new_location(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Resumable collection over a stream of listing ids."""
+"""Resumable collection over a stream of report pages."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lotledger.plans.jobs import incremental_collect
+from lotledger.plans.jobs import incremental_collect, read_report_pairs
 from lotledger.schemas import COLLECTED, ERROR_IDS
 from lotledger.sources.readers import read_or_empty
 
@@ -19,31 +19,31 @@ def _batches(spark: SparkSession, path: str, schema: T.StructType, before: int)
 
 
 def collect_stream(
-    listings: DataFrame, done: DataFrame, failed: DataFrame, inspections: DataFrame, accidents: DataFrame,
-    root: str, target: int | None = None,
+    pages: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, root: str, target: int | None = None
 ) -> StreamingQuery:
-    """Collect each batch of streamed listings once, good rows and failed ids apart.
+    """Collect streamed report pages once per id, good rows and failed ids apart.
 
-    ``foreachBatch`` may run a batch again after a failure. Each batch owns one folder of
-    each output and overwrites it, and only looks at ids stored by earlier batches, so a
-    repeated batch gives the same files and no id is stored twice.
+    ``pages`` rows are ``id, inspection, accident``, a page being null when it was not
+    disclosed. A batch reads its own pages and, of what is stored, only the id columns.
+    ``foreachBatch`` may run a batch again after a failure: each batch owns one folder of
+    each output, overwrites it, and looks only at ids stored by earlier batches, so a
+    repeated batch gives the same rows and no id is stored twice.
     """
     good_path, bad_path = f"{root}/collected", f"{root}/failed"
 
     def one_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        ids = batch.select("id", "price")
         stored = _batches(spark, good_path, COLLECTED, number).select("id")
         lost = _batches(spark, bad_path, ERROR_IDS, number).select("id")
         good, bad = incremental_collect(
-            ids, done.select("id").unionAll(stored), failed.select("id").unionAll(lost),
-            inspections, accidents, target,
+            batch.select("id"), prices, done.select("id").unionAll(stored), failed.select("id").unionAll(lost),
+            read_report_pairs(batch), target,
         )
         good.write.mode("overwrite").parquet(f"{good_path}/batch={number}")
         bad.write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
 
     return (
-        listings.writeStream.foreachBatch(one_batch)
+        pages.writeStream.foreachBatch(one_batch)
         .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()
