@@ -1,14 +1,17 @@
 """Per-group statistics on every row, z-scores and outlier filters.
 
-A window over the group would sort each group in one task. Statistics are therefore
-aggregated (each task sends one partial row per group) and joined back by size:
-small statistics are broadcast, which needs no shuffle of the rows at all; large ones are
-joined by key, with the groups too big for one task still taken from a bounded broadcast.
+A window brings each group whole into one task, which fails for a group that holds a third
+of the rows. Statistics are therefore aggregated first (each task sends one partial row per
+group), and their size decides how they get back to the rows: small statistics are
+broadcast, which needs no shuffle of the rows at all; when there are too many groups for
+that, a window serves all groups that fit a task and only the few larger ones, whose number
+is bounded, are broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotledger.schemas import OUTLIER_Z
@@ -35,43 +38,42 @@ def group_stats(df: DataFrame, key: str, value: str, ddof: int = 1) -> DataFrame
 
 def attach_stats(
     df: DataFrame,
-    stats: DataFrame,
     key: str,
+    value: str,
+    ddof: int = 1,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """Join statistics back to the rows of their group; null keys form one group."""
-    stats = materialise(stats, "group-stats")
+    """Add ``__mean`` and ``__sd`` of the row's group; null keys form one group."""
+    stats = materialise(group_stats(df, key, value, ddof), "group-stats")
+    key_bytes = F.coalesce(F.octet_length(F.col("__key").cast("string")), F.lit(0))
     size = stats.agg(
-        F.coalesce(F.sum(F.coalesce(F.octet_length(F.col("__key").cast("string")), F.lit(0)) + _ROW_OVERHEAD), F.lit(0))
-        .alias("bytes"),
+        F.coalesce(F.sum(key_bytes + _ROW_OVERHEAD), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("__rows"), F.lit(0)).alias("largest"),
     ).first()
 
-    def joined(rows: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
-        return rows.join(side, F.col(key).eqNullSafe(F.col("__key")), how)
+    def from_broadcast(small: DataFrame, how: str = "inner") -> DataFrame:
+        return df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col("__key")), how)
+
+    def from_window(groups: DataFrame) -> DataFrame:
+        group = W.partitionBy(key)
+        return groups.withColumns({"__mean": F.avg(value).over(group), "__sd": _SD[ddof](value).over(group)})
 
     if size["bytes"] <= broadcast_bytes:
-        return joined(df, F.broadcast(stats)).drop("__key", "__rows")
+        return from_broadcast(stats).drop("__key", "__rows")
     # At most 1 / HOT_GROUP_SHARE groups can be hot, so their statistics are always small.
     hot_rows = max(hot_group_rows, int(HOT_GROUP_SHARE * size["rows"]))
     if size["largest"] < hot_rows:
-        return joined(df, stats).drop("__key", "__rows")
-    hot = F.broadcast(stats.where(F.col("__rows") >= hot_rows))
-    cold = stats.where(F.col("__rows") < hot_rows)
-    in_hot = joined(df, hot)
-    in_cold = joined(joined(df, hot.select("__key"), "left_anti"), cold)
-    return in_hot.unionByName(in_cold).drop("__key", "__rows")
+        return from_window(df)
+    hot = stats.where(F.col("__rows") >= hot_rows).drop("__rows")
+    cold_groups = from_broadcast(hot.select("__key"), "left_anti")
+    return from_broadcast(hot).drop("__key").unionByName(from_window(cold_groups))
 
 
 def _with(df: DataFrame, key: str, value: str, ddof: int, **columns: Column) -> DataFrame:
     """Add ``columns``, written over ``__mean`` and ``__sd`` of the row's group."""
-    return (
-        attach_stats(df, group_stats(df, key, value, ddof), key)
-        .withColumns(columns)
-        .drop("__mean", "__sd")
-    )
+    return attach_stats(df, key, value, ddof).withColumns(columns).drop("__mean", "__sd")
 
 
 def with_group_mean(df: DataFrame, key: str, value: str, name: str = "mean_price") -> DataFrame:

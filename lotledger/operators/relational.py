@@ -5,13 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotledger.operators.skew import inner_join_on_key, join_unique
 from lotledger.schemas import INSURANCE_NAMES, NOT_FEATURES, ROW_CAP
 
-_CAP_BUCKETS = 256
+_LAST_MERGE = 16
 
 
 def rename_all(df: DataFrame, names: list[str]) -> DataFrame:
@@ -38,12 +37,20 @@ def join_on(
     return inner_join_on_key([left, right.withColumnRenamed(right_key, left_key)], left_key, hot)
 
 
-def remaining_ids(all_ids: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
-    """Distinct ids of ``all_ids`` that are not in ``done``.
+def _per_id(all_ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """One row per distinct id with ``listed`` and ``stored`` as 0 or 1.
 
-    Both sides are made distinct first, so copies of an id vanish before the shuffle.
+    A tagged union needs one shuffle, and copies of an id collapse before it.
     """
-    return all_ids.select(key).distinct().subtract(done.select(key).distinct())
+    tagged = all_ids.select(key, F.lit(1).alias("listed"), F.lit(0).alias("stored")).unionAll(
+        done.select(key, F.lit(0), F.lit(1))
+    )
+    return tagged.groupBy(key).agg(F.max("listed").alias("listed"), F.max("stored").alias("stored"))
+
+
+def remaining_ids(all_ids: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
+    """Distinct ids of ``all_ids`` that are not in ``done``."""
+    return _per_id(all_ids, done, key).where("listed = 1 AND stored = 0").select(key)
 
 
 def exclude_ids(all_ids: DataFrame, *excluded: DataFrame, key: str = "id", hot: dict | None = None) -> DataFrame:
@@ -80,20 +87,23 @@ def concat_tables(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def _first_of_each_task(df: DataFrame, order: list[str], rows: int) -> DataFrame:
+    """The first ``rows`` rows of every task's input; no shuffle."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    return df.sortWithinPartitions(*order).withColumn("__place", place).where(F.col("__place") < rows).drop("__place")
+
+
 def first_rows(df: DataFrame, order: list[str], rows: int) -> DataFrame:
     """The first ``rows`` rows in ``order``.
 
-    A plain top-n merges every task's candidates in one task. With a large ``rows`` and many
-    input partitions that task is the bottleneck, so candidates are first merged in
-    ``_CAP_BUCKETS`` groups of input partitions; each map task feeds one group only.
+    A plain top-n merges every task's candidates in one place, too many when both ``rows``
+    and the number of tasks are large. Here each task cuts its own input first; what is left
+    is merged over the session's shuffle width, then over ``_LAST_MERGE`` tasks, then once.
     """
-    by_bucket = W.partitionBy("__bucket").orderBy(*order)
-    kept = (
-        df.withColumn("__bucket", F.spark_partition_id() % F.lit(_CAP_BUCKETS))
-        .withColumn("__rank", F.row_number().over(by_bucket))
-        .where(F.col("__rank") <= rows)
-        .drop("__bucket", "__rank")
-    )
+    kept = _first_of_each_task(df, order, rows)
+    for width in ([], [_LAST_MERGE]):
+        kept = kept.withColumn("__from", F.spark_partition_id()).repartition(*width, "__from").drop("__from")
+        kept = _first_of_each_task(kept, order, rows)
     return kept.orderBy(*order).limit(rows)
 
 
@@ -135,14 +145,10 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def progress_counts(all_ids: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
-    """One row: distinct ``total``, ``done`` and ``remaining`` ids, in one shuffle."""
-    tagged = all_ids.select(key, F.lit(1).alias("listed"), F.lit(0).alias("stored")).unionAll(
-        done.select(key, F.lit(0), F.lit(1))
-    )
-    per_id = tagged.groupBy(key).agg(F.max("listed").alias("listed"), F.max("stored").alias("stored"))
-
-    def count(condition: Column, name: str) -> Column:
-        return F.count(F.when(condition, 1)).alias(name)
-
+    """One row: distinct ``total``, ``done`` and ``remaining`` ids."""
     listed, stored = F.col("listed") == 1, F.col("stored") == 1
-    return per_id.agg(count(listed, "total"), count(stored, "done"), count(listed & ~stored, "remaining"))
+    return _per_id(all_ids, done, key).where(F.col(key).isNotNull()).agg(
+        F.count_if(listed).alias("total"),
+        F.count_if(stored).alias("done"),
+        F.count_if(listed & ~stored).alias("remaining"),
+    )

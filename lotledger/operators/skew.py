@@ -19,9 +19,10 @@ SPREAD = 64
 # A key is hot when it has at least this many rows and this share of its table.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 0.005
-# The sketch keeps this many counters; it misses no key above about 1/3000 of the rows.
-TRACKED = 4_096
+# Counters kept per sketch: a key above about 1/400 of the rows is never missed.
+TRACKED = 1_024
 _SKETCH_KEYS = 256
+_SKETCH_GROUPS = 512
 
 
 def hot_keys(
@@ -29,15 +30,21 @@ def hot_keys(
 ) -> list[dict]:
     """Per table, a dict of key value -> row count for the keys that are hot in it.
 
-    One job reads the key column of every table. At most ``1 / hot_share`` keys per table can
-    qualify, so what comes back to the driver is bounded whatever the data size.
+    One job reads the key column of every table. Each task sends one small sketch, sketches
+    are merged in two levels, and at most ``1 / hot_share`` keys per table come back to the
+    driver, whatever the data size.
     """
     tagged = [t.select(F.col(key).alias("k"), F.lit(i).alias("source")) for i, t in enumerate(tables)]
     found = (
         reduce(DataFrame.unionAll, tagged)
         .where(F.col("k").isNotNull())
+        .groupBy("source", (F.spark_partition_id() % _SKETCH_GROUPS).alias("part"))
+        .agg(F.count("k").alias("rows"), F.expr(f"approx_top_k_accumulate(k, {TRACKED})").alias("sketch"))
         .groupBy("source")
-        .agg(F.count("k").alias("rows"), F.expr(f"approx_top_k(k, {_SKETCH_KEYS}, {TRACKED})").alias("top"))
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {_SKETCH_KEYS})").alias("top"),
+        )
         .where(F.col("rows") >= hot_rows)
         .collect()
     )

@@ -44,8 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_location(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/lotledger/{label}-{uuid.uuid4().hex}"
+    """An unused path under the shared folder, in this application's own subfolder.
+
+    Intermediate tables are left there; the subfolder can go once the application has ended.
+    """
+    return f"{shared_dir(spark)}/lotledger/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str, widen: bool = False) -> DataFrame:

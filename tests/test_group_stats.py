@@ -54,7 +54,7 @@ def test_drop_outliers(spark, ddof, passes):
 ])
 def test_join_back_paths_agree(spark, limits):
     df = spark.createDataFrame(sample_rows(), "g string, v double, i int")
-    got = gs.attach_stats(df, gs.group_stats(df, "g", "v"), "g", **limits)
+    got = gs.attach_stats(df, "g", "v", **limits)
     by_group = {}
     for g, v, _ in sample_rows():
         by_group.setdefault(g, []).append(v)
