@@ -61,7 +61,7 @@ QUERIES = {
     "parse_mileage": _one(vt.status, "mileage", ff.parse_mileage),
     "digits_only": _one(vt.status, "mileage", ff.digits_only),
     "parse_cc": _one(vt.history_raw, "cc", ff.parse_cc),
-    "parse_date": _one(vt.history_raw, "registration_date", ff.parse_date),
+    "parse_date": _one(vt.history_raw, "registration_date", lambda c: ff.parse_date(c).cast("string")),
     "car_age": _one(vt.history_raw, "registration_date", lambda c: ff.car_age(c, AS_OF), "car_age"),
     "log_features": log_features,
     "saturate": _one(vt.status, "mileage", lambda c: ff.saturate(ff.parse_mileage(c))),
@@ -98,7 +98,7 @@ ORACLES = {
     "digits_only": over_vehicles(
         "SELECT id, TRY_CAST(regexp_replace(mileage, '[^0-9]', '', 'g') AS INTEGER) AS mileage FROM status"),
     "parse_cc": over_vehicles("SELECT id, TRY_CAST(replace(cc, 'cc', '') AS INTEGER) AS cc FROM history_raw"),
-    "parse_date": over_vehicles(f"SELECT id, {_DAY} AS registration_date FROM history_raw"),
+    "parse_date": over_vehicles(f"SELECT id, CAST({_DAY} AS VARCHAR) AS registration_date FROM history_raw"),
     "car_age": over_vehicles(
         f"SELECT id, round(date_diff('day', {_DAY}, DATE '{AS_OF}') / 365.25, 6) AS car_age FROM history_raw"),
     "log_features": over_vehicles("""

@@ -168,6 +168,7 @@ ORACLES = {
         UNION ALL SELECT 2, round((1 - abs(corr(l_quantity, l_extendedprice))) / 2, 6) FROM lineitem""",
     "pca_scores": """
         SELECT round(((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER ()
-                      + (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER ()) / sqrt(2), 5)
+                      + sign(corr(l_quantity, l_extendedprice) OVER ())
+                        * (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER ()) / sqrt(2), 5)
                AS pc1, round(l_tax, 5) AS label FROM lineitem""",
 }

@@ -74,9 +74,14 @@ def pca_ratios(model: PCAModel, vectors: DataFrame) -> DataFrame:
 
 
 def pca_scores(model: PCAModel, vectors: DataFrame, components: int = 2) -> DataFrame:
-    """``pc1 .. pcN`` beside ``label``; each component points where its largest loading is positive."""
+    """``pc1 .. pcN`` beside ``label``.
+
+    A component's sign is arbitrary: it is set so that the largest loading is positive, the
+    first of them when several are equally large.
+    """
     loadings = model.pc.toArray()
-    signs = [1.0 if loadings[abs(loadings[:, i]).argmax(), i] >= 0 else -1.0 for i in range(components)]
+    largest = abs(loadings).round(9).argmax(axis=0)
+    signs = [1.0 if loadings[largest[i], i] >= 0 else -1.0 for i in range(components)]
     scores = vector_to_array("scores")
     return model.transform(vectors).select(
         *[(scores[i] * F.lit(signs[i])).alias(f"pc{i + 1}") for i in range(components)],
