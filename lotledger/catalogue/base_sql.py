@@ -65,7 +65,7 @@ status AS (
          CASE WHEN o_orderkey % 12 = 3 THEN '있음 / 렌트' ELSE '없음' END AS usage_change,
          CASE WHEN o_orderkey % 13 = 3 THEN '있음' ELSE '없음' END AS accident,
          CASE WHEN o_orderkey % 5 = 3 THEN '있음' WHEN o_orderkey % 101 = 0 THEN NULL ELSE '없음' END AS little_accident
-  FROM orders WHERE o_orderkey % 8 <> 5),
+  FROM orders WHERE dayofweek(o_orderdate) <> 6),
 vehicles AS (SELECT * FROM price JOIN history USING (id) JOIN status USING (id)),
 spread AS (
   SELECT *, avg(price) OVER m AS mean_price, stddev_samp(price) OVER m AS sd, stddev_pop(price) OVER m AS sd_pop

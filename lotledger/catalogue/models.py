@@ -15,10 +15,10 @@ ONE_MODEL = "3-MEDIUM"
 
 
 def assembled(spark, sf_dir):
-    numbers = history(spark, sf_dir).select("id", "owner_changed", "total_loss", "damaged_count", "damaged_total", "damaged_by_other_total")
-    vectors = models.assemble(numbers, exclude=["damaged_by_other_total"], keep=["id"], label="damaged_by_other_total", on_null="skip")
+    names, label = ["owner_changed", "total_loss", "damaged_count", "damaged_total"], "damaged_by_other_total"
+    numbers = history(spark, sf_dir).select("id", *names, label)
+    vectors = models.assemble(numbers, exclude=[label], keep=["id"], label=label, on_null="skip")
     parts = vector_to_array("features")
-    names = ["owner_changed", "total_loss", "damaged_count", "damaged_total"]
     return vectors.select("id", "label", *[parts[i].alias(c) for i, c in enumerate(names)])
 
 
@@ -34,7 +34,8 @@ def random_split(spark, sf_dir):
 def _line_vectors(spark, sf_dir):
     """Line price explained by quantity, stored once for fitting and scoring."""
     lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    vectors = models.assemble(lines, exclude=["l_extendedprice"], keep=["l_orderkey", "l_linenumber"], label="l_extendedprice")
+    keys, label = ["l_orderkey", "l_linenumber"], "l_extendedprice"
+    vectors = models.assemble(lines, exclude=[label], keep=keys, label=label)
     return materialise(vectors, "line-vectors", widen=True)
 
 
@@ -74,9 +75,9 @@ def standardise(spark, sf_dir):
 
 
 def _scaled_line_vectors(spark, sf_dir):
-    lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
+    lines = vt.table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_tax")
     scaled = categories.standardise(lines, ["l_quantity", "l_extendedprice"])
-    vectors = models.assemble(scaled, exclude=["l_tax", "l_orderkey", "l_linenumber"], label="l_tax")
+    vectors = models.assemble(scaled, exclude=["l_tax"], label="l_tax")
     return materialise(vectors, "scaled-vectors", widen=True)
 
 

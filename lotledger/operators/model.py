@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import (
+    LinearRegression, LinearRegressionModel, RandomForestRegressionModel, RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

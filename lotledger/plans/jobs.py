@@ -162,6 +162,14 @@ def mean_price_by_model(vehicles: DataFrame) -> DataFrame:
 _COLLECTED_FIELDS = [name for name in COLLECTED.fieldNames() if name not in ("id", "price")]
 
 
+def _one_per_id(rows: DataFrame) -> DataFrame:
+    """The most complete row of every id; a page stored many times collapses before the shuffle."""
+    fields = [c for c in rows.columns if c != "id"]
+    filled = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in fields])
+    best = F.max(F.struct(filled.alias("__filled"), *fields)).alias("best")
+    return rows.groupBy("id").agg(best).select("id", *[F.col("best")[c].alias(c) for c in fields])
+
+
 def _collected(rows: DataFrame) -> DataFrame:
     """Tokens cut out of the extracted texts, and ``is_ok`` when no field is missing."""
     cut = rows.withColumns({
@@ -174,12 +182,12 @@ def _collected(rows: DataFrame) -> DataFrame:
 
 
 def read_reports(inspections: DataFrame, accidents: DataFrame) -> DataFrame:
-    """The collected fields of both report tables per inspected id, with ``is_ok``.
+    """The collected fields of both report tables, one row per inspected id, with ``is_ok``.
 
-    Pages are read where they are stored; only the short fields are joined.
+    Pages are read where they are stored; only the short fields are shuffled and joined.
     """
-    inspected = extract.extract_fields(inspections, extract.COLLECT_FIELDS, ["id"])
-    named = extract.extract_fields(accidents, extract.ACCIDENT_SUMMARY_FIELDS, ["id"])
+    inspected = _one_per_id(extract.extract_fields(inspections, extract.COLLECT_FIELDS, ["id"]))
+    named = _one_per_id(extract.extract_fields(accidents, extract.ACCIDENT_SUMMARY_FIELDS, ["id"]))
     return _collected(inspected.join(named, "id", "left"))
 
 
@@ -187,7 +195,8 @@ def read_report_pairs(pages: DataFrame) -> DataFrame:
     """The same from rows that carry both pages of an id as ``inspection`` and ``accident``."""
     inspected = extract.extract_fields(pages, extract.COLLECT_FIELDS, ["id", "accident"], html="inspection")
     fields = [c for c in inspected.columns if c != "accident"]
-    return _collected(extract.extract_fields(inspected, extract.ACCIDENT_SUMMARY_FIELDS, fields, html="accident"))
+    both = extract.extract_fields(inspected, extract.ACCIDENT_SUMMARY_FIELDS, fields, html="accident")
+    return _collected(_one_per_id(both))
 
 
 def incremental_collect(
@@ -196,7 +205,7 @@ def incremental_collect(
 ) -> tuple[DataFrame, DataFrame]:
     """New complete rows, and the ids that failed, of one resumed collection.
 
-    Ids already stored or failed are skipped. With a ``target`` ids are taken in order until
+    ``reports`` has one row per id, as :func:`read_reports` gives it. Ids already stored or failed are skipped. With a ``target`` ids are taken in order until
     the stored rows reach it; ids after that point are neither stored nor failed.
     """
     todo = exclude_ids(ids.select("id").distinct(), done, failed, hot={})
@@ -205,7 +214,8 @@ def incremental_collect(
     if target is not None:
         room = max(0, target - done.select("id").distinct().count())
         good = materialise(first_rows(good, ["id"], room), "collected-capped")
-        stop = good.agg(F.when(F.count("id") >= room, F.coalesce(F.max("id"), F.lit(-1))).alias("stop")).first()["stop"]
+        last = F.coalesce(F.max("id"), F.lit(-1))
+        stop = good.agg(F.when(F.count("id") >= room, last)).first()[0]
         bad = bad if stop is None else bad.where(F.col("id") < stop)
     # Good ids are distinct, so none of them can be hot.
     priced = lookup_default(good, prices, "id", "price", PRICE_MISSING_TEXT, price_order, hot={})
@@ -216,13 +226,14 @@ def collect_by_brand(listings: DataFrame, accidents: DataFrame, path: str) -> Da
     """Accident fields of every id listed under a brand, one folder per brand.
 
     ``listings`` are listing pages with a ``brand`` column. Reports with a missing field are
-    left out. An id listed under two brands is kept under both.
+    left out. An id has one row per brand it is listed under.
     """
     nodes = extract.explode_nodes(listings, extract.LISTING_NODE, ["brand"])
     attributes = nodes.select("brand", extract.node_attribute(F.col("node")).alias("attribute"))
     ids = extract.listing_ids(attributes, ["brand"])
     fields = {name: extract.ACCIDENT_FIELDS[name] for name in INSURANCE_NAMES["current"] if name != "id"}
-    reports = extract.require_all(extract.extract_fields(accidents, fields, ["id"]), list(fields))
+    reports = _one_per_id(extract.extract_fields(accidents, fields, ["id"]))
+    reports = extract.require_all(reports, list(fields))
     rows = ids.withColumn("id", F.col("id").try_cast("long")).join(reports, "id")
     writers.write_by_brand(rows, path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

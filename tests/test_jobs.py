@@ -86,6 +86,14 @@ def test_separate_report_tables_give_the_same_rows(spark):
     assert sorted(map(tuple, pair.collect())) == sorted(map(tuple, apart.collect()))
 
 
+def test_a_report_stored_many_times_is_one_row(spark, prices):
+    pages = report_pages(spark)
+    many = pages.unionAll(pages.where("id = 5")).unionAll(pages.where("id = 5").withColumn("accident", F.lit(None)))
+    assert sorted(map(tuple, jobs.read_report_pairs(many).collect())) == sorted(map(tuple, jobs.read_report_pairs(pages).collect()))
+    good, _ = jobs.incremental_collect(many, prices, ids(spark), ids(spark), jobs.read_report_pairs(many))
+    assert found(good) == [1, 2, 3, 4, 5, 6]
+
+
 def test_stream_resumes_without_repeats(spark, prices, tmp_path):
     pages = report_pages(spark, broken={3})
     landing, root = f"{tmp_path}/landing", f"{tmp_path}/out"
