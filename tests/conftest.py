@@ -13,6 +13,7 @@ def spark():
     session = build_session(
         "local[8]", "tests", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__default__parallelism="2",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,6 +1,8 @@
 """Claim texts, numbers and imputation on literal rows."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lotledger.functions.claims import claims_text, extract_number, parse_claims
@@ -77,3 +79,16 @@ def test_clean_history_schema_and_values(spark):
     assert (first.license_changed, first.owner_changed, first.flood) == (1, 2, 1)
     assert (first.damaged_count, first.damaged_total) == (None, 101)
     assert (first.damaged_by_other_count, first.damaged_by_other_total) == (1, 500)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(
+    st.tuples(st.integers(0, 99), st.integers(0, 10**12), st.sampled_from(["{c}회{a:,}원", "{c}회/{a:,}원", "{c}회미확정", "{c}회/미확정"])),
+    min_size=20, max_size=60,
+))
+def test_written_claims_read_back(spark, claims):
+    rows = [(i, form.format(c=c, a=a)) for i, (c, a, form) in enumerate(claims)]
+    got = spark.createDataFrame(rows, "i int, t string").select("i", parse_claims(F.col("t")).alias("p")).collect()
+    for row in got:
+        count, amount, form = claims[row.i]
+        assert (row.p["count"], row.p["total"]) == (count, None if "미확정" in form else amount)
