@@ -201,12 +201,13 @@ def read_report_pairs(pages: DataFrame) -> DataFrame:
 
 def incremental_collect(
     ids: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, reports: DataFrame,
-    target: int | None = None, price_order: list[str] = ["price"],
+    target: int | None = None, price_order: tuple[str, ...] = ("price",),
 ) -> tuple[DataFrame, DataFrame]:
     """New complete rows, and the ids that failed, of one resumed collection.
 
-    ``reports`` has one row per id, as :func:`read_reports` gives it. Ids already stored or failed are skipped. With a ``target`` ids are taken in order until
-    the stored rows reach it; ids after that point are neither stored nor failed.
+    ``reports`` has one row per id, as :func:`read_reports` gives it. Ids already stored or
+    failed are skipped. With a ``target`` ids are taken in order until the stored rows reach
+    it; ids after that point are neither stored nor failed.
     """
     todo = exclude_ids(ids.select("id").distinct(), done, failed, hot={})
     read = todo.join(reports, "id", "left").withColumn("is_ok", F.coalesce("is_ok", F.lit(False)))
@@ -214,11 +215,11 @@ def incremental_collect(
     if target is not None:
         room = max(0, target - done.select("id").distinct().count())
         good = materialise(first_rows(good, ["id"], room), "collected-capped")
-        last = F.coalesce(F.max("id"), F.lit(-1))
+        last = F.coalesce(F.max("id"), F.lit(-(2**63)))
         stop = good.agg(F.when(F.count("id") >= room, last)).first()[0]
         bad = bad if stop is None else bad.where(F.col("id") < stop)
     # Good ids are distinct, so none of them can be hot.
-    priced = lookup_default(good, prices, "id", "price", PRICE_MISSING_TEXT, price_order, hot={})
+    priced = lookup_default(good, prices, "id", "price", PRICE_MISSING_TEXT, list(price_order), hot={})
     return priced.select(*COLLECTED.fieldNames()), bad
 
 
