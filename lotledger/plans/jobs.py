@@ -218,8 +218,9 @@ def incremental_collect(
         last = F.coalesce(F.max("id"), F.lit(-(2**63)))
         stop = good.agg(F.when(F.count("id") >= room, last)).first()[0]
         bad = bad if stop is None else bad.where(F.col("id") < stop)
-    # Good ids are distinct, so none of them can be hot.
-    priced = lookup_default(good, prices, "id", "price", PRICE_MISSING_TEXT, list(price_order), hot={})
+    # Few new rows leave few prices to look through. Good ids are distinct, so none can be hot.
+    wanted = prices.join(good.select("id"), "id", "left_semi")
+    priced = lookup_default(good, wanted, "id", "price", PRICE_MISSING_TEXT, list(price_order), hot={})
     return priced.select(*COLLECTED.fieldNames()), bad
 
 

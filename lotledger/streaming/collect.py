@@ -33,12 +33,12 @@ def collect_stream(
 
     def one_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        stored = _batches(spark, good_path, COLLECTED, number).select("id")
-        lost = _batches(spark, bad_path, ERROR_IDS, number).select("id")
-        good, bad = incremental_collect(
-            batch.select("id"), prices, done.select("id").unionAll(stored), failed.select("id").unionAll(lost),
-            read_report_pairs(batch), target,
-        )
+        stored = done.select("id").unionAll(_batches(spark, good_path, COLLECTED, number).select("id"))
+        lost = failed.select("id").unionAll(_batches(spark, bad_path, ERROR_IDS, number).select("id"))
+        ids = batch.select("id").distinct()
+        if target is None:  # a target counts every stored id, otherwise only this batch's matter
+            stored, lost = stored.join(ids, "id", "left_semi"), lost.join(ids, "id", "left_semi")
+        good, bad = incremental_collect(ids, prices, stored, lost, read_report_pairs(batch), target)
         good.write.mode("overwrite").parquet(f"{good_path}/batch={number}")
         bad.write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
 

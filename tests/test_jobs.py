@@ -136,3 +136,14 @@ def test_vehicle_tables_cover_the_branches(spark, sf_dir):
         F.count_if(F.col("cm") == "없음"), F.count_if(F.col("cm") == "미확정"), F.count_if(F.col("cm").contains("회미확정"))
     ).first()
     assert all(kinds)
+
+
+def test_stream_stops_at_the_target(spark, prices, tmp_path):
+    pages = report_pages(spark, broken={3})
+    landing, root = f"{tmp_path}/landing", f"{tmp_path}/out"
+    for first, last in ((1, 3), (4, 6)):
+        pages.where(f"id BETWEEN {first} AND {last}").coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(pages.schema).parquet(landing)
+        collect_stream(stream, prices, ids(spark, 1), ids(spark), root, target=3).awaitTermination()
+    assert found(spark.read.schema(COLLECTED).parquet(f"{root}/collected")) == [2, 4]
+    assert found(spark.read.schema(ERROR_IDS).parquet(f"{root}/failed")) == [3]
