@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 8 << 20
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches are cut by bytes as well as by rows, so that very long texts do not add up."""
+def python_tasks(spark: SparkSession) -> None:
+    """Settings of every operator that runs Python in its tasks.
+
+    Arrow batches are cut by bytes as well as by rows, so that very long texts do not add up.
+    Tasks find this package where the driver did; on a cluster ship it with ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
 def held_out(doc_id: Column, parts: int = 5) -> Column:

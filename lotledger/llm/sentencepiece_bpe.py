@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from lotledger.llm.common import bounded_batches
+from lotledger.llm.common import python_tasks
 
 SPACE = "▁"  # fixed value: how the models write a space
 CACHE_ENTRIES = 600_000
@@ -203,7 +203,7 @@ def encode_decode(
     as they are; columns named like the results are replaced. The model file is read on the
     driver and sent to the tasks, its size being that of a vocabulary.
     """
-    bounded_batches(df.sparkSession)
+    python_tasks(df.sparkSession)
     with open(model_file, "rb") as file:
         model = df.sparkSession.sparkContext.broadcast(file.read())
     rest = [f for f in df.schema.fields if f.name not in (text, ids, decoded)]
