@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotledger.llm import sentencepiece_bpe, toxicity
+from lotledger.llm import minmax, onebit_search, sentencepiece_bpe, toxicity
 from lotledger.llm.common import held_out, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+def op1_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return onebit_search.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,8 +43,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by three-word shingles that overlap by 85 % of their union."""
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_onebit_search": op1_onebit_search,
     "op3_sentencepiece": op3_sentencepiece,
     "op8_toxicity": op8_toxicity,
+    "op10_minmax": op10_minmax,
 }
 ORACLES: dict[str, str] = {}
