@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotledger.llm import minmax, onebit_search, sentencepiece_bpe, toxicity
+from lotledger.llm import (
+    line_chunks,
+    minmax,
+    mixing,
+    onebit_search,
+    ordinal_quality,
+    sentencepiece_bpe,
+    text_density,
+    toxicity,
+)
 from lotledger.llm.common import held_out, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -31,6 +40,38 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw of a mixture in which no source is repeated more than twice."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", "n_tokens", "epoch", "place")
+
+
+def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = text_density.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document once repeated passages are gone."""
+    left = line_chunks.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 of low quality, 1 readable but toxic, 2 good. Kept is what is likely above 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grade = F.col("quality") * (2 - F.col("toxic"))
+    model = ordinal_quality.fit(docs, table(spark, sf_dir, "labels"), grade, grades=3)
+    return ordinal_quality.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        (F.col("tail_probability") >= 0.5).alias("kept"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +92,10 @@ def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit_search": op1_onebit_search,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_mixing": op4_mixing,
+    "op5_text_density": op5_text_density,
+    "op6_line_chunks": op6_line_chunks,
+    "op7_ordinal_quality": op7_ordinal_quality,
     "op8_toxicity": op8_toxicity,
     "op10_minmax": op10_minmax,
 }
