@@ -4,10 +4,12 @@ Under each permutation of the shingles both the smallest and the largest value a
 gives two nearly independent signature values for one evaluation. Bands of the signature are
 bucket keys. Documents with equal shingle sets are one class; of each class one document goes on.
 
-A bucket never becomes a list of pairs. Its members are compared with one member at a time,
-links are confirmed on the whole shingle sets, and linked documents become one component; the
-next rounds concern only members outside the component that holds most of their bucket. The last
-round compares what is still outside with every member of its buckets, so no link is lost.
+A bucket never becomes a list of pairs. Its members are compared with one member, links are
+confirmed on the whole shingle sets, and linked documents become one component; the next round
+concerns only members outside the component that holds most of their bucket. What is still outside
+may be linked with any member, so none is passed over unless its set rules that out: a document
+cannot reach the wanted overlap if too few of its shingles occur in other components at all. Those
+that can are compared with every member of their buckets that can, so no link is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from lotledger.session import materialise
 
 PERMUTATIONS = 40  # two values each
 BAND_ROWS = 4
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 2
 
 _RANDOM = np.random.Generator(np.random.PCG64(5_150))
 _FACTORS = _RANDOM.integers(0, 1 << 63, 256, dtype=U) * U(2) + U(1)
@@ -99,6 +101,32 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def covered(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, size, common`` of members ``doc_id, component`` that may have links outside.
+
+    ``common`` is how many shingles of the document occur in another component too. Links need at
+    least ``percent`` of the document's own shingles to do so.
+    """
+    kind = members.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(batch.column("text"), words))
+            sizes = np.array([len(s) for s in sets], np.int64)
+            owner = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(owner), batch.column("component").take(owner), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64))],
+                names=["doc_id", "component", "size", "h"],
+            )
+
+    own = texts.join(members, "doc_id").select("doc_id", "component", "text")
+    shingles = materialise(own.mapInArrow(run, f"doc_id {kind}, component {kind}, size long, h long"), "shingles")
+    across = shingles.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
+    found = shingles.join(across, "h", "left_semi").groupBy("doc_id", "component", "size").agg(F.count("*").alias("common"))
+    return found.where(F.col("common") * 100 >= F.col("size") * percent)
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, permutations: int = PERMUTATIONS, rows: int = BAND_ROWS
 ) -> DataFrame:
@@ -120,7 +148,7 @@ def near_duplicates(
 
     pairs = members.select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
     links = [materialise(confirmed(pairs, texts, words, percent), "confirmed")]
-    for turn in range(CENTRE_ROUNDS + 1):
+    for turn in range(CENTRE_ROUNDS):
         labels = materialise(connected_components(reduce(DataFrame.unionByName, links)), "components")
         placed = members.select("key", "doc_id").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
@@ -133,11 +161,19 @@ def near_duplicates(
         outside = materialise(placed.join(most, "key").where("component <> largest").select("key", "doc_id", "component", "b"), "outside")
         if outside.isEmpty():
             break
-        if turn < CENTRE_ROUNDS:
+        if turn < CENTRE_ROUNDS - 1:
             pairs = outside.select(F.col("doc_id").alias("a"), "b").distinct()
         else:
-            other = placed.select("key", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-            pairs = outside.select("key", F.col("doc_id").alias("a"), "component").join(other, "key").where("component <> other")
+            here = placed.join(most.select("key"), "key", "left_semi")
+            able = materialise(covered(here.select("doc_id", "component").distinct(), texts, words, percent), "covered")
+            left = outside.select("key", "doc_id").join(able.select("doc_id", "size", "common", F.col("component").alias("own")), "doc_id").withColumnRenamed("doc_id", "a")
+            right = here.select("key", "doc_id").join(
+                able.select("doc_id", F.col("size").alias("other_size"), F.col("common").alias("other_common"), F.col("component").alias("other")), "doc_id"
+            ).withColumnRenamed("doc_id", "b")
+            # No more can be common than the less covered of the two has in common with others.
+            most_common = F.least("common", "other_common")
+            possible = most_common * 100 >= (F.col("size") + F.col("other_size") - most_common) * percent
+            pairs = left.join(right, "key").where((F.col("own") != F.col("other")) & possible)
             pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         links.append(materialise(confirmed(pairs, texts, words, percent), "confirmed"))
     else:
