@@ -222,7 +222,7 @@ def _link_back(graph: Graph, layer: int, source: np.ndarray, target: np.ndarray)
     order = np.argsort(target, kind="stable")
     source, target = source[order], target[order]
     nodes, at = np.unique(target, return_index=True)
-    for node, begin, end in zip(nodes, at, [*at[1:], len(target)], strict=True):
+    for node, begin, end in zip(nodes, at, np.append(at[1:], len(target))[:len(at)], strict=True):
         have = links[node]
         both = np.unique(np.concatenate([have[have >= 0], source[begin:end]]))
         if len(both) > width:
@@ -231,7 +231,7 @@ def _link_back(graph: Graph, layer: int, source: np.ndarray, target: np.ndarray)
         links[node, :len(both)] = both
 
 
-def within(shard: Shard, queries: np.ndarray, least: np.ndarray, width: int = 64, audit: int = 64, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def within(shard: Shard, queries: np.ndarray, least: np.ndarray, width: int = 32, audit: int = 64, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) with a cosine of at least ``least`` (one for each query).
 
     A beam full of hits is widened for its query. An audit compares a sample of queries with all

@@ -135,7 +135,7 @@ def nearest(
         .select("size", "qb", "vb", "id", "v")
     )
 
-    def run(key_, ask: pa.Table, have: pa.Table) -> pa.Table:
+    def run(keys: tuple[pa.Scalar, ...], ask: pa.Table, have: pa.Table) -> pa.Table:
         empty = pa.table({"query_id": have.column("id")[:0], "id": have.column("id")[:0], "score": pa.array([], pa.float64())})
         if not len(ask) or not len(have):
             return empty

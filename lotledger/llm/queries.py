@@ -17,6 +17,7 @@ from lotledger.llm import (
     sentencepiece_bpe,
     text_density,
     toxicity,
+    vector_links,
 )
 from lotledger.llm.common import held_out, table
 
@@ -84,6 +85,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.9 or more."""
+    return vector_links.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by three-word shingles that overlap by 85 % of their union."""
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_chunks": op6_line_chunks,
     "op7_ordinal_quality": op7_ordinal_quality,
     "op8_toxicity": op8_toxicity,
+    "op9_vector_links": op9_vector_links,
     "op10_minmax": op10_minmax,
 }
 ORACLES: dict[str, str] = {}
