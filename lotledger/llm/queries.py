@@ -14,6 +14,7 @@ from lotledger.llm import (
     mixing,
     onebit_search,
     ordinal_quality,
+    repeated_spans,
     sentencepiece_bpe,
     text_density,
     toxicity,
@@ -29,6 +30,19 @@ def op1_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit_search.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op2_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without 50-byte strings of earlier documents."""
+    left = repeated_spans.remove_repeated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("begins", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +111,7 @@ def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit_search": op1_onebit_search,
+    "op2_repeated_spans": op2_repeated_spans,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_mixing": op4_mixing,
     "op5_text_density": op5_text_density,
