@@ -9,7 +9,8 @@ confirmed on the whole shingle sets, and linked documents become one component;
 concerns only members outside the component that holds most of their bucket. What is still outside
 may be linked with any member, so none is passed over unless its set rules that out: a document
 cannot reach the wanted overlap if too few of its shingles occur in other components at all. Those
-that can are compared with every member of their buckets that can, so no link is lost.
+that can are compared with every member of their buckets that can, in blocks whose overlaps are counted
+together and of which only the links come out, so no link is lost.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from lotledger.session import materialise
 PERMUTATIONS = 40  # two values each
 BAND_ROWS = 4
 CENTRE_ROUNDS = 2
+BLOCK_DOCS = 512  # documents on one side of a block
+DENSE_PAIRS = 2_048  # pairs of documents with a shingle from which a matrix product counts it
 
 _RANDOM = np.random.Generator(np.random.PCG64(5_150))
 _FACTORS = _RANDOM.integers(0, 1 << 63, 256, dtype=U) * U(2) + U(1)
@@ -101,8 +104,86 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set.
+
+    Shingles that many sets have are counted by a matrix product, the others one by one.
+    """
+    out = np.zeros((len(left), len(right)), np.float32)
+    owner_l = np.repeat(np.arange(len(left)), [len(s) for s in left])
+    owner_r = np.repeat(np.arange(len(right)), [len(s) for s in right])
+    h_l, h_r = np.concatenate([np.zeros(0, U), *left]), np.concatenate([np.zeros(0, U), *right])
+    both = np.intersect1d(h_l, h_r)
+    for names in ("l", "r"):
+        h, owner = (h_l, owner_l) if names == "l" else (h_r, owner_r)
+        at = np.searchsorted(both, h)
+        inside = at < len(both)
+        inside[inside] = both[at[inside]] == h[inside]
+        order = np.argsort(at[inside], kind="stable")
+        if names == "l":
+            column_l, owner_l = at[inside][order], owner[inside][order]
+        else:
+            column_r, owner_r = at[inside][order], owner[inside][order]
+    n_l, n_r = np.bincount(column_l, minlength=len(both)), np.bincount(column_r, minlength=len(both))
+    many = n_l * n_r > DENSE_PAIRS
+    dense = np.flatnonzero(many)
+    for first in range(0, len(dense), 4096):
+        number = np.full(len(both), -1)
+        number[dense[first:first + 4096]] = np.arange(len(dense[first:first + 4096]))
+        width = min(4096, len(dense) - first)
+        a, b = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+        pick = number[column_l] >= 0
+        a[owner_l[pick], number[column_l[pick]]] = 1
+        pick = number[column_r] >= 0
+        b[owner_r[pick], number[column_r[pick]]] = 1
+        out += a @ b.T
+    # Each entry of the left meets the right's entries of the same shingle.
+    rows = np.flatnonzero(~many[column_l])
+    start_r = np.concatenate([[0], np.cumsum(n_r)])
+    for first in range(0, len(rows), 100_000):
+        part = rows[first:first + 100_000]
+        times = n_r[column_l[part]]
+        ends = np.cumsum(times)
+        where = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times, times) + np.repeat(start_r[column_l[part]], times)
+        flat = np.bincount(np.repeat(owner_l[part], times) * len(right) + owner_r[where], minlength=out.size)
+        out += flat.reshape(out.shape)
+    return out
+
+
+def block_links(placed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between ``outside`` members of a ``key`` and all its members of other components.
+
+    ``placed`` has ``key, doc_id, component, outside``. Both sides of a key are dealt out in blocks
+    of bounded size; each pair of blocks is one group.
+    """
+    kind = placed.schema["doc_id"].dataType.simpleString()
+    totals = placed.groupBy("key").agg(F.sum(F.col("outside").cast("long")).alias("s"), F.count("*").alias("m")).where("s > 0 and m > 1")
+    parts = totals.select("key", F.ceil(F.col("s") / BLOCK_DOCS).alias("sp"), F.ceil(F.col("m") / BLOCK_DOCS).alias("mp"))
+    dealt = placed.join(parts, "key").withColumn("x", F.pmod(F.xxhash64("doc_id"), F.col("sp"))).withColumn("y", F.pmod(F.xxhash64("doc_id"), F.col("mp")))
+    left = dealt.where("outside").withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mp") - 1)))
+    right = dealt.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sp") - 1)))
+    by = ["key", "x", "y"]
+    one, two = (side.select(*by, "doc_id", "component").join(texts, "doc_id") for side in (left, right))
+    two = two.select(*[F.col(c).alias(c) for c in two.columns])
+
+    def run(keys: tuple[pa.Scalar, ...], asked: pa.Table, held: pa.Table) -> pa.Table:
+        empty = pa.table({"a": asked.column("doc_id")[:0], "b": asked.column("doc_id")[:0]})
+        if not len(asked) or not len(held):
+            return empty
+        sides = [list(shingle_sets(t.column("text").combine_chunks(), words)) for t in (asked, held)]
+        size_l, size_r = (np.array([len(s) for s in side], np.int64) for side in sides)
+        common = overlaps(*sides).astype(np.int64)
+        close = 100 * common >= percent * (size_l[:, None] + size_r[None, :] - common)
+        close &= asked.column("component").to_numpy()[:, None] != held.column("component").to_numpy()[None, :]
+        i, j = np.nonzero(close)
+        return pa.table({"a": asked.column("doc_id").to_numpy()[i], "b": held.column("doc_id").to_numpy()[j]}).cast(empty.schema)
+
+    found = one.groupBy(*by).cogroup(two.groupBy(*by)).applyInArrow(run, f"a {kind}, b {kind}")
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def covered(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id, size, common`` of members ``doc_id, component`` that may have links outside.
+    """``doc_id, component, size, common`` of members ``doc_id, component`` that may have links outside.
 
     ``common`` is how many shingles of the document occur in another component too. Links need at
     least ``percent`` of the document's own shingles to do so.
@@ -165,16 +246,12 @@ def near_duplicates(
             pairs = outside.select(F.col("doc_id").alias("a"), "b").distinct()
         else:
             here = placed.join(most.select("key"), "key", "left_semi")
-            able = materialise(covered(here.select("doc_id", "component").distinct(), texts, words, percent), "covered")
-            left = outside.select("key", "doc_id").join(able.select("doc_id", "size", "common", F.col("component").alias("own")), "doc_id").withColumnRenamed("doc_id", "a")
-            right = here.select("key", "doc_id").join(
-                able.select("doc_id", F.col("size").alias("other_size"), F.col("common").alias("other_common"), F.col("component").alias("other")), "doc_id"
-            ).withColumnRenamed("doc_id", "b")
-            # No more can be common than the less covered of the two has in common with others.
-            most_common = F.least("common", "other_common")
-            possible = most_common * 100 >= (F.col("size") + F.col("other_size") - most_common) * percent
-            pairs = left.join(right, "key").where((F.col("own") != F.col("other")) & possible)
-            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            able = covered(here.select("doc_id", "component").distinct(), texts, words, percent).select("doc_id")
+            able = materialise(able.distinct(), "covered")
+            marked = here.join(able, "doc_id").join(most.select("key", "largest"), "key")
+            marked = marked.select("key", "doc_id", "component", (F.col("component") != F.col("largest")).alias("outside"))
+            links.append(materialise(block_links(marked, texts, words, percent), "confirmed"))
+            continue
         links.append(materialise(confirmed(pairs, texts, words, percent), "confirmed"))
     else:
         labels = connected_components(reduce(DataFrame.unionByName, links))
