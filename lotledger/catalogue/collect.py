@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from lotledger.catalogue.base_sql import over_vehicles
 from lotledger.catalogue.common import accident_pages, inspection_pages, listing_pages
 from lotledger.catalogue.tables import brand_files
+from lotledger.operators.relational import exclude_ids
 from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.schemas import COLLECTED, ERROR_IDS, INSURANCE_NAMES
 from lotledger.session import new_location
 from lotledger.streaming.collect import collect_stream
 
 TARGET_SHARE = 0.6
+PRICE_ORDER = ("price",)  # ids have one price each here
 
 
 def _stores(spark, sf_dir):
@@ -27,8 +29,11 @@ def _stores(spark, sf_dir):
 
 def _collected(spark, sf_dir, target=None):
     prices = vt.price(spark, sf_dir)
-    reports = jobs.read_reports(inspection_pages(spark, sf_dir), accident_pages(spark, sf_dir))
-    return jobs.incremental_collect(prices, prices, *_stores(spark, sf_dir), reports, target)
+    stores = _stores(spark, sf_dir)
+    # Pages of ids that need no report are left out before anything is extracted from them.
+    todo = exclude_ids(prices.select("id").distinct(), *stores)
+    reports = jobs.read_reports(inspection_pages(spark, sf_dir), accident_pages(spark, sf_dir), todo)
+    return jobs.incremental_collect(prices, prices, *stores, reports, PRICE_ORDER, target)
 
 
 def incremental_collect(spark, sf_dir):
@@ -59,7 +64,7 @@ def _streamed(spark, sf_dir):
     )
     pages.repartition(16, "id").write.parquet(f"{root}/pages")
     stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/pages")
-    collect_stream(stream, prices, *_stores(spark, sf_dir), root).awaitTermination()
+    collect_stream(stream, prices, *_stores(spark, sf_dir), root, PRICE_ORDER).awaitTermination()
     return root
 
 

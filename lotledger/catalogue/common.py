@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotledger.operators.relational import filter_model
 from lotledger.plans import jobs, vehicle_tables
 from lotledger.session import materialise
 
@@ -16,8 +17,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned from a stored raw table: finding the mean amounts takes a pass of its own."""
-    return jobs.clean_history(materialise(vehicle_tables.history_raw(spark, sf_dir), "history-raw"))
+    """Cleaned lazily: what a query does not use is neither parsed nor aggregated."""
+    return jobs.clean_history(vehicle_tables.history_raw(spark, sf_dir))
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,19 +27,21 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The joined table, stored once: what follows reads it several times."""
-    return materialise(joined(spark, sf_dir), "vehicles")
+def vehicles(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, model: str | None = None) -> DataFrame:
+    """The joined table, stored once as group statistics read it again; only what is asked for."""
+    rows = joined(spark, sf_dir)
+    rows = rows if model is None else filter_model(rows, model)
+    return materialise(rows.select(*columns) if columns else rows, "vehicles")
 
 
 def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accident reports as a stored page table, the form in which extraction meets them."""
-    return materialise(vehicle_tables.accident_pages(spark, sf_dir), "accident-pages", widen=True)
+    return materialise(vehicle_tables.accident_pages(spark, sf_dir), "accident-pages")
 
 
 def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(vehicle_tables.inspection_pages(spark, sf_dir), "inspection-pages", widen=True)
+    return materialise(vehicle_tables.inspection_pages(spark, sf_dir), "inspection-pages")
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(vehicle_tables.listing_pages(spark, sf_dir), "listing-pages", widen=True)
+    return materialise(vehicle_tables.listing_pages(spark, sf_dir), "listing-pages")

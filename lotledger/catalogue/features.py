@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotledger.catalogue.base_sql import AS_OF, over_vehicles
-from lotledger.catalogue.common import history, rounded, vehicles
+from lotledger.catalogue.common import history, joined, rounded, vehicles
 from lotledger.functions import features as ff
 from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.schemas import YES_NO_COLUMNS
@@ -46,9 +46,13 @@ def log_features(spark, sf_dir):
     return rounded(jobs.log_features(counts, ["owner_changed", "damaged_count", "damaged_total"]))
 
 
+_UNUSED = ("id", "license", "license_changed", "theft", "warranty")  # no feature table has them
+
+
 def _table(job):
     def run(spark, sf_dir):
-        return rounded(job(vehicles(spark, sf_dir), AS_OF))
+        columns = [c for c in joined(spark, sf_dir).columns if c not in _UNUSED]
+        return rounded(job(vehicles(spark, sf_dir, columns), AS_OF))
     return run
 
 

@@ -12,6 +12,7 @@ from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.session import materialise
 
 ONE_MODEL = "3-MEDIUM"
+_MODELS = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def assembled(spark, sf_dir):
@@ -27,8 +28,9 @@ def hash_split(spark, sf_dir):
 
 
 def random_split(spark, sf_dir):
+    """Both parts together: no row is lost and none is in both."""
     train, test = models.random_split(vt.price(spark, sf_dir))
-    return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
+    return train.unionAll(test)
 
 
 def _line_vectors(spark, sf_dir):
@@ -36,7 +38,7 @@ def _line_vectors(spark, sf_dir):
     lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     keys, label = ["l_orderkey", "l_linenumber"], "l_extendedprice"
     vectors = models.assemble(lines, exclude=[label], keep=keys, label=label)
-    return materialise(vectors, "line-vectors", widen=True)
+    return materialise(vectors, "line-vectors")
 
 
 def linear_fit(spark, sf_dir):
@@ -60,13 +62,24 @@ def rmse_mse(spark, sf_dir):
 
 
 def forest_predict(spark, sf_dir):
-    vectors = _line_vectors(spark, sf_dir)
-    fitted = models.fit_forest(vectors, trees=10, depth=5)
-    return models.predict(fitted, vectors).drop("features")
+    """A label that one small-range feature decides, so that every leaf is pure."""
+    lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    labelled = lines.withColumn("label", (F.col("l_linenumber") * F.col("l_linenumber")).cast("double")).withColumn("x", F.col("l_linenumber"))
+    vectors = models.assemble(labelled, exclude=["label"], keep=["l_orderkey", "l_linenumber"], label="label")
+    vectors = materialise(vectors, "forest-vectors")
+    return rounded(models.predict(models.fit_forest(vectors), vectors).drop("features"))
 
 
 def one_hot(spark, sf_dir):
-    return categories.one_hot(vt.history_raw(spark, sf_dir).select("id", "fuel", "model"), ["fuel", "model"])
+    """The sparse vectors, spread over columns for the comparison; places count from the last value."""
+    raw = vt.history_raw(spark, sf_dir).select("id", "fuel", "model")
+    coded = categories.one_hot(raw, ["fuel", "model"])
+    fuel, car = vector_to_array("fuel"), vector_to_array("model")
+    return coded.select(
+        "id",
+        *[fuel[i].cast("int").alias(f"fuel_{name}") for i, name in enumerate(["디젤", "가솔린"])],
+        *[car[i].cast("int").alias(f"model_{name}") for i, name in enumerate(reversed(_MODELS))],
+    )
 
 
 def standardise(spark, sf_dir):
@@ -78,7 +91,7 @@ def _scaled_line_vectors(spark, sf_dir):
     lines = vt.table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_tax")
     scaled = categories.standardise(lines, ["l_quantity", "l_extendedprice"])
     vectors = models.assemble(scaled, exclude=["l_tax"], label="l_tax")
-    return materialise(vectors, "scaled-vectors", widen=True)
+    return materialise(vectors, "scaled-vectors")
 
 
 def pca_ratios(spark, sf_dir):
@@ -88,31 +101,34 @@ def pca_ratios(spark, sf_dir):
 
 def pca_scores(spark, sf_dir):
     vectors = _scaled_line_vectors(spark, sf_dir)
-    return rounded(models.pca_scores(models.fit_pca(vectors, 2), vectors, 1), 5)
+    return rounded(models.pca_scores(models.fit_pca(vectors, 2), vectors), 5)
 
 
 def _features(job, spark, sf_dir):
-    return materialise(job(vehicles(spark, sf_dir), AS_OF), "features")
+    """One model's features: groups do not mix, so its rows are chosen before anything is stored."""
+    return job(vehicles(spark, sf_dir, model=ONE_MODEL), AS_OF)
+
+
+def _both(predictions, metrics):
+    """Each prediction beside the metrics of all."""
+    found = metrics.first()
+    return rounded(predictions.withColumns({name: F.lit(found[name]) for name in metrics.columns}))
 
 
 def train_forest(spark, sf_dir):
-    features = _features(jobs.features_cluster, spark, sf_dir)
-    return jobs.train_forest(features, ONE_MODEL, on_null="skip")[1]
+    return _both(*jobs.train_forest(_features(jobs.features_cluster, spark, sf_dir), ONE_MODEL, on_null="skip"))
 
 
 def train_linear(spark, sf_dir):
-    features = _features(jobs.features_log, spark, sf_dir)
-    return jobs.train_linear(features, ONE_MODEL, on_null="skip")[0]
+    return _both(*jobs.train_linear(_features(jobs.features_log, spark, sf_dir), ONE_MODEL, on_null="skip"))
 
 
 def pca_diagnosis(spark, sf_dir):
-    features = _features(jobs.features_pop, spark, sf_dir)
-    return jobs.pca_diagnosis(features, ONE_MODEL, on_null="skip")[0]
+    return jobs.pca_diagnosis(_features(jobs.features_pop, spark, sf_dir), ONE_MODEL, on_null="skip")[0]
 
 
 def pca_diagnosis_scores(spark, sf_dir):
-    features = _features(jobs.features_pop, spark, sf_dir)
-    return jobs.pca_diagnosis(features, ONE_MODEL, on_null="skip")[1]
+    return jobs.pca_diagnosis(_features(jobs.features_pop, spark, sf_dir), ONE_MODEL, on_null="skip")[1]
 
 
 QUERIES = {
@@ -139,8 +155,6 @@ WITH fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS slope, regr_inter
 scored AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS label, intercept + slope * l_quantity AS prediction
            FROM lineitem, fit)
 """
-_MODELS = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
 ORACLES = {
     "assemble": over_vehicles("""
         SELECT id, damaged_by_other_total AS label, CAST(owner_changed AS DOUBLE) AS owner_changed,
@@ -150,6 +164,10 @@ ORACLES = {
     "hash_split": """
         SELECT o_orderkey, CAST('0x' || substr(md5(o_orderkey || ':42'), 1, 8) AS BIGINT) % 10000 < 8000 AS is_train
         FROM orders""",
+    "random_split": over_vehicles("SELECT id, price FROM price"),
+    "forest_predict": """
+        SELECT l_orderkey, l_linenumber, CAST(l_linenumber * l_linenumber AS DOUBLE) AS label,
+               CAST(l_linenumber * l_linenumber AS DOUBLE) AS prediction FROM lineitem""",
     "linear_fit": f"{_LINE} SELECT round(slope, 4) AS slope, round(intercept, 3) AS intercept FROM fit",
     "linear_predict": f"""{_LINE}
         SELECT l_orderkey, l_linenumber, round(label, 3) AS label, round(prediction, 3) AS prediction FROM scored""",
@@ -171,5 +189,9 @@ ORACLES = {
         SELECT round(((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER ()
                       + sign(corr(l_quantity, l_extendedprice) OVER ())
                         * (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER ()) / sqrt(2), 5)
-               AS pc1, round(l_tax, 5) AS label FROM lineitem""",
+               AS pc1,
+               round(((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER ()
+                      - sign(corr(l_quantity, l_extendedprice) OVER ())
+                        * (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER ()) / sqrt(2), 5)
+               AS pc2, round(l_tax, 5) AS label FROM lineitem""",
 }

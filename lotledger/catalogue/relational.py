@@ -103,7 +103,7 @@ def columns_except(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    return rel.preview(vt.history_raw(spark, sf_dir), 5)
+    return rel.preview(vt.history_raw(spark, sf_dir), 5, ["id"])
 
 
 def progress_counts(spark, sf_dir):
@@ -138,6 +138,7 @@ ORACLES = {
         SELECT id, price, license, model, cm, mileage
         FROM price JOIN history_raw USING (id) JOIN status USING (id)"""),
     "build_vehicles": over_vehicles("SELECT * FROM vehicles"),
+    "preview": over_vehicles("SELECT * FROM history_raw ORDER BY id LIMIT 5"),
     "join_renamed_key": """
         SELECT l_orderkey, l_linenumber, l_quantity, o_totalprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "set_difference": "SELECT doc_id AS id FROM documents EXCEPT SELECT doc_id FROM labels",

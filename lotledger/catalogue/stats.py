@@ -46,7 +46,7 @@ def mean_by_group(spark, sf_dir):
 
 
 def mean_price_by_model(spark, sf_dir):
-    return rounded(jobs.mean_price_by_model(vehicles(spark, sf_dir)))
+    return rounded(jobs.mean_price_by_model(vehicles(spark, sf_dir, ["model", "price"])))
 
 
 QUERIES = {

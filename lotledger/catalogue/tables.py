@@ -47,12 +47,10 @@ def brand_files(spark, sf_dir):
     rows.withColumn("file_brand", F.col("brand")).drop("brand").hint("rebalance", "file_brand").write.option(
         "header", True
     ).partitionBy("file_brand").csv(root)
-    paths = [f"{root}/file_brand={b}" for b in ("LPG", "DIESEL", "GASOLINE")]
+    brands = sorted(r[0] for r in rows.select("brand").distinct().collect())
+    paths = [f"{root}/file_brand={b}" for b in brands]
     schema = schemas.insurance_schema("report")
-    read = readers.read_table(spark, paths, schema).select(
-        "*", F.regexp_extract(F.col("_metadata.file_path"), "file_brand=([^/]+)/", 1).alias("brand")
-    )
-    return harmonise(read, "report")
+    return harmonise(readers.read_brand_files(spark, paths, schema, "file_brand=([^/]+)/"), "report")
 
 
 def missing_source(spark, sf_dir):

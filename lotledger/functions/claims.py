@@ -14,9 +14,8 @@ COUNT_AMOUNT_PATTERN = "([0-9]+)회[^0-9]*([0-9]+)"
 
 
 def extract_number(text: Column) -> Column:
-    """First run of digits as INT; text without digits, or no text, counts as 0."""
-    digits = F.regexp_extract(text, "([0-9]+)", 1)
-    return F.when(digits != "", digits.try_cast("int")).otherwise(F.lit(0))
+    """First run of digits as INT; no text, no digits or a number too large count as 0."""
+    return F.coalesce(F.regexp_extract(text, "([0-9]+)", 1).try_cast("int"), F.lit(0))
 
 
 def parse_claims(text: Column) -> Column:

@@ -1,33 +1,50 @@
-"""One-hot columns and standardised columns, as plain expressions over bounded summaries."""
+"""One-hot coding and standardised columns."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 10_000
+def levels(df: DataFrame, column: str) -> list[str]:
+    """The distinct values of a category, sorted. They come to the driver: for few values only."""
+    return sorted(row[0] for row in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
-def levels(df: DataFrame, column: str, most: int = MAX_LEVELS) -> list[str]:
-    """The distinct values of a category, sorted; too many of them is an error, never a cut."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values: not a category")
-    return sorted(row[0] for row in found)
-
-
-def one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace each category by 0/1 columns ``<column>_<value>``, the first value left out."""
+def one_hot_columns(df: DataFrame, values: dict[str, list[str]]) -> DataFrame:
+    """Replace categories by 0/1 columns ``<column>_<value>``, the first of the given values left out."""
     coded = {}
-    for column in columns:
-        for value in levels(df, column)[1:]:
+    for column, known in values.items():
+        for value in known[1:]:
             coded[f"{column}_{value}"] = F.when(F.col(column) == value, 1).otherwise(0)
     return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in columns],
+        *[F.col(f"`{c}`") for c in df.columns if c not in values],
         *[expression.alias(name) for name, expression in coded.items()],
     )
 
 
+def one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Replace each category by a sparse 0/1 vector of the same name, for any number of values.
+
+    Values are numbered in descending order and the last number has no place, so the first value
+    in ascending order is the one left out. Missing values count as it: all zeros.
+    """
+    coded = [f"__{c}" for c in columns]
+    lowest = df.agg(*[F.min(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    filled = df.withColumns({
+        f"__text_{c}": F.coalesce(F.col(f"`{c}`"), F.lit(lowest[f"m{i}"] or "")) for i, c in enumerate(columns)
+    })
+    indexer = StringIndexer(
+        inputCols=[f"__text_{c}" for c in columns], outputCols=[f"__at_{c}" for c in columns], stringOrderType="alphabetDesc",
+    )
+    indexed = indexer.fit(filled).transform(filled)
+    encoder = OneHotEncoder(inputCols=[f"__at_{c}" for c in columns], outputCols=coded, dropLast=True)
+    vectors = encoder.fit(indexed).transform(indexed)
+    return vectors.select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in columns], *[F.col(v).alias(c) for v, c in zip(coded, columns, strict=True)]
+    )
+
+
 def standardise(df: DataFrame, columns: list[str], ddof: int = 0) -> DataFrame:
     """Mean 0 and standard deviation 1; a constant column becomes 0. One pass finds all moments."""
     spread = F.stddev_samp if ddof else F.stddev_pop

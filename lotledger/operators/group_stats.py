@@ -2,73 +2,32 @@
 
 A window brings each group whole into one task, which fails for a group that holds a third
 of the rows. Statistics are therefore aggregated first (each task sends one partial row per
-group), and their size decides how they get back to the rows: small statistics are
-broadcast, which needs no shuffle of the rows at all; when there are too many groups for
-that, a window serves all groups that fit a task and only the few larger ones, whose number
-is bounded, are broadcast.
+group) and joined to the rows by the group. Spark broadcasts them while they are small; beyond
+that adaptive execution splits the rows of a large group over several tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotledger.schemas import OUTLIER_Z
-from lotledger.session import materialise
-
-# Largest statistics table, in bytes of rows, that is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Groups of at least this many rows, and this share of all rows, are never sent to one task.
-HOT_GROUP_ROWS = 5_000_000
-HOT_GROUP_SHARE = 0.0001
-_ROW_OVERHEAD = 64
 
 _SD = {0: F.stddev_pop, 1: F.stddev_samp}
 
 
 def group_stats(df: DataFrame, key: str, value: str, ddof: int = 1) -> DataFrame:
-    """One row per group: ``__rows``, ``__mean`` and ``__sd`` of ``value``."""
+    """One row per group: ``__mean`` and ``__sd`` of ``value``."""
     return df.groupBy(F.col(key).alias("__key")).agg(
-        F.count(F.lit(1)).alias("__rows"),
         F.avg(value).alias("__mean"),
         _SD[ddof](value).alias("__sd"),
     )
 
 
-def attach_stats(
-    df: DataFrame,
-    key: str,
-    value: str,
-    ddof: int = 1,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def attach_stats(df: DataFrame, key: str, value: str, ddof: int = 1) -> DataFrame:
     """Add ``__mean`` and ``__sd`` of the row's group; null keys form one group."""
-    stats = materialise(group_stats(df, key, value, ddof), "group-stats")
-    key_bytes = F.coalesce(F.octet_length(F.col("__key").cast("string")), F.lit(0))
-    size = stats.agg(
-        F.coalesce(F.sum(key_bytes + _ROW_OVERHEAD), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("__rows"), F.lit(0)).alias("largest"),
-    ).first()
-
-    def from_broadcast(small: DataFrame, how: str = "inner") -> DataFrame:
-        return df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col("__key")), how)
-
-    def from_window(groups: DataFrame) -> DataFrame:
-        group = W.partitionBy(key)
-        return groups.withColumns({"__mean": F.avg(value).over(group), "__sd": _SD[ddof](value).over(group)})
-
-    if size["bytes"] <= broadcast_bytes:
-        return from_broadcast(stats).drop("__key", "__rows")
-    # At most 1 / HOT_GROUP_SHARE groups can be hot, so their statistics are always small.
-    hot_rows = max(hot_group_rows, int(HOT_GROUP_SHARE * size["rows"]))
-    if size["largest"] < hot_rows:
-        return from_window(df)
-    hot = stats.where(F.col("__rows") >= hot_rows).drop("__rows")
-    cold_groups = from_broadcast(hot.select("__key"), "left_anti")
-    return from_broadcast(hot).drop("__key").unionByName(from_window(cold_groups))
+    stats = group_stats(df, key, value, ddof)
+    return df.join(stats, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def _with(df: DataFrame, key: str, value: str, ddof: int, **columns: Column) -> DataFrame:

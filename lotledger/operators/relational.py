@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotledger.operators.skew import inner_join_on_key, join_unique
 from lotledger.schemas import INSURANCE_NAMES, NOT_FEATURES, ROW_CAP
 
 _LAST_MERGE = 16
@@ -23,18 +22,17 @@ def harmonise(df: DataFrame, scheme: str, target: str = "current") -> DataFrame:
     return df.withColumnsRenamed(dict(zip(INSURANCE_NAMES[scheme], INSURANCE_NAMES[target], strict=True)))
 
 
-def join_vehicles(
-    price: DataFrame, history: DataFrame, status: DataFrame, hot: list[dict] | None = None
-) -> DataFrame:
-    """Listings with a price, a history and a status, ``id`` kept once."""
-    return inner_join_on_key([price, history, status], "id", hot)
+def join_vehicles(price: DataFrame, history: DataFrame, status: DataFrame) -> DataFrame:
+    """Listings with a price, a history and a status, ``id`` kept once.
+
+    Adaptive execution splits the partitions of hot ids in both joins, see ``build_session``.
+    """
+    return price.join(history, "id").join(status, "id")
 
 
-def join_on(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: list[dict] | None = None
-) -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Inner join on differently named keys; only the left key is kept."""
-    return inner_join_on_key([left, right.withColumnRenamed(right_key, left_key)], left_key, hot)
+    return left.join(right.withColumnRenamed(right_key, left_key), left_key)
 
 
 def _per_id(all_ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -53,10 +51,10 @@ def remaining_ids(all_ids: DataFrame, done: DataFrame, key: str = "id") -> DataF
     return _per_id(all_ids, done, key).where("listed = 1 AND stored = 0").select(key)
 
 
-def exclude_ids(all_ids: DataFrame, *excluded: DataFrame, key: str = "id", hot: dict | None = None) -> DataFrame:
+def exclude_ids(all_ids: DataFrame, *excluded: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose id is in none of the ``excluded`` tables; duplicates stay."""
     seen = reduce(DataFrame.unionAll, [e.select(key) for e in excluded]).distinct()
-    return join_unique(all_ids, seen, key, "left_anti", hot)
+    return all_ids.join(seen, key, "left_anti")
 
 
 def dedupe_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -71,7 +69,7 @@ def dedupe_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def lookup_default(
-    df: DataFrame, dim: DataFrame, key: str, value: str, default: str, order: list[str], hot: dict | None = None
+    df: DataFrame, dim: DataFrame, key: str, value: str, default: str, order: list[str]
 ) -> DataFrame:
     """Add ``value`` looked up by ``key`` as text, or ``default`` when the key is unknown.
 
@@ -79,7 +77,7 @@ def lookup_default(
     """
     last = dedupe_last(dim.select(key, value, *[c for c in order if c not in (key, value)]), key, order)
     text = F.coalesce(F.col(value).cast("string"), F.lit(default))
-    return join_unique(df, last.select(key, value), key, "left", hot).withColumn(value, text)
+    return df.join(last.select(key, value), key, "left").withColumn(value, text)
 
 
 def concat_tables(tables: list[DataFrame]) -> DataFrame:
@@ -140,8 +138,9 @@ def project_label(df: DataFrame, columns: list[str | Column], label: str = "pric
     return df.select(*columns, F.col(label).alias("label"))
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, order: list[str] | None = None) -> DataFrame:
+    """Some rows, or the first ones in ``order``."""
+    return (df.orderBy(*order) if order else df).limit(rows)
 
 
 def progress_counts(all_ids: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:

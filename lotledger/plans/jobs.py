@@ -113,16 +113,19 @@ def features_pop(vehicles: DataFrame, as_of: dt.date | str) -> DataFrame:
 def _train(
     features: DataFrame, model_name: str, fit, split_key: str | None, on_null: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Predictions on the held-out fifth and their metrics, for one car model."""
+    """Predictions on the held-out fifth and their metrics, for one car model.
+
+    A hash of ``split_key``, or of the whole row, decides the side, so the file layout and the
+    number of cores do not.
+    """
     one = filter_model(features, model_name)
-    rows = models.assemble(one, keep=[split_key] if split_key else None, on_null=on_null)
+    if split_key is None:
+        split_key = "__row"
+        one = one.withColumn(split_key, F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in one.columns]))
+    rows = models.assemble(one, keep=[split_key], on_null=on_null)
     # Split, fit and evaluation all read these rows: write the assembled vectors once.
-    rows = materialise(rows, "assembled", widen=True)
-    if split_key:
-        marked = models.hash_split(rows, split_key)
-        train, test = marked.where("is_train"), marked.where(~F.col("is_train"))
-    else:
-        train, test = models.random_split(rows)
+    marked = models.hash_split(materialise(rows, "assembled"), split_key)
+    train, test = marked.where("is_train"), marked.where(~F.col("is_train"))
     predictions = models.predict(fit(train), test).select("prediction", "label")
     return predictions, models.evaluate(predictions)
 
@@ -146,10 +149,11 @@ def pca_diagnosis(features: DataFrame, model_name: str, on_null: str = "error")
     """Explained-variance ratios, and the first two component scores beside the price."""
     one = drop_cols(filter_model(features, model_name), ["model"])
     one = materialise(one.dropna() if on_null == "skip" else one, "pca-input")
-    coded = categories.one_hot(one, [name for name, kind in one.dtypes if kind == "string"])
+    texts = [name for name, kind in one.dtypes if kind == "string"]
+    coded = categories.one_hot_columns(one, {c: categories.levels(one, c) for c in texts})
     inputs = [c for c in coded.columns if c != "price"]
     vectors = models.assemble(categories.standardise(coded, inputs), exclude=["price"])
-    vectors = materialise(vectors, "pca-vectors", widen=True)
+    vectors = materialise(vectors, "pca-vectors")
     fitted = models.fit_pca(vectors, len(inputs))
     return models.pca_ratios(fitted, vectors), models.pca_scores(fitted, vectors)
 
@@ -181,11 +185,14 @@ def _collected(rows: DataFrame) -> DataFrame:
     return cut.select("id", *_COLLECTED_FIELDS, complete.alias("is_ok"))
 
 
-def read_reports(inspections: DataFrame, accidents: DataFrame) -> DataFrame:
+def read_reports(inspections: DataFrame, accidents: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """The collected fields of both report tables, one row per inspected id, with ``is_ok``.
 
-    Pages are read where they are stored; only the short fields are shuffled and joined.
+    Pages of ids that are not ``wanted`` are left out first; of the others only the short
+    fields are shuffled and joined.
     """
+    if wanted is not None:
+        inspections, accidents = (p.join(wanted.select("id"), "id", "left_semi") for p in (inspections, accidents))
     inspected = _one_per_id(extract.extract_fields(inspections, extract.COLLECT_FIELDS, ["id"]))
     named = _one_per_id(extract.extract_fields(accidents, extract.ACCIDENT_SUMMARY_FIELDS, ["id"]))
     return _collected(inspected.join(named, "id", "left"))
@@ -201,15 +208,16 @@ def read_report_pairs(pages: DataFrame) -> DataFrame:
 
 def incremental_collect(
     ids: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, reports: DataFrame,
-    target: int | None = None, price_order: tuple[str, ...] = ("price",),
+    price_order: tuple[str, ...], target: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """New complete rows, and the ids that failed, of one resumed collection.
 
     ``reports`` has one row per id, as :func:`read_reports` gives it. Ids already stored or
     failed are skipped. With a ``target`` ids are taken in order until the stored rows reach
-    it; ids after that point are neither stored nor failed.
+    it; ids after that point are neither stored nor failed. Of repeated prices the last in
+    ``price_order`` counts.
     """
-    todo = exclude_ids(ids.select("id").distinct(), done, failed, hot={})
+    todo = exclude_ids(ids.select("id").distinct(), done, failed)
     read = todo.join(reports, "id", "left").withColumn("is_ok", F.coalesce("is_ok", F.lit(False)))
     good, bad = writers.split_ok_error(materialise(read, "collected"))
     if target is not None:
@@ -218,9 +226,9 @@ def incremental_collect(
         last = F.coalesce(F.max("id"), F.lit(-(2**63)))
         stop = good.agg(F.when(F.count("id") >= room, last)).first()[0]
         bad = bad if stop is None else bad.where(F.col("id") < stop)
-    # Few new rows leave few prices to look through. Good ids are distinct, so none can be hot.
+    # Few new rows leave few prices to look through.
     wanted = prices.join(good.select("id"), "id", "left_semi")
-    priced = lookup_default(good, wanted, "id", "price", PRICE_MISSING_TEXT, list(price_order), hot={})
+    priced = lookup_default(good, wanted, "id", "price", PRICE_MISSING_TEXT, list(price_order))
     return priced.select(*COLLECTED.fieldNames()), bad
 
 
@@ -234,7 +242,8 @@ def collect_by_brand(listings: DataFrame, accidents: DataFrame, path: str) -> Da
     attributes = nodes.select("brand", extract.node_attribute(F.col("node")).alias("attribute"))
     ids = extract.listing_ids(attributes, ["brand"])
     fields = {name: extract.ACCIDENT_FIELDS[name] for name in INSURANCE_NAMES["current"] if name != "id"}
-    reports = _one_per_id(extract.extract_fields(accidents, fields, ["id"]))
+    listed = ids.select(F.col("id").try_cast("long").alias("id"))
+    reports = _one_per_id(extract.extract_fields(accidents.join(listed, "id", "left_semi"), fields, ["id"]))
     reports = extract.require_all(reports, list(fields))
     rows = ids.withColumn("id", F.col("id").try_cast("long")).join(reports, "id")
     writers.write_by_brand(rows, path)

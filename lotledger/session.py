@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,8 @@ def build_session(master: str | None = None, app_name: str = "lotledger", **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a skewed join even where the next join on the same key then shuffles again.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
@@ -30,17 +31,9 @@ def build_session(master: str | None = None, app_name: str = "lotledger", **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
-
-    A machine-local folder is only ever made for a local master.
-    """
+    """The folder every executor can reach: the one the cluster names, or one in the warehouse."""
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lotledger-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/.scratch").rstrip("/")
 
 
 def new_location(spark: SparkSession, label: str) -> str:
@@ -51,18 +44,13 @@ def new_location(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lotledger/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, widen: bool = False) -> DataFrame:
+def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where a result is read more than once: later passes prune columns, and a lost
     executor re-reads files instead of recomputing the joins and aggregates behind them.
-    ``widen`` gives heavy work after a map-only plan over a few small files a task per core;
-    larger inputs already have more files than that and are left as they are.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if widen and len(df.inputFiles()) < cores:
-        df = df.repartition(cores)
     path = new_location(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotledger.schemas import PAGES
 
 
+def _scan(spark: SparkSession, paths: list[str], schema: T.StructType, *extra: Column) -> DataFrame:
+    """Columns by the names in each path's header; a missing name is an error, a bad value is null."""
+    def one(path: str) -> DataFrame:
+        texts = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
+        return texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+
+    return reduce(DataFrame.unionByName, map(one, paths))
+
+
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """A UTF-8 CSV file or folder with a header, read with a given schema instead of a guess."""
-    return spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
+    """UTF-8 CSV with a header, read with a given schema instead of a guess.
+
+    Columns are matched by name, so their order in a file does not matter; files of one path have
+    one header. Quotes within quoted values are doubled.
+    """
+    return _scan(spark, [path] if isinstance(path, str) else path, schema)
 
 
 def read_ids(df: DataFrame, key: str = "id") -> DataFrame:
@@ -27,10 +42,9 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
 def read_brand_files(
     spark: SparkSession, paths: list[str], schema: T.StructType, brand_pattern: str = r"([^_/]+)\.csv$"
 ) -> DataFrame:
-    """Several per-brand CSV files in one scan, with the brand taken from the file name."""
-    name = F.col("_metadata.file_name")
-    brand = F.upper(F.regexp_extract(name, brand_pattern, 1))
-    return read_table(spark, paths, schema).select("*", brand.alias("brand"))
+    """Per-brand CSV files, with the brand taken from the file's path."""
+    brand = F.upper(F.regexp_extract(F.col("_metadata.file_path"), brand_pattern, 1))
+    return _scan(spark, paths, schema, brand.alias("brand"))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, source: str = "csv") -> DataFrame:

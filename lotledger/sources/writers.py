@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotledger.session import materialise
 from lotledger.sources.readers import read_or_empty
 
 
@@ -19,7 +20,7 @@ def save_table(df: DataFrame, name: str, path: str | None = None, source: str =
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a CSV folder, each part with a header."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
 
 
 def append_batch(df: DataFrame, path: str) -> None:
@@ -53,7 +54,17 @@ def write_by_brand(df: DataFrame, path: str, brand: str = "brand") -> None:
 def rewrite_table(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Replace the Parquet table ``df`` was read from.
 
-    The new rows are staged in the shared folder first, so the old files are only replaced
-    once every new row exists, and a failed overwrite can be repeated from the stage.
+    The new rows are written once, beside the table, and the folders are then swapped by renames.
+    Until the swap the old table is what readers see; if it fails half-way, the old folder is put
+    back. The old rows go when the new ones are in place.
     """
-    materialise(df, "rewrite").write.mode("overwrite").parquet(path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{tail}") for tail in ("", f".new-{uuid.uuid4().hex}", f".old-{uuid.uuid4().hex}"))
+    df.write.parquet(fresh.toString())
+    files = target.getFileSystem(conf)
+    if not files.rename(target, old):
+        raise OSError(f"cannot move {path} aside; the new rows are in {fresh}")
+    if not files.rename(fresh, target):
+        files.rename(old, target)
+        raise OSError(f"cannot put new rows in place of {path}; they are in {fresh}")
+    files.delete(old, True)

@@ -19,7 +19,8 @@ def _batches(spark: SparkSession, path: str, schema: T.StructType, before: int)
 
 
 def collect_stream(
-    pages: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, root: str, target: int | None = None
+    pages: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, root: str, price_order: tuple[str, ...],
+    target: int | None = None,
 ) -> StreamingQuery:
     """Collect streamed report pages once per id, good rows and failed ids apart.
 
@@ -38,7 +39,7 @@ def collect_stream(
         ids = batch.select("id").distinct()
         if target is None:  # a target counts every stored id, otherwise only this batch's matter
             stored, lost = stored.join(ids, "id", "left_semi"), lost.join(ids, "id", "left_semi")
-        good, bad = incremental_collect(ids, prices, stored, lost, read_report_pairs(batch), target)
+        good, bad = incremental_collect(ids, prices, stored, lost, read_report_pairs(batch), price_order, target)
         good.write.mode("overwrite").parquet(f"{good_path}/batch={number}")
         bad.write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
 

@@ -46,15 +46,9 @@ def test_drop_outliers(spark, ddof, passes):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == want
 
 
-@pytest.mark.parametrize("limits", [
-    {},
-    {"broadcast_bytes": 0},
-    {"broadcast_bytes": 0, "hot_group_rows": 50},
-    {"broadcast_bytes": 0, "hot_group_rows": 1},
-])
-def test_join_back_paths_agree(spark, limits):
+def test_statistics_of_each_row(spark):
     df = spark.createDataFrame(sample_rows(), "g string, v double, i int")
-    got = gs.attach_stats(df, "g", "v", **limits)
+    got = gs.attach_stats(df, "g", "v")
     by_group = {}
     for g, v, _ in sample_rows():
         by_group.setdefault(g, []).append(v)
@@ -71,7 +65,8 @@ def test_join_back_paths_agree(spark, limits):
 def test_broadcast_path_does_not_shuffle_rows(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
     plan = gs.drop_outliers(df, "g", "v")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Window" not in plan and "hashpartitioning" not in plan
+    # The one exchange is that of the partial statistics.
+    assert "BroadcastHashJoin" in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_zscore_and_means(spark):

@@ -1,6 +1,8 @@
 """Readers and writers."""
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from lotledger import schemas
 from lotledger.session import materialise, new_location, shared_dir
@@ -76,6 +78,32 @@ def test_id_scan_reads_one_column(spark, tmp_path, prices):
 
 def test_scratch_follows_the_setting(spark, prices):
     assert new_location(spark, "x").startswith(shared_dir(spark))
-    kept = materialise(prices, "t", widen=True)
+    kept = materialise(prices, "t")
     assert rows(kept) == rows(prices) and kept.schema == prices.schema
     assert all(shared_dir(spark).removeprefix("file:") in f for f in kept.inputFiles())
+
+
+def test_csv_columns_by_name_and_doubled_quotes(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text('price,id\n999,38001407\n,2\nx,3\n', encoding="utf-8")
+    schema = schemas.VEHICLES_PRICE
+    assert [tuple(r) for r in readers.read_table(spark, str(tmp_path / "swapped.csv"), schema).collect()] == [
+        (38001407, 999), (2, None), (3, None)]
+    (tmp_path / "other.csv").write_text("id,price\n5,6\n", encoding="utf-8")
+    both = readers.read_table(spark, [str(tmp_path / "swapped.csv"), str(tmp_path / "other.csv")], schema)
+    assert (5, 6) in [tuple(r) for r in both.collect()]
+    (tmp_path / "wrong.csv").write_text("id,cost\n5,6\n", encoding="utf-8")
+    with pytest.raises(AnalysisException):
+        readers.read_table(spark, str(tmp_path / "wrong.csv"), schema)
+    texts = spark.createDataFrame([(1, 'a "b", c', None), (2, "x", 'q"')], "id long, license string, x string")
+    writers.write_csv(texts, f"{tmp_path}/quoted")
+    back = readers.read_table(spark, f"{tmp_path}/quoted", texts.schema)
+    assert {r.id: (r.license, r.x) for r in back.collect()} == {r.id: (r.license, r.x) for r in texts.collect()}
+
+
+def test_a_failed_swap_leaves_the_old_table(spark, tmp_path, prices, monkeypatch):
+    path = f"{tmp_path}/kept"
+    writers.append_batch(prices, path)
+    stored = spark.read.parquet(path)
+    with pytest.raises(Exception, match="divide|DIVIDE"):
+        writers.rewrite_table(spark, stored.select(F.expr("id div (id - id)").alias("id"), "price"), path)
+    assert rows(spark.read.parquet(path)) == rows(prices)

@@ -60,7 +60,7 @@ def found(df):
 def test_collect_batch(spark, prices):
     pages = report_pages(spark, broken={3})
     wanted = pages.select("id").unionAll(ids(spark, 9))
-    good, bad = jobs.incremental_collect(wanted, prices, ids(spark, 1), ids(spark, 2), jobs.read_report_pairs(pages))
+    good, bad = jobs.incremental_collect(wanted, prices, ids(spark, 1), ids(spark, 2), jobs.read_report_pairs(pages), ("price",))
     assert good.columns == COLLECTED.fieldNames() and found(good) == [4, 5, 6] and found(bad) == [3, 9]
     row = {r.id: r for r in good.collect()}
     assert row[4].price == "가격 없음" and row[5].price == "50"
@@ -72,7 +72,7 @@ def test_collect_batch(spark, prices):
 def test_collect_stops_at_the_target(spark, prices, target, good_ids, bad_ids):
     pages = report_pages(spark, broken={3})
     good, bad = jobs.incremental_collect(
-        pages, prices, ids(spark, 1), ids(spark), jobs.read_report_pairs(pages), target)
+        pages, prices, ids(spark, 1), ids(spark), jobs.read_report_pairs(pages), ("price",), target)
     assert found(good) == good_ids and found(bad) == bad_ids
 
 
@@ -86,11 +86,28 @@ def test_separate_report_tables_give_the_same_rows(spark):
     assert sorted(map(tuple, pair.collect())) == sorted(map(tuple, apart.collect()))
 
 
+def test_the_last_price_in_order_counts(spark):
+    pages = report_pages(spark)
+    prices = spark.createDataFrame([(1, 900, 0, 0), (1, 100, 0, 1), (2, 5, 1, 0), (2, 7, 0, 9)], "id long, price int, page int, pos int")
+    good, _ = jobs.incremental_collect(pages, prices, ids(spark), ids(spark), jobs.read_report_pairs(pages), ("page", "pos"))
+    assert {r.id: r.price for r in good.collect() if r.id < 3} == {1: "100", 2: "5"}
+
+
+def test_wanted_ids_come_before_extraction(spark):
+    pages = report_pages(spark)
+    one = pages.select("id", F.col("inspection").alias("html"))
+    two = pages.select("id", F.col("accident").alias("html"))
+    some = jobs.read_reports(one, two, ids(spark, 2, 4))
+    assert found(some) == [2, 4]
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("LeftSemi")
+
+
 def test_a_report_stored_many_times_is_one_row(spark, prices):
     pages = report_pages(spark)
     many = pages.unionAll(pages.where("id = 5")).unionAll(pages.where("id = 5").withColumn("accident", F.lit(None)))
     assert sorted(map(tuple, jobs.read_report_pairs(many).collect())) == sorted(map(tuple, jobs.read_report_pairs(pages).collect()))
-    good, _ = jobs.incremental_collect(many, prices, ids(spark), ids(spark), jobs.read_report_pairs(many))
+    good, _ = jobs.incremental_collect(many, prices, ids(spark), ids(spark), jobs.read_report_pairs(many), ("price",))
     assert found(good) == [1, 2, 3, 4, 5, 6]
 
 
@@ -100,7 +117,7 @@ def test_stream_resumes_without_repeats(spark, prices, tmp_path):
 
     def run():
         stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-        collect_stream(stream, prices, ids(spark, 1), ids(spark), root).awaitTermination()
+        collect_stream(stream, prices, ids(spark, 1), ids(spark), root, ("price",)).awaitTermination()
         read = lambda name, schema: found(spark.read.schema(schema).parquet(f"{root}/{name}"))
         return read("collected", COLLECTED), read("failed", ERROR_IDS)
 
@@ -125,9 +142,7 @@ def test_brand_collection(spark, tmp_path):
 def test_catalogue_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
     without_sql = set(QUERIES) - set(ORACLES)
-    assert without_sql == {
-        "preview", "random_split", "forest_predict", "train_forest", "train_linear", "pca_diagnosis", "pca_diagnosis_scores",
-    }
+    assert without_sql == {"train_forest", "train_linear", "pca_diagnosis", "pca_diagnosis_scores"}
 
 
 def test_vehicle_tables_cover_the_branches(spark, sf_dir):
@@ -144,6 +159,6 @@ def test_stream_stops_at_the_target(spark, prices, tmp_path):
     for first, last in ((1, 3), (4, 6)):
         pages.where(f"id BETWEEN {first} AND {last}").coalesce(1).write.mode("append").parquet(landing)
         stream = spark.readStream.schema(pages.schema).parquet(landing)
-        collect_stream(stream, prices, ids(spark, 1), ids(spark), root, target=3).awaitTermination()
+        collect_stream(stream, prices, ids(spark, 1), ids(spark), root, ("price",), target=3).awaitTermination()
     assert found(spark.read.schema(COLLECTED).parquet(f"{root}/collected")) == [2, 4]
     assert found(spark.read.schema(ERROR_IDS).parquet(f"{root}/failed")) == [3]

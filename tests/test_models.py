@@ -58,11 +58,18 @@ def test_forest_beats_the_mean(table):
 
 def test_one_hot(spark):
     df = spark.createDataFrame([(1, "b", "x"), (2, "a", "y"), (3, None, "x"), (4, "c", "x")], "id int, k string, j string")
-    coded = categories.one_hot(df, ["k", "j"]).orderBy("id")
-    assert coded.columns == ["id", "k_b", "k_c", "j_y"]
-    assert [tuple(r) for r in coded.collect()] == [(1, 1, 0, 0), (2, 0, 0, 1), (3, 0, 0, 0), (4, 0, 1, 0)]
-    with pytest.raises(ValueError, match="not a category"):
-        categories.levels(df, "k", most=2)
+    wide = categories.one_hot_columns(df, {"k": ["a", "b", "c"], "j": ["x", "y"]}).orderBy("id")
+    assert wide.columns == ["id", "k_b", "k_c", "j_y"]
+    assert [tuple(r) for r in wide.collect()] == [(1, 1, 0, 0), (2, 0, 0, 1), (3, 0, 0, 0), (4, 0, 1, 0)]
+    sparse = categories.one_hot(df, ["k", "j"]).orderBy("id").collect()
+    assert [(r.k.toArray().tolist(), r.j.toArray().tolist()) for r in sparse] == [
+        ([0, 1], [0]), ([0, 0], [1]), ([0, 0], [0]), ([1, 0], [0])]
+
+
+def test_one_hot_of_many_values(spark):
+    df = spark.range(12_000).select("id", F.format_string("%06d", F.col("id")).alias("k"))
+    first, last = (categories.one_hot(df.where(f"id in (0, {n})").unionAll(df), ["k"]).where(f"id = {n}").first().k for n in (0, 11_999))
+    assert first.size == last.size == 11_999 and first.numNonzeros() == 0 and last.indices.tolist() == [0]
 
 
 @pytest.mark.parametrize("ddof", [0, 1])

@@ -1,10 +1,10 @@
-"""Joins, set algebra, caps, and the same results when keys are hot."""
+"""Joins, set algebra and caps, also where keys are hot."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from lotledger.operators import relational as rel
-from lotledger.operators import skew
+from lotledger.operators.group_stats import attach_stats
 from lotledger.schemas import INSURANCE_NAMES
 
 
@@ -25,34 +25,34 @@ def three(spark):
     return a, b, c
 
 
-def test_inner_join_same_with_hot_keys(three):
+def test_joins_are_split_on_hot_keys(spark, three):
+    """Both joins of a chain, and the join to group statistics, are split by adaptive execution."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        price = spark.range(20_000).repartition(8).select(F.when(F.col("id") < 15_000, 7).otherwise(F.col("id")).alias("id"), F.col("id").alias("price"))
+        other = spark.range(20_000).repartition(8)
+        joined = rel.join_vehicles(price, other.withColumn("h", F.lit(1)), other.withColumn("s", F.lit(2)))
+        assert len(joined.collect()) == 20_000
+        assert joined._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin(skew=true)") >= 2
+        stats = attach_stats(price.withColumn("model", F.col("id")), "model", "price")
+        assert len(stats.collect()) == 20_000
+        assert "SortMergeJoin(skew=true)" in stats._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_join_keeps_repeats_and_drops_nulls(three):
     a, b, c = three
-    plain = a.join(b, "id").join(c, "id")
-    hot = skew.hot_keys([a, b, c], "id", hot_rows=30, hot_share=0.3)
-    assert [set(h) for h in hot] == [{7}, {9}, set()]
-    split = skew.inner_join_on_key([a, b, c], "id", hot, parts=4)
-    assert split.columns == plain.columns
-    assert rows(split) == rows(plain)
-
-
-@pytest.mark.parametrize("how", ["left", "left_anti", "left_semi", "inner"])
-def test_unique_side_join_same_with_hot_keys(spark, three, how):
-    a, _, _ = three
-    for right_ids in ([7, 1, 5], [9, 5]):
-        right = spark.createDataFrame([(i, i * 10) for i in right_ids], "id long, v long")
-        hot = skew.hot_keys([a], "id", hot_rows=30)[0]
-        assert set(hot) == {7}
-        assert rows(skew.join_unique(a, right, "id", how, hot, parts=4)) == rows(a.join(right, "id", how))
-
-
-def test_copies_of_one_row_reach_many_parts(spark):
-    copies = spark.range(4000).repartition(8).select(F.lit(7).alias("id"), F.lit("same").alias("x"))
-    parts = skew._spread(copies, 4).select("__part").distinct().count()
-    assert parts > 1
-
-
-def test_no_key_is_hot_in_small_tables(three):
-    assert skew.hot_keys(list(three), "id") == [{}, {}, {}]
+    assert rel.join_vehicles(a, b, c).count() == 60 * 2 + 60 * 2 + 1
 
 
 def test_rename_and_harmonise(spark):
