@@ -7,8 +7,8 @@ other hash the different segments are put in a row and sorted by a suffix array,
 grouping; neighbours in the order that agree in 50 bytes are equal windows, and each window gets the
 smallest document that has it. Documents then look up their segments.
 
-Documents that are copies as a whole are settled by their digest. Hashes that very many documents
-have are dealt out further by the first bytes of each window, so no group grows with one passage.
+Documents that are copies as a whole are settled by their digest. A hash that more documents have
+than fit a task is dealt out by the first bytes of each window, so no group grows with one passage.
 """
 
 from __future__ import annotations
@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 from lotledger.llm.common import python_tasks
 from lotledger.llm.shingles import U, mix, parts, text_bytes
 from lotledger.llm.suffix_groups import _ranges, suffix_arrays
-from lotledger.session import materialise
+from lotledger.session import materialise, new_location
 
 WINDOW = 50
 BLOCK_BYTES = 6 << 20  # text of a block of documents
 BUCKET_HASHES = 600_000  # hashes of a bucket
-HOT_BLOCKS = 24  # a hash that more lists of blocks name is dealt out further
+HOT_BLOCKS = 100_000  # a hash that more lists of blocks name is dealt out by windows
 GROUP_BYTES = 2_048  # longest row of segments that is sorted as one string
 BATCH_BYTES = 2 << 20  # strings that are sorted together
 _P = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
@@ -132,6 +132,17 @@ def _settle(strings, segments, docs, at, result, window) -> None:
     result[target[order]] = np.repeat(least, np.diff(heads, append=len(order)))
 
 
+def _packed(h: np.ndarray) -> bytes:
+    """The low 48 bits of each hash; equal ones by chance only cost a comparison."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(U)
+
+
 def _key(segment: bytes) -> int:
     return int.from_bytes(blake2b(segment, digest_size=8).digest(), "little", signed=True)
 
@@ -175,14 +186,14 @@ def _earlier(docs: DataFrame, window: int) -> DataFrame:
             cuts = np.flatnonzero(np.concatenate([[True], (to[1:] != to[:-1]) | (where[1:] != where[:-1])])) if len(h) else np.zeros(0, int)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(to[cuts], pa.int32()), pa.array(where[cuts], pa.int32()),
-                 pa.array([x.tobytes() for x in np.split(h, cuts[1:])] if len(cuts) else [], pa.binary()),
+                 pa.array([_packed(x) for x in np.split(h, cuts[1:])] if len(cuts) else [], pa.binary()),
                  pa.array([np.packbits(x).tobytes() for x in np.split(several, cuts[1:])] if len(cuts) else [], pa.binary())],
                 names=["bucket", "block", "hashes", "several"],
             )
 
     def judged(keys: tuple[pa.Scalar, ...], lists: pa.Table) -> pa.Table:
         """Which hashes of each block other texts have too, and which very many lists name."""
-        values = [np.frombuffer(b, U) for b in lists.column("hashes").to_pylist()]
+        values = [_unpacked(b) for b in lists.column("hashes").to_pylist()]
         flags = [np.unpackbits(np.frombuffer(f, np.uint8), count=len(v)) for f, v in zip(lists.column("several").to_pylist(), values, strict=True)]
         lengths = [len(v) for v in values]
         whole = np.concatenate(values)
@@ -192,7 +203,7 @@ def _earlier(docs: DataFrame, window: int) -> DataFrame:
         hot = (counts > HOT_BLOCKS)[inverse]
         cuts = np.cumsum(lengths)[:-1]
         out = [
-            (b, v[s].tobytes(), np.packbits(o[s]).tobytes())
+            (b, _packed(v[s]), np.packbits(o[s]).tobytes())
             for b, v, s, o in zip(lists.column("block").to_pylist(), values, np.split(shared, cuts), np.split(hot, cuts), strict=True) if s.any()
         ]
         b, v, o = zip(*out, strict=True) if out else ((), (), ())
@@ -221,14 +232,15 @@ def _earlier(docs: DataFrame, window: int) -> DataFrame:
         blobs = [x for x in facts.column("hashes").to_pylist() if x]
         if not len(own) or not blobs:
             return empty
-        values = np.concatenate([np.frombuffer(x, U) for x in blobs])
-        hot = np.concatenate([np.unpackbits(np.frombuffer(o, np.uint8), count=len(x) // 8) for o, x in zip(facts.column("hot").to_pylist(), facts.column("hashes").to_pylist(), strict=True) if x])
+        values = np.concatenate([_unpacked(x) for x in blobs])
+        hot = np.concatenate([np.unpackbits(np.frombuffer(o, np.uint8), count=len(x) // 6) for o, x in zip(facts.column("hot").to_pylist(), facts.column("hashes").to_pylist(), strict=True) if x])
         values, at = np.unique(values, return_index=True)
         hot = hot[at]
         column = own.column("text").chunk(0) if isinstance(own.column("text"), pa.ChunkedArray) else own.column("text")
         data, offsets, (owner, start, count, h) = _all_runs(column)
-        spot = np.minimum(np.searchsorted(values, h), len(values) - 1)
-        found = np.flatnonzero(values[spot] == h)
+        low = h & U((1 << 48) - 1)
+        spot = np.minimum(np.searchsorted(values, low), len(values) - 1)
+        found = np.flatnonzero(values[spot] == low)
         owner, start, count, h, warm = owner[found], start[found], count[found], h[found], hot[spot[found]] > 0
         doc, tag = own.column("doc_id").to_numpy(), own.column("tag").to_numpy()
         raw = data.tobytes()
@@ -254,7 +266,10 @@ def _earlier(docs: DataFrame, window: int) -> DataFrame:
     pieces = mine.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(
         cut, "h long, k long, doc_id long, tag long, start int, segment binary, least long, most long"
     )
-    pieces = materialise(pieces, "segments")
+    # Segments in a row overlap, which a stronger codec makes use of.
+    place = new_location(docs.sparkSession, "segments")
+    pieces.write.option("compression", "zstd").parquet(place)
+    pieces = docs.sparkSession.read.schema(pieces.schema).parquet(place)
 
     groups = max(1, buckets * 4)
 
