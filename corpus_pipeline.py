@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that occur before; those of which nothing is left go."""
     left = line_chunks.remove_repeated(docs)
-    left = left.where(~((F.col("n_removed") > 0) & (F.trim("text") == ""))).drop("n_lines", "n_removed")
+    left = left.where(~((F.col("n_removed") + F.col("n_cut") > 0) & (F.trim("text") == ""))).drop("n_lines", "n_removed", "n_cut")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left.select(*docs.columns)

@@ -4,6 +4,11 @@ A rolling hash over the hashes of two lines in a row tells where a chunk ends, s
 passage come out alike wherever the passage stands. A chunk has several lines; a line with as
 many words as a passage ends the chunk before it and is one in itself. Chunks that occur more
 than once are compared byte by byte with their first occurrence, which stays.
+
+Passages that are no chunks of lines, inside a line or over a few short ones, are found by words.
+Each run of 50 words belongs to the smallest hash of the 16-word groups in it, so equal runs share
+theirs wherever they stand; runs in a row with one hash are a segment. Equal segments repeat as a
+whole. Where a hash has several segments, each one's runs are compared, by a digest of their bytes.
 """
 
 from __future__ import annotations
@@ -12,18 +17,23 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotledger.llm.common import python_tasks
+from lotledger.llm.shingles import SPACE, U, mix, parts, text_bytes
 from lotledger.session import materialise
 
 ENDS_ONE_IN = 3  # a boundary follows one line in so many
 PASSAGE_WORDS = 50  # a line of so many words is a chunk in itself
 _FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
+_BYTES = np.random.Generator(np.random.PCG64(20_240_602)).integers(1, 1 << 64, 256, dtype=U)
+#: Spaces that ``str.split`` knows besides those of ASCII, in UTF-8.
+_WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 def line_hash(line: str) -> int:
@@ -59,6 +69,165 @@ def chunks(text: str | None, passage_words: int = PASSAGE_WORDS) -> list[tuple[i
     return found
 
 
+def words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends."""
+    inside = ~SPACE[np.frombuffer(raw, np.uint8)]
+    for found in _WIDE_SPACE.finditer(raw):
+        inside[found.start():found.end()] = False
+    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    return edges[::2], edges[1::2]
+
+
+def _parts(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts in ranges: number of the first, bytes with a line break after each, words, first word of each."""
+    data, offsets = text_bytes(column)
+    for first, last in parts(offsets):
+        raw = b"\n".join([data[a:b].tobytes() for a, b in zip(offsets[first:last], offsets[first + 1:last + 1], strict=True)] + [b""])
+        bounds = offsets[first:last + 1] - offsets[first] + np.arange(last - first + 1)
+        begin, end = words(raw)
+        yield first, raw, begin, end, np.searchsorted(begin, bounds)
+
+
+def _segments(raw: bytes, begin: np.ndarray, end: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with the same smallest hash: text, first word in the range, windows, hash."""
+    none = np.zeros(0, np.int64)
+    if len(begin) < window:
+        return none, none, none, np.zeros(0, U)
+    data = np.frombuffer(raw, np.uint8)
+    powers = np.cumprod(np.full(len(data), _FACTOR, U), dtype=U)
+    inverse = np.cumprod(np.full(len(data), pow(_FACTOR, -1, 1 << 64), U), dtype=U)
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTES[data] * powers, dtype=U)])
+    h = mix((sums[end] - sums[begin]) * inverse[begin])
+    group = 1
+    while group * 2 <= window // 3:
+        h = mix(h[:-group] * U(_FACTOR) + h[group:])
+        group *= 2
+    grams, reach = window - group + 1, 1
+    while reach < grams:
+        step = min(reach, grams - reach)
+        h = np.minimum(h[:-step], h[step:])
+        reach += step
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    valid = np.flatnonzero(owner[:len(h)] == owner[window - 1:])
+    if not len(valid):
+        return none, none, none, np.zeros(0, U)
+    new = np.ones(len(valid), bool)
+    new[1:] = (np.diff(valid) != 1) | (h[valid[1:]] != h[valid[:-1]])
+    heads = np.flatnonzero(new)
+    return owner[valid[heads]], valid[heads], np.diff(heads, append=len(valid)), h[valid[heads]]
+
+
+def _digest(raw: bytes) -> bytes:
+    return blake2b(raw, digest_size=16).digest()
+
+
+def _passages(whole: DataFrame, window: int) -> DataFrame:
+    """``doc_id, tag, place, n``: ``n`` windows from word ``place`` on that occur before, in another text or apart in this one."""
+    kind = whole.schema["doc_id"].dataType.simpleString()
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, raw, begin, end, at in _parts(batch.column("text")):
+                owner, start, n, h = _segments(raw, begin, end, at, window)
+                keys = [_digest(raw[a:b]) for a, b in zip(begin[start].tolist(), end[start + n + window - 2].tolist(), strict=True)]
+                texts = pa.array(owner + first)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(texts), batch.column("tag").take(texts), pa.array(start - at[owner], pa.int32()),
+                     pa.array(n, pa.int32()), pa.array(h.view(np.int64)), pa.array(keys, pa.binary())],
+                    names=["doc_id", "tag", "place", "n", "h", "key"],
+                )
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = batch.column("asked").to_pylist()
+            for first, raw, begin, end, at in _parts(batch.column("text")):
+                texts, places = [], []
+                for i in range(len(at) - 1):
+                    for piece in asked[first + i]:
+                        places += range(piece["place"], piece["place"] + piece["n"])
+                    texts += [i] * (len(places) - len(texts))
+                texts, places = np.array(texts, np.int64), np.array(places, np.int64)
+                word = at[texts] + places
+                keys = [_digest(raw[a:b]) for a, b in zip(begin[word].tolist(), end[word + window - 1].tolist(), strict=True)]
+                texts = pa.array(texts + first)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(texts), batch.column("tag").take(texts), pa.array(places, pa.int32()), pa.array(keys, pa.binary())],
+                    names=["doc_id", "tag", "place", "key"],
+                )
+
+    def firsts(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "tag", "place")).alias("first"), F.count("*").alias("copies"))
+
+    # Equal words that overlap in one text do not repeat each other.
+    apart = F.expr(f"doc_id <> first.doc_id or tag <> first.tag or place >= first.place + {window}")
+    placed = materialise(whole.mapInArrow(listed, f"doc_id {kind}, tag long, place int, n int, h long, key binary"), "segments")
+    # A hash that stands once has nothing to compare, unless its segment is long enough to repeat itself.
+    several = placed.groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most")).where(f"rows > 1 or most > {window}")
+    shared = materialise(placed.join(several.select("h"), "h"), "shared-segments")
+    known = materialise(firsts(shared, ["h", "key"]), "first-segments")
+    mixed = known.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h", F.lit(True).alias("mixed"))
+    known = known.join(mixed, "h", "left").select("key", "first", "copies", F.coalesce("mixed", F.lit(False)).alias("mixed"))
+    known = known.where("copies > 1 or mixed")
+    judged = shared.join(known, "key").withColumn("again", apart).select(
+        "doc_id", "tag", "place", "n", "again",
+        F.expr(f"not again and (mixed or n > {window} or doc_id <> first.doc_id or tag <> first.tag or place <> first.place)").alias("asked"),
+    )
+    alone = shared.where(f"n > {window}").select("doc_id", "tag", "place", "n")
+    judged = materialise(judged, "judged-segments")
+    asked = judged.where("asked").select("doc_id", "tag", "place", "n").unionByName(alone)
+    asked = asked.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "n")).alias("asked"))
+    windows = whole.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked")
+    windows = materialise(windows.mapInArrow(single, f"doc_id {kind}, tag long, place int, key binary"), "windows")
+    again = windows.join(firsts(windows, ["key"]).where("copies > 1"), "key").where(apart)
+    return judged.where("again").select("doc_id", "tag", "place", "n").unionByName(again.select("doc_id", "tag", "place", F.lit(1).alias("n")))
+
+
+def _without(text: str, dropped: set[int], cuts: list[tuple[int, int]], window: int) -> tuple[str, int]:
+    """The text without some lines and words, and the number of words that went besides those lines."""
+    lines = text.split("\n")
+    if not cuts:
+        left = [x for i, x in enumerate(lines) if i not in dropped]
+        return "\n".join(left) if any(x.strip() for x in left) else "", 0
+    raw = text.encode("utf-8", "surrogatepass")
+    begin, end = words(raw)
+    gone = np.zeros(len(begin) + 1, np.int64)
+    for place, n in cuts:
+        if place + n + window - 1 <= len(begin):
+            gone[place] += 1
+            gone[place + n + window - 1] -= 1
+    gone = np.cumsum(gone)[:-1] > 0
+    out, word, base, cut = [], 0, 0, 0
+    begins, ends, covered = begin.tolist(), end.tolist(), gone.tolist()
+    for i, line in enumerate(raw.split(b"\n")):
+        first, stop = word, base + len(line)
+        while word < len(begins) and begins[word] < stop:
+            word += 1
+        own = covered[first:word]
+        if i in dropped:
+            pass
+        elif not any(own):
+            # A blank line inside a passage goes with it.
+            if own or not (0 < first < len(begins) and covered[first - 1] and covered[first]):
+                out.append(line)
+        else:
+            cut += sum(own)
+            if not all(own):
+                kept, at = [], base
+                for k in range(first, word):
+                    if covered[k]:
+                        continue
+                    if k > first and covered[k - 1]:
+                        # With words before, their end joins what separates the passage from the next word.
+                        kept.append(raw[ends[k - 1]:begins[k]] if kept else raw[base:begins[first]])
+                        at = begins[k]
+                    kept.append(raw[at:ends[k]])
+                    at = ends[k]
+                out.append(b"".join(kept) + raw[ends[word - 1]:stop])
+        base = stop + 1
+    left = b"\n".join(out)
+    return (left.decode("utf-8", "surrogatepass") if len(words(left)[0]) else ""), cut
+
+
 def _signed(key: int) -> int:
     return key - (1 << 64) if key >> 63 else key
 
@@ -68,11 +237,13 @@ def _cut(text: str, chunk: tuple[int, int, int]) -> str:
 
 
 def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
-    """``docs`` with the text that is left, and ``n_lines, n_removed`` (lines) at the end.
+    """``docs`` with the text that is left, and ``n_lines, n_removed, n_cut`` at the end.
 
-    Of equal chunks the one in the smallest ``doc_id``, there the first, stays. Null texts stay
-    null and empty ones empty. Rows without an id take no part. Rows that share an id count as one
-    document. A line break that ends a removed chunk goes with it.
+    Lines of repeated chunks are in ``n_removed``; words of repeated passages outside of these are
+    in ``n_cut``. A passage has ``passage_words`` words or more with the same bytes between them.
+    Of equal chunks and passages the one in the smallest ``doc_id``, there the first, stays. Null texts stay
+    null and empty ones empty. Rows without an id take no part. Rows that share an id and a
+    text count as one document. A line break that ends a removed chunk goes with it.
     """
     python_tasks(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -80,66 +251,68 @@ def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Data
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (doc, i, _signed(c[2]))
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                (doc, tag, i, _signed(c[2]))
+                for doc, tag, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
                 for i, c in enumerate(chunks(text, passage_words))
             ]
-            ids, places, found = zip(*rows, strict=True) if rows else ((), (), ())
+            ids, tags, places, found = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(places, pa.int32()), pa.array(found, pa.int64())], names=["doc_id", "place", "key"]
+                [pa.array(ids, batch.schema.field(0).type), pa.array(tags, pa.int64()), pa.array(places, pa.int32()), pa.array(found, pa.int64())],
+                names=["doc_id", "tag", "place", "key"],
             )
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, tag, text, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 own = chunks(text, passage_words)
-                # Texts that share an id may have fewer chunks.
-                rows += [(doc, p, _signed(own[p][2]), _cut(text, own[p])) for p in places if p < len(own)]
-            ids, places, found, texts = zip(*rows, strict=True) if rows else ((), (), (), ())
+                rows += [(doc, tag, p, _signed(own[p][2]), _cut(text, own[p])) for p in places if p < len(own)]
+            ids, tags, places, found, texts = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(places, pa.int32()), pa.array(found, pa.int64()), pa.array(texts, pa.string())],
-                names=["doc_id", "place", "key", "chunk"],
+                [pa.array(ids, batch.schema.field(0).type), pa.array(tags, pa.int64()), pa.array(places, pa.int32()), pa.array(found, pa.int64()), pa.array(texts, pa.string())],
+                names=["doc_id", "tag", "place", "key", "chunk"],
             )
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    whole = texts.where("doc_id is not null and text is not null")
-    placed = materialise(whole.mapInArrow(keys, f"doc_id {kind}, place int, key long"), "line-chunks")
-    repeated = placed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).where("n > 1")
-    repeated = materialise(repeated.select("key", F.col("first.doc_id").alias("first_doc"), F.col("first.place").alias("first_place")), "repeated-chunks")
-    asked = placed.join(repeated.select("key"), "key").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    held = whole.join(asked, "doc_id").select("doc_id", "text", "places")
-    held = materialise(held.mapInArrow(contents, f"doc_id {kind}, place int, key long, chunk string"), "chunk-texts")
-    first = held.join(
-        repeated.select("key", F.col("first_doc").alias("doc_id"), F.col("first_place").alias("place")), ["key", "doc_id", "place"]
-    ).select("key", F.col("chunk").alias("first_chunk"), F.col("doc_id").alias("first_doc"), F.col("place").alias("first_place"))
-    same = held.join(first, "key").where("chunk = first_chunk and not (doc_id = first_doc and place = first_place)")
-    gone = same.select("doc_id", "place").groupBy("doc_id").agg(F.collect_set("place").alias("__gone"))
+    whole = texts.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    placed = materialise(whole.mapInArrow(keys, f"doc_id {kind}, tag long, place int, key long"), "line-chunks")
+    repeated = placed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "place")).alias("first")).where("n > 1")
+    repeated = materialise(repeated.select("key", "first"), "repeated-chunks")
+    asked = placed.join(repeated.select("key"), "key").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+    held = whole.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "places")
+    held = materialise(held.mapInArrow(contents, f"doc_id {kind}, tag long, place int, key long, chunk string"), "chunk-texts")
+    first = held.join(repeated.select("key", "first.*"), ["key", "doc_id", "tag", "place"]).select(
+        "key", F.col("chunk").alias("first_chunk"), F.struct("doc_id", "tag", "place").alias("first")
+    ).dropDuplicates(["key"])
+    same = held.join(first, "key").where("chunk = first_chunk and struct(doc_id, tag, place) <> first")
+    # A chunk has no windows in this list.
+    gone = same.select("doc_id", "tag", "place", F.lit(0).alias("n")).unionByName(_passages(whole, passage_words))
+    gone = gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "n")).alias("__gone"))
 
     names = docs.columns
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")])
+    schema = T.StructType([f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed", "n_cut")])
     kept = [f.name for f in schema.fields]
-    schema = schema.add("n_lines", T.LongType()).add("n_removed", T.LongType())
+    schema = schema.add("n_lines", T.LongType()).add("n_removed", T.LongType()).add("n_cut", T.LongType())
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, lines, removed = [], [], []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
-                own = text.split("\n") if text else []
-                lines.append(len(own))
-                if places:
+            out, lines, removed, cut = [], [], [], []
+            for text, pieces in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
+                lines.append(len(text.split("\n")) if text else 0)
+                drop, n = set(), 0
+                if pieces:
                     found = chunks(text, passage_words)
-                    drop = {i for p in places if p < len(found) for i in range(found[p][0], found[p][1])}
-                    text = "\n".join(x for i, x in enumerate(own) if i not in drop)
-                    removed.append(len(drop))
-                else:
-                    removed.append(0)
+                    drop = {i for x in pieces if not x["n"] for i in range(*found[x["place"]][:2])}
+                    text, n = _without(text, drop, [(x["place"], x["n"]) for x in pieces if x["n"]], passage_words)
+                removed.append(len(drop))
+                cut.append(n)
                 out.append(text)
             columns = [pa.array(out, pa.string()) if n == "text" else batch.column(n) for n in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=[*kept, "n_lines", "n_removed"])
+            counts = [pa.array(x, pa.int64()) for x in (lines, removed, cut)]
+            yield pa.RecordBatch.from_arrays([*columns, *counts], names=[*kept, "n_lines", "n_removed", "n_cut"])
 
-    gone = gone.withColumnRenamed("doc_id", "__doc")
+    gone = gone.withColumnRenamed("doc_id", "__doc").withColumnRenamed("tag", "__tag")
     source = docs.select(*[F.col(n).cast("string").alias(n) if n == "text" else F.col(n) for n in names])
-    joined = source.join(gone, source["doc_id"] == gone["__doc"], "left").drop("__doc")
+    joined = source.join(gone, (source["doc_id"] == gone["__doc"]) & (F.xxhash64(source["text"]) == gone["__tag"]), "left").drop("__doc", "__tag")
     schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "text" else f for f in schema.fields])
     return joined.mapInArrow(rewrite, schema)

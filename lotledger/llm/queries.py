@@ -70,7 +70,7 @@ def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document once repeated passages are gone."""
     left = line_chunks.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return left.select("doc_id", "n_lines", "n_removed", "n_cut", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

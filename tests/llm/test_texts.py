@@ -1,5 +1,7 @@
 """Operators on single texts: tokens, page text, line chunks, toxicity and grades."""
 
+import re
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -197,3 +199,47 @@ def test_quality_held_out_accuracy(spark):
     got = queries.op7_ordinal_quality(spark, path).join(labels, "doc_id").where("held_out")
     rate = {r.quality: r.k for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
     assert rate[1] > 0.97 and rate[0] < 0.3
+
+
+def brute_passages(rows, window=50):
+    """Words that lie in 50 words of the same bytes that occur before."""
+    seen, out = {}, {}
+    for doc, text in rows:
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        gone = [False] * len(spans)
+        for p in range(len(spans) - window + 1):
+            d, q = seen.setdefault(text[spans[p][0]:spans[p + window - 1][1]], (doc, p))
+            if d < doc or q + window <= p:
+                gone[p:p + window] = [True] * window
+        out[doc] = [text[a:b] for (a, b), g in zip(spans, gone, strict=True) if not g]
+    return out
+
+
+def test_passages_inside_lines_and_over_short_lines(spark):
+    words = [f"word{i}" for i in range(60)]
+    short = "\n".join(" ".join(words[i:i + 12]) for i in range(0, 60, 12))
+    tail = " ".join(f"tail{i}" for i in range(80))
+    rows = [
+        (1, f"one {LONG} {tail}"), (2, f"two  {LONG} end\nlast"), (3, f"{short}\nthree"), (4, f"four\n{short}\nafter"),
+        (5, f"five words {LONG}"), (6, f"{LONG} six"), (7, " ".join(words[5:54])), (8, f"x {short} y"), (9, "a " * 130),
+        (10, f"ten\n{tail[:300]}"), (11, f"{tail} {tail}"), (12, f"m\n\n{short}\n\n{short}"),
+    ]
+    got = {r.doc_id: r.text for r in line_chunks.remove_repeated(docs(spark, [t for _, t in rows]).select((F.col("doc_id") + 1).alias("doc_id"), "text")).collect()}
+    want = brute_passages(rows)
+    assert {d: t.split() for d, t in got.items()} == want
+    assert got[2] == "two end\nlast" and got[4] == "four\nafter" and got[5] == "five words" and got[6] == "six" and got[8] == "x\ny"
+
+
+def test_no_passage_stays_twice(spark, sf_dir):
+    """Of the words in passages that occur before, none is left in the small table."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.text.split() for r in line_chunks.remove_repeated(table).collect()}
+    want = brute_passages(sorted(map(tuple, table.collect())))
+    assert sum(map(len, want.values())) > 0
+
+    def within(few, many):
+        rest = iter(many)
+        return all(w in rest for w in few)
+
+    # Repeated chunks of lines go besides, so less may be left.
+    assert all(within(got[d], w) for d, w in want.items())
