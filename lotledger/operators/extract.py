@@ -17,10 +17,28 @@ LIST_BLOCK = r"(?s)<ul[^>]*>(.*?)</ul>"
 LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
 TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?s)<td[^>]*>(.*?)</td>"
-SPAN_TEXT = r"(?s)<span[^>]*>([^<]*)</span>"
-DEFINITION = r"(?s)<dd[^>]*>([^<]*)</dd>"
-STRONG_TEXT = r"(?s)<strong[^>]*>([^<]*)</strong>"
-LABELLED_CELL = r"(?s)<th[^>]*>([^<]*)</th>\s*<td[^>]*>([^<]*)</td>"
+
+
+def _leaf(tag: str) -> str:
+    """A node that holds no other of its kind; any other markup may be inside."""
+    return rf"<{tag}(?=[\s>])[^>]*>([^<]*+(?:<(?!/?{tag}[\s>])[^<]*+)*+)</{tag}\s*>"
+
+
+SPAN_TEXT = _leaf("span")
+DEFINITION = _leaf("dd")
+STRONG_TEXT = _leaf("strong")
+LABELLED_CELL = _leaf("th") + r"\s*" + _leaf("td")
+#: What these match is the inside of an element, of which fields take the text.
+TEXT_NODES = {SPAN_TEXT, DEFINITION, STRONG_TEXT, TABLE_CELL}
+COMMENT = r"(?s)<!--.*?-->"
+MARKUP = r"</?[A-Za-z][^>]*>"
+LINE_BREAK = r"(?i)<br(?=[\s/>])[^>]*>"
+ENTITY_PARTS = r"[^&]+|&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z]+;|&"
+ENTITIES = {
+    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&amp;": "&", "&quot;": '"', "&apos;": "'", "&middot;": "·", "&hellip;": "…",
+    "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&times;": "×",
+    "&won;": "₩", "&sup2;": "²", "&sup3;": "³", "&deg;": "°", "&copy;": "©", "&reg;": "®", "&trade;": "™", "&bull;": "•",
+}
 
 
 class Step(NamedTuple):
@@ -90,10 +108,31 @@ def _once(pages: DataFrame, keep: list[str], columns: dict[str, Column]) -> Data
     return pages.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def _decoded(part: Column) -> Column:
+    """The character of an entity; unknown ones and plain text stay."""
+    digits = F.regexp_extract(part, "^&#[xX]?([0-9a-fA-F]+);$", 1)
+    code = F.when(part.rlike("^&#[xX]"), F.conv(digits, 16, 10)).when(part.rlike("^&#"), digits).cast("long")
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    return (
+        F.when(code == 160, F.lit(" "))
+        .when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        .otherwise(F.coalesce(F.try_element_at(known, part), part))
+    )
+
+
+def inner_text(node: Column) -> Column:
+    """The text of a node: without tags, a line break for each ``br``, entities decoded once."""
+    plain = F.regexp_replace(F.regexp_replace(node, LINE_BREAK, "\n"), MARKUP, "")
+    parts = F.regexp_extract_all(plain, F.lit(ENTITY_PARTS), F.lit(0))
+    return F.when(plain.contains("&"), F.array_join(F.transform(parts, _decoded), "")).otherwise(plain)
+
+
 def _matches(text: Column, patterns: tuple[str, ...]) -> Column:
     """First-group matches of the first pattern, each split further by the rest: nested arrays."""
     found = F.regexp_extract_all(text, F.lit(patterns[0]), F.lit(1))
-    return F.transform(found, lambda part: _matches(part, patterns[1:])) if patterns[1:] else found
+    if patterns[1:]:
+        return F.transform(found, lambda part: _matches(part, patterns[1:]))
+    return F.transform(found, inner_text) if patterns[0] in TEXT_NODES else found
 
 
 def extract_fields(
@@ -105,7 +144,11 @@ def extract_fields(
     once however many fields it holds.
     """
     paths = list(dict.fromkeys(tuple(step.pattern for step in steps) for steps in fields.values()))
-    layout = _once(pages, keep, {f"__path{i}": _matches(F.col(html), path) for i, path in enumerate(paths)})
+
+    def source(path: tuple[str, ...]) -> Column:
+        return F.regexp_replace(F.col(html), COMMENT, "") if path[-1] in TEXT_NODES else F.col(html)
+
+    layout = _once(pages, keep, {f"__path{i}": _matches(source(path), path) for i, path in enumerate(paths)})
 
     def field(steps: list[Step]) -> Column:
         node = F.col(f"__path{paths.index(tuple(step.pattern for step in steps))}")
@@ -124,11 +167,14 @@ def extract_labelled(
     ``cells`` take the ``td`` right after the first ``th`` that contains the label, ``items``
     the first span text of the first list item that contains it.
     """
-    text = F.col(html)
+    text = F.regexp_replace(F.col(html), COMMENT, "")
     layout = _once(pages, keep, {
-        "__heads": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(1)),
-        "__cells": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(2)),
-        "__items": F.regexp_extract_all(text, F.lit(LIST_ITEM), F.lit(1)),
+        "__heads": F.transform(F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(1)), inner_text),
+        "__cells": F.transform(F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(2)), inner_text),
+        "__items": F.transform(
+            F.regexp_extract_all(text, F.lit(LIST_ITEM), F.lit(1)),
+            lambda node: F.struct(inner_text(node).alias("text"), F.get(_matches(node, (SPAN_TEXT,)), F.lit(0)).alias("span")),
+        ),
     })
 
     def cell(label: str) -> Column:
@@ -136,8 +182,7 @@ def extract_labelled(
         return F.get(F.filter(pairs, lambda pair: pair["head"].contains(label)), F.lit(0))["cell"]
 
     def item(label: str) -> Column:
-        found = F.get(F.filter("__items", lambda node: node.contains(label)), F.lit(0))
-        return F.get(F.regexp_extract_all(found, F.lit(SPAN_TEXT), F.lit(1)), F.lit(0))
+        return F.get(F.filter("__items", lambda node: node["text"].contains(label)), F.lit(0))["span"]
 
     return layout.select(
         *keep,

@@ -82,3 +82,33 @@ def test_pages_are_matched_once(spark):
     df = extract.require_all(extract.extract_fields(pages, extract.INSPECTION_FIELDS, ["id"]), ["transmission", "warranty"])
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<ul") == 1
+
+
+MARKED = (
+    "<dl><dd class='a'>12<b>가</b> 3456</dd></dl><table><tr><td>x</td><td> 그랜저&nbsp;<b>HG</b> </td></tr></table><ul><li>a</li><li>b</li>"
+    "<li><span class='o'><span>1<b>회</b></span><span><!-- <span> -->2회 &amp;lt; &#44032;&#x1F697;</span></span></li>"
+    "<li><span><span></span><i><span>없음 &lt;1&gt; &unknown; & b</span></i></span></li><li><p>5</p></li><li><span>a<br/>b</span></li></ul>"
+)
+
+
+def test_fields_with_inner_markup(spark):
+    pages = spark.createDataFrame([(1, MARKED), (2, "<ul><li><span>" + "<i>x</i>" * 1500 + "</span></li></ul>")], "id long, html string")
+    got = extract.extract_fields(pages, extract.ACCIDENT_FIELDS, ["id"])
+    row = got.where("id = 1").first()
+    assert (row.license, row.model, row.license_changed, row.owner_changed) == ("12가 3456", "그랜저 HG", "1회", "2회 &lt; 가🚗")
+    assert (row.total_loss, row.flood, row.theft, row.cm, row.co) == ("", "없음 <1> &unknown; & b", None, None, "a\nb")
+    stopped = extract.default_after_failure(got, ["license", "flood", "cm", "co"]).where("id = 1").first()
+    assert (stopped.license, stopped.flood, stopped.cm, stopped.co) == ("12가 3456", "없음 <1> &unknown; & b", "N/A", "N/A")
+    assert extract.extract_fields(pages, {"long": [extract.Step(extract.SPAN_TEXT, 1)]}, ["id"]).where("id = 2").first().long == "x" * 1500
+    status = spark.createDataFrame([(1, "<ul><li><span>변속기</span><span>자동 <em>(8단)</em></span></li></ul>")], "id long, html string")
+    assert extract.extract_fields(status, extract.INSPECTION_FIELDS, ["id"]).first().transmission == "자동 (8단)"
+
+
+def test_labels_with_inner_markup(spark):
+    html = (
+        "<table><thead><tr><th>제목</th></tr></thead><tr><th><b>제작</b>사</th><td>현대&middot;<a href='x'>기아</a></td>"
+        "<th>연식</th><td>2020</td></tr></table><ul><li>용도&nbsp;<b>변경</b>이력 <span>있<i>음</i></span></li></ul>"
+    )
+    pages = spark.createDataFrame([(1, html)], "id long, html string")
+    row = extract.extract_labelled(pages, {"maker": "제작사", "year": "연식", "title": "제목"}, {"use": "용도 변경이력"}, ["id"]).first()
+    assert (row.maker, row.year, row.title, row.use) == ("현대·기아", "2020", None, "있음")
