@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotledger.llm import (
+    contamination,
     line_chunks,
     minmax,
     mixing,
@@ -109,6 +110,19 @@ def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold windows of ten words of benchmark items."""
+    found = contamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit_search": op1_onebit_search,
     "op2_repeated_spans": op2_repeated_spans,
@@ -120,5 +134,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_vector_links": op9_vector_links,
     "op10_minmax": op10_minmax,
+    "op11_contamination": op11_contamination,
+}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op11_contamination": rf"""
+        WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark),
+        windows AS (
+          SELECT DISTINCT item, size, array_to_string(words[p : p + size - 1], ' ') AS string FROM (
+            SELECT item, words, size, unnest(range(1, len(words) - size + 2)) AS p
+            FROM (SELECT *, least(len(words), 10) AS size FROM items WHERE len(words) > 0 AND item IS NOT NULL))),
+        places AS (
+          SELECT doc_id, size, p, array_to_string(words[p : p + size - 1], ' ') AS string FROM (
+            SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS p
+            FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)),
+        found AS (SELECT doc_id, p, places.size, item FROM places JOIN windows USING (size, string)),
+        hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM found) GROUP BY doc_id),
+        per AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+               sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN per USING (doc_id)""",
 }
-ORACLES: dict[str, str] = {}
