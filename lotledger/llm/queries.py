@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotledger.llm import (
     contamination,
+    filter_audit,
     line_chunks,
     minmax,
     mixing,
@@ -123,6 +124,11 @@ def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from each source, in every order."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit_search": op1_onebit_search,
     "op2_repeated_spans": op2_repeated_spans,
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_vector_links": op9_vector_links,
     "op10_minmax": op10_minmax,
     "op11_contamination": op11_contamination,
+    "op12_filter_audit": op12_filter_audit,
 }
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -157,4 +164,44 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
                sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN per USING (doc_id)""",
+    "op12_filter_audit": r"""
+        WITH RECURSIVE marks AS (
+          SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels GROUP BY doc_id),
+        docs AS (
+          SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                 min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+        measured AS (
+          SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals FROM docs),
+        masks AS (
+          SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                 (CASE WHEN len(words) < 200 THEN 1 ELSE 0 END)
+                 + (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END)
+                 + (CASE WHEN 100 * capitals > 2 * length(text) THEN 4 ELSE 0 END)
+                 + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+                 + (CASE WHEN doc_id > first THEN 16 ELSE 0 END) AS mask
+          FROM measured LEFT JOIN marks USING (doc_id)),
+        counted AS (SELECT part, good, toxic, mask, count(*) AS n FROM masks GROUP BY ALL),
+        letters AS (SELECT unnest(range(0, 5)) AS k),
+        orders AS (
+          SELECT '' AS filter_order, 0 AS used UNION ALL
+          SELECT filter_order || chr(CAST(65 + k AS INTEGER)), used | CAST(1 << k AS INTEGER) FROM orders, letters WHERE used & CAST(1 << k AS INTEGER) = 0),
+        steps AS (
+          SELECT filter_order, step, CAST(1 << (ascii(filter_order[step]) - 65) AS INTEGER) AS bit,
+                 CAST(list_sum([0] || [1 << (ascii(filter_order[i]) - 65) for i in range(1, step)]) AS INTEGER) AS before
+          FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders WHERE length(filter_order) = 5)),
+        totals AS (
+          SELECT part, filter_order, step, bit,
+                 sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+                 sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+                 sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+                 sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                 sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n * good ELSE 0 END) AS good_lost,
+                 sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n * toxic ELSE 0 END) AS toxic_lost
+          FROM counted, steps GROUP BY ALL)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM totals""",
 }
