@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotledger.llm import (
+    collocations,
     contamination,
     filter_audit,
     line_chunks,
@@ -129,6 +130,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two and three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit_search": op1_onebit_search,
     "op2_repeated_spans": op2_repeated_spans,
@@ -142,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minmax": op10_minmax,
     "op11_contamination": op11_contamination,
     "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -204,4 +211,29 @@ ORACLES: dict[str, str] = {
                CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
                CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
         FROM totals""",
+    "op13_collocations": rf"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+            SELECT lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        grams AS (
+          SELECT lang, size, array_to_string(w[p : p + size - 1], ' ') AS phrase, array_to_string(w[p : p + size - 2], ' ') AS head,
+                 array_to_string(w[p + 1 : p + size - 1], ' ') AS tail, w[p] AS head1, w[p + size - 1] AS tail1
+          FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM pieces, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)),
+        f AS (SELECT lang, size, phrase, any_value(head) AS head, any_value(tail) AS tail, any_value(head1) AS head1, any_value(tail1) AS tail1, count(*) AS a FROM grams GROUP BY lang, size, phrase),
+        total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+        cuts AS (
+          SELECT c.lang, c.size, c.phrase, c.a, 1 AS k, l.a AS l, r.a AS r FROM f c JOIN f l ON l.lang = c.lang AND l.size = 1 AND l.phrase = c.head1
+          JOIN f r ON r.lang = c.lang AND r.size = c.size - 1 AND r.phrase = c.tail WHERE c.size > 1 AND c.a >= 10
+          UNION ALL
+          SELECT c.lang, c.size, c.phrase, c.a, 2, l.a, r.a FROM f c JOIN f l ON l.lang = c.lang AND l.size = 2 AND l.phrase = c.head
+          JOIN f r ON r.lang = c.lang AND r.size = 1 AND r.phrase = c.tail1 WHERE c.size = 3 AND c.a >= 10),
+        scored AS (SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        kept AS (
+          SELECT * FROM lowest c WHERE NOT EXISTS (
+            SELECT 1 FROM f t WHERE t.size = 3 AND t.a >= 10 AND c.size = 2 AND t.lang = c.lang AND t.head = c.phrase AND 100 * t.a >= 50 * c.a)
+          AND NOT EXISTS (
+            SELECT 1 FROM f t WHERE t.size = 3 AND t.a >= 10 AND c.size = 2 AND t.lang = c.lang AND t.tail = c.phrase AND 100 * t.a >= 50 * c.a)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }
