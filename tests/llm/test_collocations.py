@@ -67,11 +67,11 @@ def test_phrases_against_brute_force(spark, seed, least, percent, top):
 def test_hot_words_and_pairs_are_merged(spark, monkeypatch):
     docs = random_docs(4) + [(f"of the n{i} of the m{i}", "en") for i in range(300)]
     table = spark.createDataFrame(docs, "text string, lang string")
-    monkeypatch.setattr(collocations, "HOT_SHARE", 1 / 100)
-    words, pairs = collocations._layout(table)
-    assert "of" in words and "of the" in pairs
+    monkeypatch.setattr(collocations, "BUCKET_BYTES", 1 << 10)
+    layout = collocations._layout(table)
+    assert layout.buckets > 20 and "of" in layout.words and "of the" in layout.pairs
     assert rows_of(collocations.collocations(table)) == brute(docs, 10, 50, 2000)
-    monkeypatch.setattr(collocations, "_layout", lambda docs: ([], []))
+    monkeypatch.setattr(collocations, "_layout", lambda docs: collocations.Layout(7, [], []))
     assert rows_of(collocations.collocations(table)) == brute(docs, 10, 50, 2000)
 
 
