@@ -31,13 +31,13 @@ LEAST = 10
 LONGER_PERCENT = 50
 TOP = 2000
 #: Edges are dealt out over one bucket for each so many bytes of text.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Only the layout of the shuffle depends on these. Of so many rows at most it is found which
 #: words and pairs begin more than half a bucket, or this share of all edges.
 LAYOUT_ROWS = 4000
 HOT_SHARE = 1 / 20_000
 #: A batch is cut into parts of about this many bytes of text, each counted on its own.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 MARK, BLANK, LETTER = range(3)
 BYTE_CLASS = np.full(256, LETTER, np.uint8)
 BYTE_CLASS[[*b".,;:!?", *range(0x0A, 0x0E)]] = MARK
