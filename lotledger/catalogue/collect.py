@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lotledger.catalogue.base_sql import over_vehicles
 from lotledger.catalogue.common import accident_pages, inspection_pages, listing_pages
 from lotledger.catalogue.tables import brand_files
-from lotledger.operators.relational import exclude_ids
 from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.schemas import COLLECTED, ERROR_IDS, INSURANCE_NAMES
 from lotledger.session import new_location
@@ -30,10 +29,9 @@ def _stores(spark, sf_dir):
 def _collected(spark, sf_dir, target=None):
     prices = vt.price(spark, sf_dir)
     stores = _stores(spark, sf_dir)
-    # Pages of ids that need no report are left out before anything is extracted from them.
-    todo = exclude_ids(prices.select("id").distinct(), *stores)
-    reports = jobs.read_reports(inspection_pages(spark, sf_dir), accident_pages(spark, sf_dir), todo)
-    return jobs.incremental_collect(prices, prices, *stores, reports, PRICE_ORDER, target)
+    pending = jobs.pending_ids(prices, *stores)
+    reports = jobs.read_reports(inspection_pages(spark, sf_dir), accident_pages(spark, sf_dir), pending)
+    return jobs.incremental_collect(pending, prices, stores[0], reports, PRICE_ORDER, target)
 
 
 def incremental_collect(spark, sf_dir):

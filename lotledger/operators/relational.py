@@ -7,10 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotledger.operators.selection import first_rows
 from lotledger.schemas import INSURANCE_NAMES, NOT_FEATURES, ROW_CAP
 
-_LAST_MERGE = 16
-
 
 def rename_all(df: DataFrame, names: list[str]) -> DataFrame:
     """Replace every column name by position."""
@@ -85,26 +84,6 @@ def concat_tables(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def _first_of_each_task(df: DataFrame, order: list[str], rows: int) -> DataFrame:
-    """The first ``rows`` rows of every task's input; no shuffle."""
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    return df.sortWithinPartitions(*order).withColumn("__place", place).where(F.col("__place") < rows).drop("__place")
-
-
-def first_rows(df: DataFrame, order: list[str], rows: int) -> DataFrame:
-    """The first ``rows`` rows in ``order``.
-
-    A plain top-n merges every task's candidates in one place, too many when both ``rows``
-    and the number of tasks are large. Here each task cuts its own input first; what is left
-    is merged over the session's shuffle width, then over ``_LAST_MERGE`` tasks, then once.
-    """
-    kept = _first_of_each_task(df, order, rows)
-    for width in ([], [_LAST_MERGE]):
-        kept = kept.withColumn("__from", F.spark_partition_id()).repartition(*width, "__from").drop("__from")
-        kept = _first_of_each_task(kept, order, rows)
-    return kept.orderBy(*order).limit(rows)
-
-
 def cap_rows(df: DataFrame, order: list[str], cap: int = ROW_CAP) -> DataFrame:
     """At most ``cap + 1`` rows: the cap is tested after a row has been taken."""
     return first_rows(df, order, cap + 1)

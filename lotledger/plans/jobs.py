@@ -16,10 +16,11 @@ from lotledger.functions.text import nth_token
 from lotledger.operators import categories, extract, model as models
 from lotledger.operators.group_stats import drop_outliers, mean_by
 from lotledger.operators.impute import impute_mean
+from lotledger.operators.id_filter import id_filter, may_be_in
 from lotledger.operators.relational import (
-    concat_tables, drop_cols, exclude_ids, filter_min, filter_model, first_rows, harmonise,
-    join_vehicles, lookup_default,
+    concat_tables, drop_cols, exclude_ids, filter_min, filter_model, harmonise, join_vehicles, lookup_default,
 )
+from lotledger.operators.selection import first_rows
 from lotledger.schemas import (
     COLLECTED, INSURANCE_NAMES, LOG_COLUMNS, MANUAL_TEXT, MIN_PRICE, NUMBER_COLUMNS, PRICE_MISSING_TEXT, YES_NO_COLUMNS,
 )
@@ -174,7 +175,7 @@ def _one_per_id(rows: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(best).select("id", *[F.col("best")[c].alias(c) for c in fields])
 
 
-def _collected(rows: DataFrame) -> DataFrame:
+def collected_fields(rows: DataFrame) -> DataFrame:
     """Tokens cut out of the extracted texts, and ``is_ok`` when no field is missing."""
     cut = rows.withColumns({
         "car_number": nth_token(F.col("car_title"), ", ", 2, " "),
@@ -188,64 +189,85 @@ def _collected(rows: DataFrame) -> DataFrame:
 def read_reports(inspections: DataFrame, accidents: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """The collected fields of both report tables, one row per inspected id, with ``is_ok``.
 
-    Pages of ids that are not ``wanted`` are left out first; of the others only the short
-    fields are shuffled and joined.
+    With ``wanted``, pages of other ids are left out where they are scanned, by a filter of
+    fixed size. What it lets pass wrongly goes after extraction, in an exact join of the short
+    fields. Pages themselves are never shuffled.
     """
     if wanted is not None:
-        inspections, accidents = (p.join(wanted.select("id"), "id", "left_semi") for p in (inspections, accidents))
+        passing = id_filter(wanted)
+        inspections, accidents = may_be_in(inspections, passing), may_be_in(accidents, passing)
     inspected = _one_per_id(extract.extract_fields(inspections, extract.COLLECT_FIELDS, ["id"]))
     named = _one_per_id(extract.extract_fields(accidents, extract.ACCIDENT_SUMMARY_FIELDS, ["id"]))
-    return _collected(inspected.join(named, "id", "left"))
+    if wanted is not None:
+        inspected = inspected.join(wanted.select("id"), "id", "left_semi")
+    return collected_fields(inspected.join(named, "id", "left"))
 
 
-def read_report_pairs(pages: DataFrame) -> DataFrame:
-    """The same from rows that carry both pages of an id as ``inspection`` and ``accident``."""
+def report_pair_fields(pages: DataFrame) -> DataFrame:
+    """``id`` and raw fields from rows that carry both pages of an id as ``inspection`` and ``accident``."""
     inspected = extract.extract_fields(pages, extract.COLLECT_FIELDS, ["id", "accident"], html="inspection")
     fields = [c for c in inspected.columns if c != "accident"]
-    both = extract.extract_fields(inspected, extract.ACCIDENT_SUMMARY_FIELDS, fields, html="accident")
-    return _collected(_one_per_id(both))
+    return extract.extract_fields(inspected, extract.ACCIDENT_SUMMARY_FIELDS, fields, html="accident")
+
+
+def read_report_pairs(pages: DataFrame) -> DataFrame:
+    """The same as :func:`read_reports` from rows that carry both pages of an id."""
+    return collected_fields(_one_per_id(report_pair_fields(pages)))
+
+
+def pending_ids(ids: DataFrame, done: DataFrame, failed: DataFrame) -> DataFrame:
+    """Distinct ids that are neither stored nor failed, stored once for all that ask for them."""
+    return materialise(exclude_ids(ids.select("id").distinct(), done, failed), "pending-ids")
+
+
+def store_prices(good: DataFrame, prices: DataFrame, price_order: tuple[str, ...]) -> DataFrame:
+    """Collected rows with their price; of repeated prices the last in ``price_order`` counts."""
+    # Few new rows leave few prices to look through.
+    wanted = prices.join(good.select("id"), "id", "left_semi")
+    return lookup_default(good, wanted, "id", "price", PRICE_MISSING_TEXT, list(price_order)).select(*COLLECTED.fieldNames())
+
+
+def up_to_target(good: DataFrame, bad: DataFrame, room: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``room`` good rows by id, and the failed ids before the last of them."""
+    good = materialise(first_rows(good, ["id"], room), "collected-capped")
+    last = F.coalesce(F.max("id"), F.lit(-(2**63)))
+    stop = good.agg(F.when(F.count("id") >= room, last)).first()[0]
+    return good, bad if stop is None else bad.where(F.col("id") < stop)
 
 
 def incremental_collect(
-    ids: DataFrame, prices: DataFrame, done: DataFrame, failed: DataFrame, reports: DataFrame,
+    pending: DataFrame, prices: DataFrame, done: DataFrame, reports: DataFrame,
     price_order: tuple[str, ...], target: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """New complete rows, and the ids that failed, of one resumed collection.
 
-    ``reports`` has one row per id, as :func:`read_reports` gives it. Ids already stored or
-    failed are skipped. With a ``target`` ids are taken in order until the stored rows reach
-    it; ids after that point are neither stored nor failed. Of repeated prices the last in
-    ``price_order`` counts.
+    ``pending`` are the ids still to do, as :func:`pending_ids` gives them, ``reports`` has one
+    row per id, as :func:`read_reports` gives it. With a ``target`` ids are taken in order until
+    the stored rows, those of ``done`` included, reach it; ids after that point are neither
+    stored nor failed. Of repeated prices the last in ``price_order`` counts.
     """
-    todo = exclude_ids(ids.select("id").distinct(), done, failed)
-    read = todo.join(reports, "id", "left").withColumn("is_ok", F.coalesce("is_ok", F.lit(False)))
+    read = pending.join(reports, "id", "left").withColumn("is_ok", F.coalesce("is_ok", F.lit(False)))
     good, bad = writers.split_ok_error(materialise(read, "collected"))
     if target is not None:
-        room = max(0, target - done.select("id").distinct().count())
-        good = materialise(first_rows(good, ["id"], room), "collected-capped")
-        last = F.coalesce(F.max("id"), F.lit(-(2**63)))
-        stop = good.agg(F.when(F.count("id") >= room, last)).first()[0]
-        bad = bad if stop is None else bad.where(F.col("id") < stop)
-    # Few new rows leave few prices to look through.
-    wanted = prices.join(good.select("id"), "id", "left_semi")
-    priced = lookup_default(good, wanted, "id", "price", PRICE_MISSING_TEXT, list(price_order))
-    return priced.select(*COLLECTED.fieldNames()), bad
+        good, bad = up_to_target(good, bad, max(0, target - done.select("id").distinct().count()))
+    return store_prices(good, prices, price_order), bad
 
 
 def collect_by_brand(listings: DataFrame, accidents: DataFrame, path: str) -> DataFrame:
     """Accident fields of every id listed under a brand, one folder per brand.
 
     ``listings`` are listing pages with a ``brand`` column. Reports with a missing field are
-    left out. An id has one row per brand it is listed under.
+    left out. An id has one row per brand it is listed under. Reports of ids that are not
+    listed are left out before extraction, without shuffling pages.
     """
     nodes = extract.explode_nodes(listings, extract.LISTING_NODE, ["brand"])
     attributes = nodes.select("brand", extract.node_attribute(F.col("node")).alias("attribute"))
     ids = extract.listing_ids(attributes, ["brand"])
+    ids = materialise(ids.withColumn("id", F.col("id").try_cast("long")), "listed-ids")
     fields = {name: extract.ACCIDENT_FIELDS[name] for name in INSURANCE_NAMES["current"] if name != "id"}
-    listed = ids.select(F.col("id").try_cast("long").alias("id"))
-    reports = _one_per_id(extract.extract_fields(accidents.join(listed, "id", "left_semi"), fields, ["id"]))
-    reports = extract.require_all(reports, list(fields))
-    rows = ids.withColumn("id", F.col("id").try_cast("long")).join(reports, "id")
+    listed = may_be_in(accidents, id_filter(ids))
+    reports = _one_per_id(extract.require_all(extract.extract_fields(listed, fields, ["id"]), list(fields)))
+    rows = ids.join(reports, "id")
     writers.write_by_brand(rows, path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 

@@ -2,20 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lotledger.plans.jobs import incremental_collect, read_report_pairs
-from lotledger.schemas import COLLECTED, ERROR_IDS
-from lotledger.sources.readers import read_or_empty
+from lotledger.plans import jobs
+from lotledger.schemas import ERROR_IDS
+from lotledger.session import materialise
+from lotledger.sources.writers import split_ok_error
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_BEFORE = "timestamp_seconds(0)"
+_COUNTED = T.StructType([T.StructField("stored", T.LongType())])
 
-def _batches(spark: SparkSession, path: str, schema: T.StructType, before: int) -> DataFrame:
-    """Rows stored by earlier batches; the folder filter keeps the scan off later ones."""
-    numbered = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return read_or_empty(spark, path, numbered, "parquet").where(F.col("batch") < before)
+
+def _store_known(done: DataFrame, failed: DataFrame, root: str) -> None:
+    """Ids stored or failed before the first run, the first source of the state; kept once batches are planned."""
+    spark = done.sparkSession
+    planned = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/progress/offsets")
+    if not planned.getFileSystem(spark._jsc.hadoopConfiguration()).exists(planned):
+        done.select("id").unionAll(failed.select("id")).distinct().write.mode("overwrite").parquet(f"{root}/known")
+
+
+def _first_seen(pages: DataFrame, known_path: str) -> DataFrame:
+    """Per id the time of the first batch that had it, its best row in that batch, and the last time.
+
+    Fields are extracted where pages are read, so that only short rows reach the state. Known
+    ids, all of them in the first batch, count as seen before any page.
+    """
+    spark = pages.sparkSession
+    fields = jobs.report_pair_fields(pages)
+    names = [c for c in fields.columns if c != "id"]
+    missing = sum((F.col(c).isNull().cast("int") for c in names), F.lit(0))
+    arrived = fields.select("id", F.current_timestamp().alias("arrived"), missing.alias("missing"), *names)
+    known = spark.readStream.schema(ERROR_IDS).parquet(known_path).select(
+        "id", F.expr(_BEFORE).alias("arrived"), F.lit(0).alias("missing"), *[F.lit(None).cast("string").alias(c) for c in names])
+    return known.unionAll(arrived).groupBy("id").agg(
+        F.min(F.struct("arrived", "missing", *names)).alias("first"), F.max("arrived").alias("last"))
 
 
 def collect_stream(
@@ -25,26 +49,42 @@ def collect_stream(
     """Collect streamed report pages once per id, good rows and failed ids apart.
 
     ``pages`` rows are ``id, inspection, accident``, a page being null when it was not
-    disclosed. A batch reads its own pages and, of what is stored, only the id columns.
-    ``foreachBatch`` may run a batch again after a failure: each batch owns one folder of
-    each output, overwrites it, and looks only at ids stored by earlier batches, so a
-    repeated batch gives the same rows and no id is stored twice.
+    disclosed. Which ids have been seen is keyed state in a RocksDB store beside the progress
+    of the stream; ids stored or failed before the first run are its first source, later runs
+    take both from the state. A batch reads its own pages, no output of earlier batches; with
+    a ``target`` also the one number that the batch before it left.
+
+    ``foreachBatch`` may run a batch again after a failure: the state of a batch and its time
+    are kept with its number, each batch owns one folder of each output and overwrites it, so
+    a repeated batch gives the same rows and no id is stored twice. The session's shuffle width
+    at the first run is that of the state for good.
     """
-    good_path, bad_path = f"{root}/collected", f"{root}/failed"
+    spark = pages.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    _store_known(done, failed, root)
+    names = jobs.report_pair_fields(pages).columns[1:]
+
+    def stored_before(number: int) -> int:
+        if number == 0:
+            return done.select("id").distinct().count()
+        return spark.read.schema(_COUNTED).parquet(f"{root}/counted/batch={number - 1}").first()[0]
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        stored = done.select("id").unionAll(_batches(spark, good_path, COLLECTED, number).select("id"))
-        lost = failed.select("id").unionAll(_batches(spark, bad_path, ERROR_IDS, number).select("id"))
-        ids = batch.select("id").distinct()
-        if target is None:  # a target counts every stored id, otherwise only this batch's matter
-            stored, lost = stored.join(ids, "id", "left_semi"), lost.join(ids, "id", "left_semi")
-        good, bad = incremental_collect(ids, prices, stored, lost, read_report_pairs(batch), price_order, target)
-        good.write.mode("overwrite").parquet(f"{good_path}/batch={number}")
-        bad.write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
+        # The state also gives out ids that were known or seen before.
+        fresh = batch.where(f"first.arrived > {_BEFORE} AND first.arrived = last")
+        read = jobs.collected_fields(fresh.select("id", *[F.col("first")[c].alias(c) for c in names]))
+        good, bad = split_ok_error(materialise(read, "stream-batch"))
+        if target is not None:
+            stored = stored_before(number)
+            good, bad = jobs.up_to_target(good, bad, max(0, target - stored))
+            total = good.agg((F.count("*") + stored).alias("stored"))
+            total.write.mode("overwrite").parquet(f"{root}/counted/batch={number}")
+        rows = jobs.store_prices(good, prices, price_order)
+        rows.write.mode("overwrite").parquet(f"{root}/collected/batch={number}")
+        bad.write.mode("overwrite").parquet(f"{root}/failed/batch={number}")
 
     return (
-        pages.writeStream.foreachBatch(one_batch)
+        _first_seen(pages, f"{root}/known").writeStream.outputMode("update").foreachBatch(one_batch)
         .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()

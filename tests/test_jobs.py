@@ -60,7 +60,8 @@ def found(df):
 def test_collect_batch(spark, prices):
     pages = report_pages(spark, broken={3})
     wanted = pages.select("id").unionAll(ids(spark, 9))
-    good, bad = jobs.incremental_collect(wanted, prices, ids(spark, 1), ids(spark, 2), jobs.read_report_pairs(pages), ("price",))
+    pending = jobs.pending_ids(wanted, ids(spark, 1), ids(spark, 2))
+    good, bad = jobs.incremental_collect(pending, prices, ids(spark, 1), jobs.read_report_pairs(pages), ("price",))
     assert good.columns == COLLECTED.fieldNames() and found(good) == [4, 5, 6] and found(bad) == [3, 9]
     row = {r.id: r for r in good.collect()}
     assert row[4].price == "가격 없음" and row[5].price == "50"
@@ -71,8 +72,8 @@ def test_collect_batch(spark, prices):
 @pytest.mark.parametrize("target,good_ids,bad_ids", [(2, [2], []), (3, [2, 4], [3]), (1, [], []), (99, [2, 4, 5, 6], [3])])
 def test_collect_stops_at_the_target(spark, prices, target, good_ids, bad_ids):
     pages = report_pages(spark, broken={3})
-    good, bad = jobs.incremental_collect(
-        pages, prices, ids(spark, 1), ids(spark), jobs.read_report_pairs(pages), ("price",), target)
+    pending = jobs.pending_ids(pages, ids(spark, 1), ids(spark))
+    good, bad = jobs.incremental_collect(pending, prices, ids(spark, 1), jobs.read_report_pairs(pages), ("price",), target)
     assert found(good) == good_ids and found(bad) == bad_ids
 
 
@@ -89,25 +90,60 @@ def test_separate_report_tables_give_the_same_rows(spark):
 def test_the_last_price_in_order_counts(spark):
     pages = report_pages(spark)
     prices = spark.createDataFrame([(1, 900, 0, 0), (1, 100, 0, 1), (2, 5, 1, 0), (2, 7, 0, 9)], "id long, price int, page int, pos int")
-    good, _ = jobs.incremental_collect(pages, prices, ids(spark), ids(spark), jobs.read_report_pairs(pages), ("page", "pos"))
+    good, _ = jobs.incremental_collect(pages.select("id"), prices, ids(spark), jobs.read_report_pairs(pages), ("page", "pos"))
     assert {r.id: r.price for r in good.collect() if r.id < 3} == {1: "100", 2: "5"}
 
 
-def test_wanted_ids_come_before_extraction(spark):
+def shuffled_columns(df):
+    """Names of all columns that pass an exchange between tasks; broadcasts are not meant."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.initialPlan())
+        if name == "Exchange":
+            found.extend(node.output().apply(i).name() for i in range(node.output().size()))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return set(found)
+
+
+@pytest.fixture
+def no_small_tables(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pages_of_other_ids_are_left_out_without_a_shuffle(spark, no_small_tables):
     pages = report_pages(spark)
     one = pages.select("id", F.col("inspection").alias("html"))
     two = pages.select("id", F.col("accident").alias("html"))
     some = jobs.read_reports(one, two, ids(spark, 2, 4))
     assert found(some) == [2, 4]
+    assert "html" not in shuffled_columns(some) and "id" in shuffled_columns(some)
     plan = some._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Generate") < plan.index("LeftSemi")
+    assert plan.count("Generate") == 2 and plan.count("bitmap_construct_agg") == 2
+
+
+def test_pages_of_unlisted_ids_are_left_out_without_a_shuffle(spark, no_small_tables, tmp_path, monkeypatch):
+    accidents = spark.createDataFrame([(1, "<dd>x</dd>"), (2, "<dd>y</dd>")], "id long, html string")
+    listings = spark.createDataFrame([("KIA", '<div data-impression="1|5|"></div>')], "brand string, html string")
+    written = []
+    monkeypatch.setattr(jobs.writers, "write_by_brand", lambda rows, path: (written.append(rows), rows.write.partitionBy("brand").parquet(path)))
+    jobs.collect_by_brand(listings, accidents, f"{tmp_path}/b")
+    assert "html" not in shuffled_columns(written[0]) and {"id", "brand"} <= shuffled_columns(written[0])
 
 
 def test_a_report_stored_many_times_is_one_row(spark, prices):
     pages = report_pages(spark)
     many = pages.unionAll(pages.where("id = 5")).unionAll(pages.where("id = 5").withColumn("accident", F.lit(None)))
     assert sorted(map(tuple, jobs.read_report_pairs(many).collect())) == sorted(map(tuple, jobs.read_report_pairs(pages).collect()))
-    good, _ = jobs.incremental_collect(many, prices, ids(spark), ids(spark), jobs.read_report_pairs(many), ("price",))
+    good, _ = jobs.incremental_collect(jobs.pending_ids(many, ids(spark), ids(spark)), prices, ids(spark), jobs.read_report_pairs(many), ("price",))
     assert found(good) == [1, 2, 3, 4, 5, 6]
 
 
@@ -129,6 +165,33 @@ def test_stream_resumes_without_repeats(spark, prices, tmp_path):
     assert run() == ([2, 4, 5, 6], [3])
 
 
+def test_a_batch_reads_nothing_that_earlier_ones_wrote(spark, prices, tmp_path):
+    pages = report_pages(spark, broken={3})
+    landing, root = f"{tmp_path}/landing", f"{tmp_path}/out"
+
+    def run(done):
+        stream = spark.readStream.schema(pages.schema).parquet(landing)
+        collect_stream(stream, prices, done, ids(spark), root, ("price",)).awaitTermination()
+        return found(spark.read.schema(COLLECTED).parquet(f"{root}/collected")), found(spark.read.schema(ERROR_IDS).parquet(f"{root}/failed"))
+
+    pages.where("id <= 4").write.parquet(landing)
+    assert run(ids(spark, 1)) == ([2, 4], [3])
+    (tmp_path / "out/collected").rename(tmp_path / "moved-collected")
+    (tmp_path / "out/failed").rename(tmp_path / "moved-failed")
+    # All pages once more, and ids known at the start are taken from the state, not from the argument.
+    pages.withColumn("inspection", F.when(F.col("id") != 6, F.col("inspection"))).write.mode("append").parquet(landing)
+    assert run(ids(spark)) == ([5], [6])
+
+
+def test_the_most_complete_page_of_a_batch_counts(spark, prices, tmp_path):
+    pages = report_pages(spark)
+    worse = pages.withColumn("accident", F.lit(None).cast("string"))
+    worse.unionAll(pages).unionAll(worse).coalesce(1).write.parquet(f"{tmp_path}/landing")
+    stream = spark.readStream.schema(pages.schema).parquet(f"{tmp_path}/landing")
+    collect_stream(stream, prices, ids(spark, 2), ids(spark, 4), f"{tmp_path}/out", ("price",)).awaitTermination()
+    assert found(spark.read.schema(COLLECTED).parquet(f"{tmp_path}/out/collected")) == [1, 3, 5, 6]
+
+
 def test_brand_collection(spark, tmp_path):
     listing = '<div data-impression="{0}|5|"></div><div data-impression="{0}|6|"></div>'
     listings = spark.createDataFrame([("KIA", listing.format(1)), ("KIA", listing.format(2)), ("BMW", listing.format(1))], "brand string, html string")
