@@ -134,7 +134,7 @@ ORACLES = {
                  ELSE [o_orderkey, o_orderkey - o_orderkey % 5, o_orderkey + 1] END) AS id FROM orders)
         SELECT id, license, license_changed, owner_changed, total_loss,
                CASE WHEN id % 37 = 0 THEN '' ELSE flood END AS flood, theft, cm, co, brand
-        FROM listed JOIN history_raw USING (id) WHERE id % 41 <> 0 AND id % 29 <> 4"""),
+        FROM listed JOIN history_raw USING (id) WHERE id % 41 <> 0 AND id % 29 <> 4 AND id % 53 <> 7"""),
     "brand_merge": over_vehicles("""
         SELECT CAST(id AS VARCHAR) AS id, license, license_changed, owner_changed, total_loss, flood, theft, cm, co,
                CASE fuel WHEN 'LPG' THEN 'LPG' WHEN '디젤' THEN 'DIESEL' ELSE 'GASOLINE' END AS brand

@@ -34,14 +34,17 @@ def vehicles(spark: SparkSession, sf_dir: str, columns: list[str] | None = None,
     return materialise(rows.select(*columns) if columns else rows, "vehicles")
 
 
+PAGES_PER_FILE = 10_000
+
+
 def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accident reports as a stored page table, the form in which extraction meets them."""
-    return materialise(vehicle_tables.accident_pages(spark, sf_dir), "accident-pages")
+    return materialise(vehicle_tables.accident_pages(spark, sf_dir), "accident-pages", PAGES_PER_FILE)
 
 
 def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(vehicle_tables.inspection_pages(spark, sf_dir), "inspection-pages")
+    return materialise(vehicle_tables.inspection_pages(spark, sf_dir), "inspection-pages", PAGES_PER_FILE)
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(vehicle_tables.listing_pages(spark, sf_dir), "listing-pages")
+    return materialise(vehicle_tables.listing_pages(spark, sf_dir), "listing-pages", PAGES_PER_FILE)

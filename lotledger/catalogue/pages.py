@@ -46,8 +46,7 @@ def url_tokens(spark, sf_dir):
 
 
 def _listing_nodes(spark, sf_dir):
-    nodes = extract.explode_nodes(listing_pages(spark, sf_dir), extract.LISTING_NODE, ["page_id"])
-    return nodes.withColumn("attribute", extract.node_attribute(F.col("node")))
+    return extract.listing_nodes(listing_pages(spark, sf_dir), ["page_id"])
 
 
 def reserved_filter(spark, sf_dir):
@@ -155,14 +154,18 @@ _NODES = """
 _REPORT = """
 , report AS (
   SELECT h.* REPLACE (CASE WHEN id % 41 = 0 THEN NULL ELSE license END AS license,
-                      CASE WHEN id % 37 = 0 THEN '' ELSE flood END AS flood,
+                      CASE WHEN id % 53 = 7 THEN NULL ELSE total_loss END AS total_loss,
+                      CASE WHEN id % 53 = 7 THEN NULL WHEN id % 37 = 0 THEN '' ELSE flood END AS flood,
+                      CASE WHEN id % 53 = 7 THEN NULL ELSE theft END AS theft,
                       CASE WHEN id % 29 = 4 THEN NULL ELSE cm END AS cm,
                       CASE WHEN id % 29 = 4 THEN NULL ELSE co END AS co)
   FROM history_raw h)
 """
 _FIELDS = ", ".join(HISTORY_FIELDS)
 _DEFAULTED = ", ".join(f"COALESCE(nullif({c}, ''), 'N/A') AS {c}" for c in HISTORY_FIELDS)
-_STOPPED = ", ".join(f"CASE WHEN license IS NULL THEN 'N/A' ELSE COALESCE(nullif({c}, ''), 'N/A') END AS {c}" for c in HISTORY_FIELDS)
+_STOPPED = ", ".join(
+    f"CASE WHEN {' OR '.join(f'{before} IS NULL' for before in HISTORY_FIELDS[:i + 1])} THEN 'N/A' ELSE COALESCE(nullif({c}, ''), 'N/A') END AS {c}"
+    for i, c in enumerate(HISTORY_FIELDS))
 
 ORACLES = {
     "page_nodes": """
@@ -198,12 +201,12 @@ ORACLES = {
         SELECT id, '제작' || (id % 6) AS maker, model AS name, substr(registration_date, 1, 4) AS year, fuel, cc,
                '세단' AS body, '자가용' AS use_class, registration_date, CAST(NULL AS VARCHAR) AS rental,
                CASE WHEN id % 12 = 3 THEN '있음' ELSE '없음' END AS usage_change,
-               license_changed AS first_change, total_loss AS first_special
+               license_changed AS first_change, CASE WHEN id % 53 = 7 THEN NULL ELSE total_loss END AS first_special
         FROM history_raw"""),
     "default_text": over_vehicles(f"{_REPORT} SELECT id, {_DEFAULTED} FROM report"),
     "require_all": over_vehicles(
-        f"{_REPORT} SELECT id, {_FIELDS} FROM report WHERE license IS NOT NULL AND cm IS NOT NULL"),
+        f"{_REPORT} SELECT id, {_FIELDS} FROM report WHERE license IS NOT NULL AND total_loss IS NOT NULL AND cm IS NOT NULL"),
     "require_all_filled": over_vehicles(
-        f"{_REPORT} SELECT id, {_FIELDS} FROM report WHERE license IS NOT NULL AND cm IS NOT NULL AND flood <> ''"),
+        f"{_REPORT} SELECT id, {_FIELDS} FROM report WHERE license IS NOT NULL AND total_loss IS NOT NULL AND cm IS NOT NULL AND flood <> ''"),
     "default_after_failure": over_vehicles(f"{_REPORT} SELECT id, {_STOPPED} FROM report"),
 }

@@ -9,25 +9,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.functions.text import blank_to_null, first_token
+from lotledger.operators.nesting import LISTING_BLOCKS, element, inside, marked, unmarked
 from lotledger.schemas import NO_RESULTS_TEXT, NOT_AVAILABLE, RESERVED_TEXT
 
-LISTING_NODE = r'(?s)<div[^>]*data-impression="[^"]*"[^>]*>.*?</div>'
-LISTING_ATTRIBUTE = r'data-impression="([^"]*)"'
-LIST_BLOCK = r"(?s)<ul[^>]*>(.*?)</ul>"
-LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
-TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
-TABLE_CELL = r"(?s)<td[^>]*>(.*?)</td>"
+#: A node inside another one is found too: what is matched is only looked at ahead.
+LISTING_NODE = rf'(?is)(?=({element("div", 2, chr(92) + 'bdata-impression="[^"]*"')}))<'
+LISTING_ATTRIBUTE = r'(?i)data-impression="([^"]*)"'
+LIST_BLOCK, LIST_ITEM, TABLE_ROW, TABLE_CELL = ("(?is)" + element(tag) for tag in ("ul", "li", "tr", "td"))
+#: What these match is an element with its tags; pages in which they could not be told apart get marks.
+ELEMENTS = {LIST_BLOCK: "ul", LIST_ITEM: "li", TABLE_ROW: "tr", TABLE_CELL: "td"}
 
 
 def _leaf(tag: str) -> str:
     """A node that holds no other of its kind; any other markup may be inside."""
-    return rf"<{tag}(?=[\s>])[^>]*>([^<]*+(?:<(?!/?{tag}[\s>])[^<]*+)*+)</{tag}\s*>"
+    return rf"(?i)<{tag}(?=[\s>])[^>]*>([^<]*+(?:<(?!/?{tag}[\s>])[^<]*+)*+)</{tag}\s*>"
 
 
 SPAN_TEXT = _leaf("span")
 DEFINITION = _leaf("dd")
 STRONG_TEXT = _leaf("strong")
-LABELLED_CELL = _leaf("th") + r"\s*" + _leaf("td")
+LABELLED_CELL = rf"(?is)({element('th', 2)})\s*({element('td', 4)})"
 #: What these match is the inside of an element, of which fields take the text.
 TEXT_NODES = {SPAN_TEXT, DEFINITION, STRONG_TEXT, TABLE_CELL}
 COMMENT = r"(?s)<!--.*?-->"
@@ -112,7 +113,8 @@ def _decoded(part: Column) -> Column:
     """The character of an entity; unknown ones and plain text stay."""
     digits = F.regexp_extract(part, "^&#[xX]?([0-9a-fA-F]+);$", 1)
     code = F.when(part.rlike("^&#[xX]"), F.conv(digits, 16, 10)).when(part.rlike("^&#"), digits).cast("long")
-    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    names, values = (F.split(F.lit("\x01".join(side)), "\x01") for side in zip(*ENTITIES.items(), strict=True))
+    known = F.map_from_arrays(names, values)
     return (
         F.when(code == 160, F.lit(" "))
         .when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
@@ -122,17 +124,17 @@ def _decoded(part: Column) -> Column:
 
 def inner_text(node: Column) -> Column:
     """The text of a node: without tags, a line break for each ``br``, entities decoded once."""
-    plain = F.regexp_replace(F.regexp_replace(node, LINE_BREAK, "\n"), MARKUP, "")
+    plain = F.when(node.contains("<"), F.regexp_replace(F.regexp_replace(node, LINE_BREAK, "\n"), MARKUP, "")).otherwise(node)
     parts = F.regexp_extract_all(plain, F.lit(ENTITY_PARTS), F.lit(0))
     return F.when(plain.contains("&"), F.array_join(F.transform(parts, _decoded), "")).otherwise(plain)
 
 
-def _matches(text: Column, patterns: tuple[str, ...]) -> Column:
-    """First-group matches of the first pattern, each split further by the rest: nested arrays."""
-    found = F.regexp_extract_all(text, F.lit(patterns[0]), F.lit(1))
-    if patterns[1:]:
-        return F.transform(found, lambda part: _matches(part, patterns[1:]))
-    return F.transform(found, inner_text) if patterns[0] in TEXT_NODES else found
+def _all(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0 if pattern in ELEMENTS else 1))
+
+
+def _without_comments(html: Column) -> Column:
+    return F.when(html.contains("<!--"), F.regexp_replace(html, COMMENT, "")).otherwise(html)
 
 
 def extract_fields(
@@ -140,23 +142,39 @@ def extract_fields(
 ) -> DataFrame:
     """One trimmed text column per field; a missing node is null.
 
-    Fields that lie along the same patterns share one nested array, so a block is matched
-    once however many fields it holds.
+    The steps of all fields form a tree. It is gone down level by level: of a node only what
+    a field lies in is matched, once for all fields that share it, and only the text of the
+    chosen nodes is worked out.
     """
-    paths = list(dict.fromkeys(tuple(step.pattern for step in steps) for steps in fields.values()))
-
-    def source(path: tuple[str, ...]) -> Column:
-        return F.regexp_replace(F.col(html), COMMENT, "") if path[-1] in TEXT_NODES else F.col(html)
-
-    layout = _once(pages, keep, {f"__path{i}": _matches(source(path), path) for i, path in enumerate(paths)})
-
-    def field(steps: list[Step]) -> Column:
-        node = F.col(f"__path{paths.index(tuple(step.pattern for step in steps))}")
-        for step in steps:
-            node = F.get(node, F.lit(step.position - 1))
-        return F.trim(node)
-
-    return layout.select(*keep, *[field(steps).alias(name) for name, steps in fields.items()])
+    depth = max(len(steps) for steps in fields.values())
+    patterns = {step.pattern for steps in fields.values() for step in steps}
+    own = patterns <= {*ELEMENTS, *TEXT_NODES}  # other patterns see the page as it is
+    sought = tuple(tag for pattern, tag in ELEMENTS.items() if pattern in patterns)
+    page = marked(_without_comments(F.col(html)), sought) if own else F.col(html)
+    level = _once(pages, keep, {"__page": page})
+    columns: dict[tuple, str] = {}
+
+    def node(steps: tuple[Step, ...]) -> Column:
+        if not steps:
+            return F.col("__page")
+        chosen = F.get(F.col(columns[steps[:-1], steps[-1].pattern]), F.lit(steps[-1].position - 1))
+        return inside(chosen) if steps[-1].pattern in ELEMENTS else chosen
+
+    for d in range(depth):
+        sought = dict.fromkeys((tuple(s[:d]), s[d].pattern) for s in fields.values() if len(s) > d)
+        found = {f"__level{d}_{i}": _all(node(prefix), pattern) for i, (prefix, pattern) in enumerate(sought)}
+        # Matches of earlier levels go on while a field ends there.
+        ended = dict.fromkeys(columns[tuple(s[:-1]), s[-1].pattern] for s in fields.values() if len(s) <= d)
+        level = _once(level, [*keep, *ended], found)
+        columns |= dict(zip(sought, found, strict=True))
+
+    nodes = {name: node(tuple(steps)) for name, steps in fields.items()}
+    texts = [name for name, steps in fields.items() if steps[-1].pattern in TEXT_NODES]
+    if texts:  # one expression for all texts keeps plans small
+        level = _once(level, [*keep, *dict.fromkeys(c for c in level.columns if c not in keep)], {
+            "__texts": F.transform(F.array(*[nodes[name] for name in texts]), inner_text)})
+        nodes |= {name: F.get("__texts", F.lit(i)) for i, name in enumerate(texts)}
+    return level.select(*keep, *[F.trim(chosen).alias(name) for name, chosen in nodes.items()])
 
 
 def extract_labelled(
@@ -167,14 +185,16 @@ def extract_labelled(
     ``cells`` take the ``td`` right after the first ``th`` that contains the label, ``items``
     the first span text of the first list item that contains it.
     """
-    text = F.regexp_replace(F.col(html), COMMENT, "")
-    layout = _once(pages, keep, {
-        "__heads": F.transform(F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(1)), inner_text),
-        "__cells": F.transform(F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(2)), inner_text),
-        "__items": F.transform(
-            F.regexp_extract_all(text, F.lit(LIST_ITEM), F.lit(1)),
-            lambda node: F.struct(inner_text(node).alias("text"), F.get(_matches(node, (SPAN_TEXT,)), F.lit(0)).alias("span")),
-        ),
+    page = _once(pages, keep, {"__page": marked(_without_comments(F.col(html)), ("th", "td", "li"))})
+    text = F.col("__page")
+    found = _once(page, keep, {
+        "__heads": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(1)),
+        "__cells": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(3)),
+        "__nodes": _all(text, LIST_ITEM),
+    })
+    layout = _once(found, [*keep, "__cells"], {
+        "__heads": F.transform("__heads", inner_text),
+        "__items": F.transform("__nodes", lambda node: F.struct(inner_text(node).alias("text"), node.alias("node"))),
     })
 
     def cell(label: str) -> Column:
@@ -182,13 +202,12 @@ def extract_labelled(
         return F.get(F.filter(pairs, lambda pair: pair["head"].contains(label)), F.lit(0))["cell"]
 
     def item(label: str) -> Column:
-        return F.get(F.filter("__items", lambda node: node["text"].contains(label)), F.lit(0))["span"]
+        first = F.get(F.filter("__items", lambda node: node["text"].contains(label)), F.lit(0))["node"]
+        return F.get(_all(first, SPAN_TEXT), F.lit(0))
 
-    return layout.select(
-        *keep,
-        *[F.trim(cell(label)).alias(name) for name, label in cells.items()],
-        *[F.trim(item(label)).alias(name) for name, label in items.items()],
-    )
+    chosen = {name: cell(label) for name, label in cells.items()} | {name: item(label) for name, label in items.items()}
+    texts = _once(layout, keep, {"__texts": F.transform(F.array(*chosen.values()), inner_text)})
+    return texts.select(*keep, *[F.trim(F.get("__texts", F.lit(i))).alias(name) for i, name in enumerate(chosen)])
 
 
 def explode_nodes(pages: DataFrame, pattern: str, keep: list[str], group: int = 0, html: str = "html") -> DataFrame:
@@ -197,6 +216,16 @@ def explode_nodes(pages: DataFrame, pattern: str, keep: list[str], group: int =
     return pages.select(*keep, F.posexplode(matches).alias("position", "node"))
 
 
+def listing_nodes(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """Every listing node with all its descendants, its 0-based place on the page and its ``attribute``.
+
+    A node ends at its own end tag, whatever elements it holds; one inside another is a node too.
+    """
+    page = _once(pages, keep, {"__page": marked(_without_comments(F.col(html)), LISTING_BLOCKS, LISTING_BLOCKS)})
+    nodes = explode_nodes(page, LISTING_NODE, keep, group=1, html="__page")
+    return nodes.withColumns({"attribute": node_attribute(F.col("node")), "node": unmarked(F.col("node"))})
+
+
 def drop_reserved(nodes: DataFrame, text: str = RESERVED_TEXT, node: str = "node") -> DataFrame:
     return nodes.where(~F.col(node).contains(text))
 

@@ -260,9 +260,7 @@ def collect_by_brand(listings: DataFrame, accidents: DataFrame, path: str) -> Da
     left out. An id has one row per brand it is listed under. Reports of ids that are not
     listed are left out before extraction, without shuffling pages.
     """
-    nodes = extract.explode_nodes(listings, extract.LISTING_NODE, ["brand"])
-    attributes = nodes.select("brand", extract.node_attribute(F.col("node")).alias("attribute"))
-    ids = extract.listing_ids(attributes, ["brand"])
+    ids = extract.listing_ids(extract.listing_nodes(listings, ["brand"]), ["brand"])
     ids = materialise(ids.withColumn("id", F.col("id").try_cast("long")), "listed-ids")
     fields = {name: extract.ACCIDENT_FIELDS[name] for name in INSURANCE_NAMES["current"] if name != "id"}
     listed = may_be_in(accidents, id_filter(ids))

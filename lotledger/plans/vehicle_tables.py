@@ -110,23 +110,29 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing page per order: its own node, an older listing seen again, and a reserved one."""
     k, p = F.col("id"), F.col("price")
 
-    def node(attribute: Column, name: str, tag: str = "") -> Column:
+    def node(attribute: Column, name: str, tag: Column | str = "") -> Column:
         return _text('<div class="item" data-impression="', attribute, '"><span>', name, "</span>", tag, "</div>")
 
     own = F.when(k % 19 == 0, F.lit("")).when(k % 23 == 0, k.cast("string")).otherwise(_text(k, "|", p, "|1"))
     again = _text(k - k % 5, "|", p + k % 5, "|2")
     held = _text(k + 1, "|", p, "|3")
+    # Some nodes hold other blocks before the text that tells a reserved listing.
+    icon = F.when(k % 3 == 0, "<div class='icon'><div>i</div></div>").when(k % 3 == 1, "<DIV>i</DIV>").otherwise("")
     empty = F.when(k % 31 == 0, "<strong>검색 조건에 맞는 차량이 없습니다</strong>").otherwise("")
     html = _text(
-        "<html><body>", node(own, "매물"), node(again, "매물"),
-        node(held, "매물", "<span>계약중</span>"), empty, "</body></html>",
+        "<html><body>", node(own, "매물", icon), node(again, "매물"),
+        node(held, "매물", _text(icon, "<span>계약중</span>")), empty, "</body></html>",
     )
     return price(spark, sf_dir).select(k.alias("page_id"), html.alias("html"))
 
 
 
 def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The accident report of every listing with a history; some lack the plate or the claims."""
+    """The accident report of every listing with a history.
+
+    Some lack the plate, the claims or the losses in between. Some are written in capitals, and
+    some have lists within items, tables within cells, inner markup and comments.
+    """
     k = F.col("id")
     year = F.substring("registration_date", 1, 4)
     claims = F.when(k % 29 == 4, "").otherwise(
@@ -136,23 +142,34 @@ def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     plate = F.when(k % 41 == 0, "").otherwise(_text("<dl><dt>차량번호</dt><dd>", F.col("license"), "</dd></dl>"))
+    losses = F.when(k % 53 == 7, "").otherwise(_text(
+        "<span><span>", F.col("total_loss"), "</span><span>", F.when(k % 37 == 0, " ").otherwise(F.col("flood")),
+        "</span><span>", F.col("theft"), "</span></span>"))
+    inner = F.when(k % 7 == 2, "<ul class='help'><li>도움말</li><li><b>안내</b></li></ul><!-- <li><span>x</span></li> -->").otherwise("")
+    model = (
+        F.when(k % 7 == 3, _text("<table><tr><td><b>", F.col("model"), "</b></td></tr><tr><td></td></tr></table>"))
+        .when(k % 7 == 4, _text("<i>", F.substring("model", 1, 1), "</i>", F.expr("substring(model, 2)")))
+        .otherwise(F.col("model"))
+    )
     html = _text(
         '<div id="wrap">', plate, "<ul>",
         "<li><strong>일반사양</strong><span><span>", F.col("fuel"), "</span><span>", F.col("model"),
         "</span><span>", year, "</span></span></li>",
-        "<li><strong>용도 변경이력</strong><span>", F.when(k % 12 == 3, "있음").otherwise("없음"), "</span></li>",
+        "<li><strong>용도 변경이력</strong><span>", F.when(k % 12 == 3, "있음").otherwise("없음"), "</span>", inner, "</li>",
         "<li><strong>번호 / 소유자 변경이력</strong><span><span>", F.col("license_changed"), "</span><span>",
         F.col("owner_changed"), "</span></span></li>",
-        "<li><strong>특수 사고이력</strong><span><span>", F.col("total_loss"), "</span><span>",
-        F.when(k % 37 == 0, " ").otherwise(F.col("flood")), "</span><span>", F.col("theft"), "</span></span></li>",
+        "<li><strong>특수 사고이력</strong>", losses, "</li>",
         claims, "</ul><table>",
-        "<tr><th>제작사</th><td>제작", k % 6, "</td><th>자동차명</th><td>", F.col("model"), "</td></tr>",
+        "<tr><th>제작사</th><td>제작", k % 6, "</td><th>자동차명</th><td>", model, "</td></tr>",
         "<tr><th>연식</th><td>", year, "</td><th>사용연료</th><td>", F.col("fuel"), "</td></tr>",
         "<tr><th>배기량</th><td>", F.col("cc"), "</td><th>차체형상</th><td>세단</td></tr>",
         "<tr><th>용도 및 차종</th><td>자가용</td><th>최초 보험 가입일자</th><td>", F.col("registration_date"),
         "</td></tr></table></div>",
     )
-    return history_raw(spark, sf_dir).select("id", html.alias("html"))
+    loud = html
+    for tag in ("dl", "dd", "ul", "li", "tr", "td", "th", "table", "span"):
+        loud = F.replace(F.replace(loud, F.lit(f"<{tag}>"), F.lit(f"<{tag.upper()} >")), F.lit(f"</{tag}>"), F.lit(f"</{tag.upper()}>"))
+    return history_raw(spark, sf_dir).select("id", F.when(k % 7 == 5, loud).otherwise(html).alias("html"))
 
 
 def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,13 +44,14 @@ def new_location(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lotledger/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where a result is read more than once: later passes prune columns, and a lost
-    executor re-reads files instead of recomputing the joins and aggregates behind them.
+    executor re-reads files instead of recomputing the joins and aggregates behind them. Rows
+    that cost much to work on and compress well, as pages do, are spread by ``rows_per_file``.
     """
     spark = df.sparkSession
     path = new_location(spark, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
