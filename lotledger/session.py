@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def build_session(master: str | None = None, app_name: str = "lotledger", **conf: str) -> SparkSession:
@@ -39,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 def new_location(spark: SparkSession, label: str) -> str:
     """An unused path under the shared folder, in this application's own subfolder.
 
-    Intermediate tables are left there; the subfolder can go once the application has ended.
+    Tables that are not discarded are left there; the subfolder can go once the application has ended.
     """
     return f"{shared_dir(spark)}/lotledger/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
@@ -54,4 +56,14 @@ def materialise(df: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
     spark = df.sparkSession
     path = new_location(spark, label)
     df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _STORED[stored] = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove materialised tables, once all that is made from them has been written itself."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop(df))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

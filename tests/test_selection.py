@@ -1,9 +1,12 @@
 """Id filters and the selection of first rows."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from lotledger.operators import selection
+from lotledger.session import discard, materialise
 from lotledger.operators.id_filter import id_filter, may_be_in, merge_filters
 
 
@@ -65,3 +68,11 @@ def test_first_rows_of_several_columns_in_one_scan(spark):
 
 def test_first_rows_of_nothing(spark):
     assert selection.first_rows(spark.range(0), ["id"], 5).count() == 0
+
+
+def test_a_discarded_stage_is_gone_and_others_stay(spark):
+    one, two = materialise(spark.range(5), "one"), materialise(spark.range(6), "two")
+    files = [p.removeprefix("file://") for p in one.inputFiles()]
+    assert files and all(map(os.path.exists, files))
+    discard(one)
+    assert not any(map(os.path.exists, files)) and two.count() == 6
