@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from lotledger.llm.common import python_tasks
 from lotledger.llm.shingles import SPACE, U, mix, parts, text_bytes
-from lotledger.session import materialise
+from lotledger.operators.id_filter import id_filter, may_be_in
+from lotledger.session import discard, materialise
 
 ENDS_ONE_IN = 3  # a boundary follows one line in so many
 PASSAGE_WORDS = 50  # a line of so many words is a chunk in itself
@@ -137,6 +138,12 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
                     names=["doc_id", "tag", "place", "n", "h", "key"],
                 )
 
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, raw, begin, end, at in _parts(batch.column("text")):
+                _, _, n, h = _segments(raw, begin, end, at, window)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int32())], names=["h", "n"])
+
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             asked = batch.column("asked").to_pylist()
@@ -160,11 +167,14 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
 
     # Equal words that overlap in one text do not repeat each other.
     apart = F.expr(f"doc_id <> first.doc_id or tag <> first.tag or place >= first.place + {window}")
-    placed = materialise(whole.mapInArrow(listed, f"doc_id {kind}, tag long, place int, n int, h long, key binary"), "segments")
     # A hash that stands once has nothing to compare, unless its segment is long enough to repeat itself.
-    several = placed.groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most")).where(f"rows > 1 or most > {window}")
-    shared = materialise(placed.join(several.select("h"), "h"), "shared-segments")
-    known = materialise(firsts(shared, ["h", "key"]), "first-segments")
+    several = whole.mapInArrow(hashed, "h long, n int").groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most"))
+    several = materialise(several.where(f"rows > 1 or most > {window}").select("h"), "shared-hashes")
+    # Segments are listed a second time, and only those whose hash may be among these are kept and compared.
+    placed = whole.mapInArrow(listed, f"doc_id {kind}, tag long, place int, n int, h long, key binary")
+    shared = materialise(may_be_in(placed, id_filter(several, "h"), "h").join(several, "h", "left_semi"), "shared-segments")
+    discard(several)
+    known = stored_known = materialise(firsts(shared, ["h", "key"]), "first-segments")
     mixed = known.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h", F.lit(True).alias("mixed"))
     known = known.join(mixed, "h", "left").select("key", "first", "copies", F.coalesce("mixed", F.lit(False)).alias("mixed"))
     known = known.where("copies > 1 or mixed")
@@ -174,10 +184,12 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
     )
     alone = shared.where(f"n > {window}").select("doc_id", "tag", "place", "n")
     judged = materialise(judged, "judged-segments")
+    discard(stored_known)
     asked = judged.where("asked").select("doc_id", "tag", "place", "n").unionByName(alone)
     asked = asked.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "n")).alias("asked"))
     windows = whole.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked")
     windows = materialise(windows.mapInArrow(single, f"doc_id {kind}, tag long, place int, key binary"), "windows")
+    discard(shared)
     again = windows.join(firsts(windows, ["key"]).where("copies > 1"), "key").where(apart)
     return judged.where("again").select("doc_id", "tag", "place", "n").unionByName(again.select("doc_id", "tag", "place", F.lit(1).alias("n")))
 
@@ -281,6 +293,7 @@ def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Data
     asked = placed.join(repeated.select("key"), "key").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
     held = whole.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "places")
     held = materialise(held.mapInArrow(contents, f"doc_id {kind}, tag long, place int, key long, chunk string"), "chunk-texts")
+    discard(placed)
     first = held.join(repeated.select("key", "first.*"), ["key", "doc_id", "tag", "place"]).select(
         "key", F.col("chunk").alias("first_chunk"), F.struct("doc_id", "tag", "place").alias("first")
     ).dropDuplicates(["key"])
