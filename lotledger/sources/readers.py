@@ -13,9 +13,13 @@ from lotledger.schemas import PAGES
 
 
 def _scan(spark: SparkSession, paths: list[str], schema: T.StructType, *extra: Column) -> DataFrame:
-    """Columns by the names in each path's header; a missing name is an error, a bad value is null."""
+    """Columns by the names in each path's header; a missing name is an error, a bad value is null.
+
+    Files of one path are held to the header that was found first.
+    """
     def one(path: str) -> DataFrame:
-        texts = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
+        reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+        texts = reader.schema(reader.csv(path).schema).option("enforceSchema", False).csv(path)
         return texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
 
     return reduce(DataFrame.unionByName, map(one, paths))
@@ -24,8 +28,9 @@ def _scan(spark: SparkSession, paths: list[str], schema: T.StructType, *extra: C
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """UTF-8 CSV with a header, read with a given schema instead of a guess.
 
-    Columns are matched by name, so their order in a file does not matter; files of one path have
-    one header. Quotes within quoted values are doubled.
+    Columns are matched by name, so their order in a file does not matter. Files of one path have
+    one header; reading one with another header or column order is an error. Quotes within quoted
+    values are doubled.
     """
     return _scan(spark, [path] if isinstance(path, str) else path, schema)
 
@@ -48,13 +53,16 @@ def read_brand_files(
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, source: str = "csv") -> DataFrame:
-    """The table at ``path``, or an empty one when nothing has been written there yet."""
+    """The table at ``path``, or an empty one when nothing has been written there yet.
+
+    A folder without files, as an interrupted writer leaves it, is empty too.
+    """
     try:
         if source == "csv":
             return read_table(spark, path, schema)
         return spark.read.schema(schema).format(source).load(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema)
 

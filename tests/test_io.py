@@ -3,6 +3,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotledger import schemas
 from lotledger.session import materialise, new_location, shared_dir
@@ -107,3 +108,24 @@ def test_a_failed_swap_leaves_the_old_table(spark, tmp_path, prices, monkeypatch
     with pytest.raises(Exception, match="divide|DIVIDE"):
         writers.rewrite_table(spark, stored.select(F.expr("id div (id - id)").alias("id"), "price"), path)
     assert rows(spark.read.parquet(path)) == rows(prices)
+
+
+def test_another_header_in_a_folder_is_an_error(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.IntegerType())])
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/a.csv").write_text("id,price\n1,10\n")
+    (tmp_path / "t/b.csv").write_text("id,price\n2,20\n")
+    assert sorted(map(tuple, readers.read_table(spark, str(tmp_path / "t"), schema).collect())) == [(1, 10), (2, 20)]
+    (tmp_path / "t/b.csv").write_text("price,id\n7777,99\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_table(spark, str(tmp_path / "t"), schema).collect()
+    # Given as paths of their own, each is read by its header.
+    both = readers.read_table(spark, [str(tmp_path / "t/a.csv"), str(tmp_path / "t/b.csv")], schema)
+    assert sorted(map(tuple, both.collect())) == [(1, 10), (99, 7777)]
+
+
+def test_an_empty_folder_is_an_empty_table(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    (tmp_path / "none").mkdir()
+    for source in ("csv", "parquet"):
+        assert readers.read_or_empty(spark, str(tmp_path / "none"), schema, source).collect() == []

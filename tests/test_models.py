@@ -72,6 +72,23 @@ def test_one_hot_of_many_values(spark):
     assert first.size == last.size == 11_999 and first.numNonzeros() == 0 and last.indices.tolist() == [0]
 
 
+def test_one_hot_of_one_value_and_of_none(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, None, None)], "id int, k string, `j.x` string")
+    for table in (df, df.where("false")):
+        coded = categories.one_hot(table, ["k", "j.x"])
+        assert coded.columns == ["id", "k", "j.x"]
+        assert [(r.k.size, r["j.x"].size) for r in coded.collect()] == [(0, 0)] * table.count()
+    mixed = categories.one_hot(df.withColumn("m", F.col("id") % 2).withColumn("m", F.col("m").cast("string")), ["k", "m"])
+    assert sorted((r.id, r.k.size, r.m.toArray().tolist()) for r in mixed.collect()) == [(1, 0, [1.0]), (2, 0, [0.0]), (3, 0, [1.0])]
+
+
+def test_numbers_of_values_are_dense_and_ordered(spark):
+    df = spark.range(5000).select(F.md5((F.col("id") % 1700).cast("string")).alias("k")).unionAll(spark.sql("SELECT NULL"))
+    numbers, total = categories.numbered(df, "k")
+    rows = sorted((r.number, r.k) for r in numbers.collect())
+    assert total == 1700 and [n for n, _ in rows] == list(range(1700)) and [k for _, k in rows] == sorted(k for _, k in rows)
+
+
 @pytest.mark.parametrize("ddof", [0, 1])
 def test_standardise(spark, table, ddof):
     df, x, _ = table
