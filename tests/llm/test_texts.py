@@ -1,6 +1,7 @@
 """Operators on single texts: tokens, page text, line chunks, toxicity and grades."""
 
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -74,6 +75,56 @@ def test_link_lists_are_thinner_than_text():
     assert density[4] > density[1] and sums[0] == pytest.approx(density[1] + density[4])
 
 
+STORY = " ".join(["A long sentence of the story, told without any link."] * 6)
+MENU = "<div>" + "".join(f"<div><a href=/{i}>Topic {i}</a></div>" for i in range(30)) + "</div>"
+
+
+def test_density_chooses_without_telling_names(monkeypatch):
+    page = f"<body>{MENU}<div><div><h1>Title of the story</h1><p>{STORY}</p><p>{STORY}</p></div></div>"
+    want = f"Title of the story {STORY} {STORY}"
+    assert text_density.main_text(page) == want
+    monkeypatch.setattr(text_density, "densities", lambda tags, *_: ([1.0] * len(tags), [float(tags.count("a"))] * len(tags)))
+    assert text_density.main_text(page) != want
+
+
+@pytest.mark.parametrize("name", [
+    "content", "content with-sidebar", "layout-has-sidebar", "no-sidebar", "share-prices", "post social-policy", "comment-piece",
+    "page-banner-open",
+])
+def test_misleading_names_keep_the_story(name):
+    page = f'<body><div class="menu"><a href=/>Home</a></div><div class="{name}"><p>{STORY}</p></div><div class="ad-box">Buy</div>'
+    assert text_density.main_text(page) == STORY
+
+
+@pytest.mark.parametrize("name,want", [
+    ("sidebar", 2), ("left-sidebar", 2), ("sidebar-left", 2), ("relatedPosts", 2), ("comment-list", 2), ("ad-slot-3", 2),
+    ("with-sidebar", 1), ("share-prices", 1), ("content", 0), ("42", 0), ("", 0),
+])
+def test_evidence_of_names(name, want):
+    assert text_density.name_evidence(name) == want
+
+
+def test_thin_parts_within_main():
+    links = '<div class="rightcol"><h3>Most read</h3><ul><li><a href=1>Link one</a></li><li><a href=2>Link two</a></li></ul></div>'
+    assert text_density.main_text(f"<main><h1>Title</h1><div><p>{STORY}</p></div>{links}</main>") == f"Title {STORY}"
+    listed = "<ul><li><a href=1>Source one</a></li><li><a href=2>Source two</a></li></ul>"
+    assert text_density.main_text(f"<article><p>{STORY}</p>{listed}</article>") == f"{STORY} Source one Source two"
+
+
+@pytest.mark.parametrize("page", [
+    "<textarea " * 50_000, "<div>" * 100_000 + "x", "<div>a " * 80_000, '<a ">" ' * 80_000, "<p><table><td>" + "<div>" * 80_000,
+    "<i><div>" + "<b>" * 50_000 + "x</i>" * 50_000, "<script>" + "</script " * 50_000,
+], ids=["unclosed", "nested", "text", "quoted", "cell", "inline", "script"])
+def test_long_broken_pages_take_time_by_length(page):
+    began = time.monotonic()
+    text_density.main_text(page)
+    assert time.monotonic() - began < 10
+
+
+def test_a_tag_whose_quote_never_ends_ends_at_its_bracket():
+    assert text_density.main_text(f'<p>{STORY}<b class="x>bold</b> end') == f"{STORY}bold end"
+
+
 def test_pages_query_keeps_rows(spark, sf_dir):
     got = queries.op5_text_density(spark, sf_dir)
     assert got.count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
