@@ -108,13 +108,15 @@ class Grammar:
     def features(self, text: str | None) -> list[float]:
         """Sums over the matched clauses; all zero for a text without a match."""
         sums = dict.fromkeys(FEATURES, 0.0)
-        low = (text or "").lower()
-        done = -1
+        low = (text or "").lower().replace("’", "'")
+        done = 0
         for match in self.hit.finditer(low):
             if match.start() < done:
                 continue
-            begin = max((m.end() for m in CLAUSE_END.finditer(low, max(0, match.start() - 400), match.start())), default=max(0, match.start() - 400))
-            begin = max(begin, done, 0)
+            # The last clause end before the match, sought from the end of the clause before.
+            begin = done
+            for before in CLAUSE_END.finditer(low, done, match.start()):
+                begin = before.end()
             end = CLAUSE_END.search(low, match.end())
             done = end.start() if end else len(low)
             state, total, pending = self.clauses.start, 0.0, []
@@ -216,10 +218,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     python_tasks(docs.sparkSession)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = bounded_sample(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", rows)
-    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
     # Copies and near copies would count one finding many times: one text of each sketch stays.
     sample = materialise(sample.withColumn("sketch", _sketch("text")), "toxicity-sample")
-    sample = sample.dropDuplicates(["sketch", "toxic"]).drop("sketch")
+    sample = sample.groupBy("sketch", "toxic").agg(F.min_by("text", F.struct("doc_id", "text")).alias("text")).select("text", "toxic")
     grammar = Grammar(*fit_lexicon(sample))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

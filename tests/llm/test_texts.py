@@ -208,6 +208,18 @@ def test_clause_decides_how_an_insult_counts():
     assert not any(grammar.features(None)) and not any(grammar.features("clean text."))
 
 
+@pytest.mark.parametrize("length", [10, 300, 450, 5000])
+def test_clauses_of_any_length_keep_their_denial_and_report(length):
+    grammar = toxicity.Grammar({"blorf": 4.0}, {})
+    filler = "word " * (length // 5)
+    softened, plain = toxicity.FEATURES.index("softened"), toxicity.FEATURES.index("plain")
+    for begin in ("they never saw", "he said", "this isn’t", "this isn't"):
+        got = grammar.features(f"Before, {begin} {filler} a blorf")
+        assert got[softened] > 0 and got[plain] == 0
+    got = grammar.features(f"they never saw it. {filler} a blorf")
+    assert got[softened] == 0 and got[plain] > 0
+
+
 def test_toxicity_without_labels(spark):
     table = labelled(spark, 20)
     model = toxicity.fit(table, table.where("false"))
