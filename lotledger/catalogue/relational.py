@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lotledger.catalogue.base_sql import over_vehicles
 from lotledger.catalogue.common import joined
+from lotledger.operators import id_sets
 from lotledger.operators import relational as rel
 from lotledger.plans import vehicle_tables as vt
 from lotledger.schemas import INSURANCE_NAMES, PRICE_MISSING_TEXT
+from lotledger.session import materialise, new_location
+from lotledger.sources import readers, writers
 
 TARGET_SHARE = 0.8
 
@@ -25,6 +30,24 @@ def inner_join3(spark, sf_dir):
     ).select("id", "price", "license", "model", "cm", "mileage")
 
 
+BUCKETS = 16
+
+
+def inner_join3_bucketed(spark, sf_dir):
+    """The three tables stored by id, so that their join needs no exchange."""
+
+    def stored(df, label):
+        name = f"vehicles_{label}_{uuid.uuid4().hex}"
+        writers.save_bucketed(df, name, "id", BUCKETS, new_location(spark, f"bucketed-{label}"))
+        return readers.read_catalog(spark, name)
+
+    return rel.join_vehicles(
+        stored(vt.price(spark, sf_dir).select("id", "price"), "price"),
+        stored(vt.history_raw(spark, sf_dir).select("id", "license", "model", "cm"), "history"),
+        stored(vt.status(spark, sf_dir).select("id", "mileage"), "status"),
+    ).select("id", "price", "license", "model", "cm", "mileage")
+
+
 def join_renamed_key(spark, sf_dir):
     """Line items to orders: the order key repeats on the left."""
     lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
@@ -40,15 +63,44 @@ def _labelled(spark, sf_dir):
     return vt.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "toxic")
 
 
+def _stored_sets(spark, sf_dir):
+    """The listed ids, and the stored ones of two runs of which the second adds only its own."""
+    labelled = _labelled(spark, sf_dir)
+    first = labelled.where("toxic = 1")
+    listed = materialise(id_sets.id_set(_document_ids(spark, sf_dir)), "listed-ids")
+    done = materialise(id_sets.id_set(first), "stored-ids")
+    new = id_sets.id_set(labelled.where("toxic IS DISTINCT FROM 1"))
+    return listed, materialise(id_sets.merge_sets(done, new), "stored-ids")
+
+
+def set_difference_stored(spark, sf_dir):
+    return id_sets.ids_between(*_stored_sets(spark, sf_dir))
+
+
+def progress_stored(spark, sf_dir):
+    return id_sets.set_progress(*_stored_sets(spark, sf_dir))
+
+
+def anti_join_stored(spark, sf_dir):
+    """As ``anti_join2``, with the stored and the failed set as bitmaps."""
+    lines, orders, key = _lines_and_orders(spark, sf_dir)
+    done = id_sets.id_set(orders.where(F.col("o_orderstatus") == "F").select(key))
+    failed = id_sets.id_set(orders.where(F.col("o_orderpriority") == "1-URGENT").select(key))
+    return id_sets.rows_outside(lines, materialise(id_sets.merge_sets(done, failed), "excluded-ids"))
+
+
+def _lines_and_orders(spark, sf_dir):
+    lines = vt.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_linenumber")
+    return lines, vt.table(spark, sf_dir, "orders"), F.col("o_orderkey").alias("id")
+
+
 def set_difference(spark, sf_dir):
     return rel.remaining_ids(_document_ids(spark, sf_dir), _labelled(spark, sf_dir))
 
 
 def anti_join2(spark, sf_dir):
     """Line items of orders neither in the stored nor in the failed set; duplicates stay."""
-    lines = vt.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_linenumber")
-    orders = vt.table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey").alias("id")
+    lines, orders, key = _lines_and_orders(spark, sf_dir)
     done = orders.where(F.col("o_orderstatus") == "F").select(key)
     failed = orders.where(F.col("o_orderpriority") == "1-URGENT").select(key)
     return rel.exclude_ids(lines, done, failed)
@@ -113,9 +165,13 @@ def progress_counts(spark, sf_dir):
 QUERIES = {
     "rename_all": rename_all,
     "inner_join3": inner_join3,
+    "inner_join3_bucketed": inner_join3_bucketed,
     "build_vehicles": joined,
     "join_renamed_key": join_renamed_key,
     "set_difference": set_difference,
+    "set_difference_stored": set_difference_stored,
+    "progress_stored": progress_stored,
+    "anti_join_stored": anti_join_stored,
     "anti_join2": anti_join2,
     "lookup_default": lookup_default,
     "union_by_name": union_by_name,
@@ -171,3 +227,9 @@ ORACLES = {
                count(DISTINCT CASE WHEN l.doc_id IS NULL THEN d.doc_id END) AS remaining
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 }
+ORACLES |= {
+    "inner_join3_bucketed": ORACLES["inner_join3"],
+    "set_difference_stored": ORACLES["set_difference"],
+    "progress_stored": ORACLES["progress_counts"],
+    "anti_join_stored": ORACLES["anti_join2"],
+}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lotledger.catalogue.base_sql import over_vehicles
 from lotledger.catalogue.common import rounded, vehicles
 from lotledger.operators import group_stats as gs
+from lotledger.operators import moments
 from lotledger.plans import jobs, vehicle_tables as vt
+from lotledger.session import materialise
 
 
 def _events(spark, sf_dir):
@@ -49,7 +53,37 @@ def mean_price_by_model(spark, sf_dir):
     return rounded(jobs.mean_price_by_model(vehicles(spark, sf_dir, ["model", "price"])))
 
 
+APPENDED_FROM = "2024-01-16"
+
+
+def _appended_state(spark, sf_dir):
+    """The state of the earlier events, stored, and merged with that of the later ones."""
+    events = vt.table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    later = F.coalesce(F.col("ts") >= F.lit(APPENDED_FROM).cast("timestamp"), F.lit(True))
+    before = materialise(moments.group_moments(events.where(~later), "event_type", "value"), "moments")
+    new = moments.group_moments(events.where(later), "event_type", "value")
+    return moments.merge_moments(before, new, key="event_type")
+
+
+def moments_appended(spark, sf_dir):
+    state = _appended_state(spark, sf_dir)
+    return rounded(state.select("event_type", "n", "mean", moments.spread(1).alias("sd_sample"), moments.spread(0).alias("sd_pop")))
+
+
+def zscore_appended(spark, sf_dir):
+    state = materialise(_appended_state(spark, sf_dir), "moments")
+    return rounded(moments.zscore_by(_events(spark, sf_dir), state, "event_type", "value"))
+
+
+def outliers_appended(spark, sf_dir):
+    state = materialise(_appended_state(spark, sf_dir), "moments")
+    return moments.outliers_by(_events(spark, sf_dir), state, "event_type", "value")
+
+
 QUERIES = {
+    "moments_appended": moments_appended,
+    "zscore_appended": zscore_appended,
+    "outliers_appended": outliers_appended,
     "window_mean": window_mean,
     "window_stddev": window_stddev,
     "zscore": zscore,
@@ -90,3 +124,10 @@ ORACLES = {
         "SELECT model, round(avg(price), 6) AS price FROM price JOIN history_raw USING (id) GROUP BY model"),
     "mean_price_by_model": over_vehicles("SELECT model, round(avg(price), 6) AS price FROM kept_twice GROUP BY model"),
 }
+ORACLES |= {
+    "moments_appended": """
+        SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd_sample,
+               round(stddev_pop(value), 6) AS sd_pop FROM events GROUP BY event_type HAVING count(value) > 0""",
+    "zscore_appended": ORACLES["zscore"],
+    "outliers_appended": ORACLES["outliers_sample"],
+}

@@ -14,6 +14,12 @@ def _slot(key: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
 
 
+def holds(bits: str, position: Column) -> Column:
+    """Whether the bit at a position, counted from 0, is set."""
+    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (position % 8).cast("int"))) != 0
+
+
 def id_filter(ids: DataFrame, key: str = "id", bits: int = BITS) -> DataFrame:
     """The ids as bits of at most ``bits / 32768`` bitmaps; null is in no set.
 
@@ -39,7 +45,5 @@ def may_be_in(rows: DataFrame, passing: DataFrame, key: str = "id", bits: int =
     The bitmaps, of fixed size, go to every task, so the rows stay where they are scanned.
     """
     slot = _slot(F.col(key), bits)
-    position = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("__bits", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    held = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (position % 8).cast("int"))) != 0
+    held = holds("__bits", F.bitmap_bit_position(slot))
     return rows.join(F.broadcast(passing), (F.bitmap_bucket_number(slot) == F.col("__bitmap")) & held, "left_semi")

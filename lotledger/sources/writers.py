@@ -18,6 +18,18 @@ def save_table(df: DataFrame, name: str, path: str | None = None, source: str =
     writer.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Overwrite a catalog table in buckets of ``key``, each one file and sorted.
+
+    Tables with the same number of buckets join on the key without an exchange. The one shuffle is
+    by the key, so a key should not hold more rows than a task can write.
+    """
+    writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a CSV folder, each part with a header."""
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)

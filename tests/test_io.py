@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotledger import schemas
+from lotledger.operators.relational import join_vehicles
 from lotledger.session import materialise, new_location, shared_dir
 from lotledger.sources import readers, writers
 
@@ -129,3 +130,21 @@ def test_an_empty_folder_is_an_empty_table(spark, tmp_path):
     (tmp_path / "none").mkdir()
     for source in ("csv", "parquet"):
         assert readers.read_or_empty(spark, str(tmp_path / "none"), schema, source).collect() == []
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    names = []
+    for label, column in (("p", "price"), ("h", "model"), ("s", "mileage")):
+        df = spark.createDataFrame([(i, i * 10) for i in range(500)] + [(None, 1)], f"id long, {column} long")
+        names.append(f"bucketed_{label}")
+        writers.save_bucketed(df, names[-1], "id", 4, f"{tmp_path}/{label}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_vehicles(*(readers.read_catalog(spark, n) for n in names))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 500 and joined.where("price <> model OR mileage <> price").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for n in names:
+            spark.sql(f"DROP TABLE {n}")
