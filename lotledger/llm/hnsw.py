@@ -195,7 +195,7 @@ def _insert(graph: Graph, new: np.ndarray, level: np.ndarray, found: np.ndarray,
         if layer == 0:
             old_ids, old_sims = found[members], sims[members]
         else:  # upper layers are small: their nodes are compared directly
-            there = np.flatnonzero(graph.level[:before] >= layer)[-4096:]
+            there = np.flatnonzero(graph.level[:before] >= layer)
             near = new[members] @ graph.vectors[there].T
             top = np.argsort(-near, axis=1)[:, :BUILD_BEAM]
             old_ids, old_sims = there[top].astype(np.int32), np.take_along_axis(near, top, axis=1)

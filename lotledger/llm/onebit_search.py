@@ -58,12 +58,25 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1)
 
 
+def _power(largest: np.ndarray) -> np.ndarray:
+    """The power of two above a number."""
+    return np.frexp(largest)[1]
+
+
 def search_block(
-    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
-    code: np.ndarray, distance: np.ndarray, fit: np.ndarray, mean: np.ndarray, k: int,
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, mean: np.ndarray, k: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query place, vector place, score)`` of the ``k`` nearest per query within a block."""
+    """``(query place, vector place, score)`` of the ``k`` nearest per query within a block.
+
+    Estimates work on vectors whose largest components are scaled to one by powers of two, the block
+    with its mean by one of them and each query by its own; scores come from the vectors as given.
+    """
     size, out = vectors.shape[1], []
+    given, asked = vectors, queries
+    power = _power(np.array([np.abs(vectors).max(), np.abs(mean).max()]).max())
+    powers = _power(np.abs(queries).max(axis=1))
+    vectors, mean, queries = np.ldexp(vectors, -power), np.ldexp(mean, -power), np.ldexp(queries, -powers[:, None])
+    code, distance, fit = encode(vectors, mean)
     turned = (queries @ rotation(size)).astype(np.float32)
     bits = np.unpackbits(code, axis=1, count=size).astype(np.float32) * 2 - 1
     scale = (distance / fit / np.sqrt(size)).astype(np.float32)
@@ -81,7 +94,10 @@ def search_block(
             exact = np.sort(inner(vectors[top], queries[i][None, :])[own[top] > -np.inf])
             least = exact[max(0, len(exact) - k)] if len(exact) >= k else -np.inf
             near = np.flatnonzero((own + bound >= least) & (own > -np.inf))
-            score = inner(vectors[near], queries[i][None, :])
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = inner(given[near], asked[i][None, :])
+                scaled = np.ldexp(inner(vectors[near], queries[i][None, :]), power + powers[i])
+            score = np.where(np.isfinite(score), score, scaled)
             best = np.lexsort((ids[near], -score))[:k]
             out.append((np.full(len(best), i), near[best], score[best]))
     if not out:
@@ -102,7 +118,8 @@ def nearest(
     Vectors that are null, zero or hold null or non-finite components take no part. Vectors are
     compared within their own number of components. Fewer than ``k`` others give fewer rows; ties
     go to the smaller id; rows that share an id are never each other's neighbours. Every vector is
-    indexed and every block is searched.
+    indexed and every block is searched. Bounds of ``BOUND`` deviations can miss a neighbour, rarely.
+    Components of any finite size are compared; a score beyond the range of doubles is infinite.
     """
     spark = df.sparkSession
     python_tasks(spark)
@@ -112,7 +129,7 @@ def nearest(
     counts = {r["size"]: r["n"] for r in rows.groupBy("size").agg(F.count("*").alias("n")).collect()}
     mean_of = {n: np.zeros(n) for n in counts}
     for r in means.collect():  # as many numbers as a vector has components
-        mean_of[r["size"]][r["pos"]] = r["mean"]
+        mean_of[r["size"]][r["pos"]] = r["mean"] if np.isfinite(r["mean"]) else 0.0
     shared = spark.sparkContext.broadcast(mean_of)
 
     # Blocks by a hash of the row, so that none holds more than its share.
@@ -142,7 +159,7 @@ def nearest(
         vectors, queries_ = _matrix(have.column("v")), _matrix(ask.column("v"))
         ids, query_ids = have.column("id").to_numpy(), ask.column("id").to_numpy()
         mean = shared.value[vectors.shape[1]]
-        q, v, score = search_block(queries_, query_ids, vectors, ids, *encode(vectors, mean), mean, k)
+        q, v, score = search_block(queries_, query_ids, vectors, ids, mean, k)
         return pa.table({"query_id": query_ids[q], "id": ids[v], "score": score}).cast(empty.schema)
 
     by = ["size", "qb", "vb"]

@@ -44,7 +44,10 @@ def compare(a: hnsw.Shard, b: hnsw.Shard, same: bool, cosine: float) -> tuple[di
     counts = np.zeros(len(a.ids) + len(b.ids), np.int64)
     shift = 0 if same else len(a.ids)
     if same:
-        who, what = who[who < what], what[who < what]
+        # A pair counts once, whichever of its nodes found the other.
+        low, high = np.minimum(who, what).astype(np.int64), np.maximum(who, what).astype(np.int64)
+        pairs = np.unique((low * len(a.radius) + high)[low < high])
+        who, what = pairs // len(a.radius), pairs % len(a.radius)
         # Members of one ball lie within two radii of each other.
         for ball in np.flatnonzero(np.diff(a.starts) > 1):
             rows = np.arange(a.starts[ball], a.starts[ball + 1])

@@ -65,6 +65,27 @@ def test_search_of_odd_vectors(spark):
     assert onebit_search.nearest(table(spark, []), lambda c: c % 20 == 0).collect() == []
 
 
+@pytest.mark.parametrize("size", [1e-200, 1e25, 1e100, 1e160])
+def test_search_of_components_of_any_size(spark, size):
+    x = np.random.default_rng(4).standard_normal((400, 12))
+    got = onebit_search.nearest(table(spark, x * size), lambda c: c % 20 == 0, block_rows=100).collect()
+    if size == 1e160:  # each product is beyond the range of doubles: all that is positive is infinite
+        want = {q: {i for i in range(400) if i != q and x[i] @ x[q] > 0} for q in range(0, 400, 20)}
+        assert len(got) == 400 and all(r.score == INF and r.vec_id in want[r.query_id] for r in got)
+    else:
+        want = {q: {i for i, _ in w} for q, w in brute_nearest(x, 20, 20).items()}
+        assert sum(r.vec_id in want[r.query_id] for r in got) >= 0.97 * 400 or size == 1e-200
+        assert len(got) == 400 and all(r.score == ((x[r.vec_id] * size) * (x[r.query_id] * size)).sum() for r in got)
+
+
+def test_search_of_sizes_side_by_side(spark):
+    random = np.random.default_rng(5)
+    x = random.standard_normal((300, 12)) * np.where(np.arange(300) % 3 == 0, 1e25, 1.0)[:, None]
+    got = onebit_search.nearest(table(spark, x), lambda c: c % 20 == 0, block_rows=64).collect()
+    want = {q: {i for i, _ in w} for q, w in brute_nearest(x, 20, 20).items()}
+    assert sum(r.vec_id in want[r.query_id] for r in got) >= 0.97 * 20 * len(want)
+
+
 def test_search_query_recall(spark):
     path = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{path}/embeddings.parquet").orderBy("vec_id").collect()
@@ -89,6 +110,34 @@ def test_graph_finds_all_within_reach():
     assert (again.ids == shard.ids).all() and (hnsw.Shard.load(shard.dump()).graph.layers[0] == shard.graph.layers[0]).all()
 
 
+def test_pair_found_from_one_side_counts(monkeypatch):
+    x = unit(np.random.default_rng(6).standard_normal((40, 8)))
+    x = unit(np.concatenate([x, x + 0.2 * np.random.default_rng(7).standard_normal((40, 8))]))
+    shard = hnsw.build(np.arange(len(x)), x)
+    both = vector_links.compare(shard, shard, True, 0.9)
+    whole = hnsw.within
+    def one_sided(keep):
+        def some(*args):
+            who, what = whole(*args)
+            return who[keep(who, what)], what[keep(who, what)]
+        return some
+    for keep in (lambda a, b: a > b, lambda a, b: a < b):
+        monkeypatch.setattr(hnsw, "within", one_sided(keep))
+        assert vector_links.compare(shard, shard, True, 0.9) == both and both[1]
+
+
+def test_links_of_a_shard_that_is_walked(spark):
+    """More nodes than the widest beam covers at once, so that links are found through the graph."""
+    random = np.random.default_rng(8)
+    centres = unit(random.standard_normal((2500, 32)))
+    x = unit(np.concatenate([centres, centres[:300] + 0.06 * random.standard_normal((300, 32))]))
+    close = x @ x.T >= 0.9
+    np.fill_diagonal(close, False)
+    got = vector_links.near_duplicates(table(spark, x), shards=1).orderBy("vec_id").collect()
+    found = np.array([r.n_links for r in got])
+    assert (found <= close.sum(axis=1)).all() and found.sum() >= 0.99 * close.sum()
+
+
 @pytest.mark.parametrize("noise", [0.002, 0.06, 0.15])
 def test_links_against_brute_force(spark, noise):
     random = np.random.default_rng(3)
