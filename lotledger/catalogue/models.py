@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotledger.catalogue.base_sql import AS_OF, over_vehicles
 from lotledger.catalogue.common import history, rounded, vehicles
-from lotledger.operators import categories, model as models
+from lotledger.operators import categories, model as models, sparse_pca
 from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.session import materialise
 
@@ -131,6 +131,58 @@ def pca_diagnosis_scores(spark, sf_dir):
     return jobs.pca_diagnosis(_features(jobs.features_pop, spark, sf_dir), ONE_MODEL, on_null="skip")[1]
 
 
+def _labelled(spark, sf_dir, price):
+    """One model's vehicles with a price that a few of their columns decide."""
+    columns = ["id", "model", "owner_changed", "license_changed", "damaged_by_other_count"]
+    rows = vehicles(spark, sf_dir, columns, ONE_MODEL).withColumn("price", price.cast("double"))
+    return rows.withColumnsRenamed({"owner_changed": "owners", "license_changed": "plates", "damaged_by_other_count": "claims"})
+
+
+def train_forest_pure(spark, sf_dir):
+    """The job on a price that one small count decides: every leaf is pure, so no held-out row is missed.
+
+    Counts of four and more have one price, as a tree may be grown without rows of a rare count.
+    """
+    owners = F.least(F.col("owner_changed"), F.lit(4))
+    rows = _labelled(spark, sf_dir, owners * owners).drop("plates", "claims")
+    return _both(*jobs.train_forest(rows, ONE_MODEL, split_key="id"))
+
+
+def train_linear_exact(spark, sf_dir):
+    """The job on a price that is linear in three counts."""
+    price = 10 + 3 * F.col("owner_changed") + F.col("license_changed") - 2 * F.col("damaged_by_other_count")
+    return _both(*jobs.train_linear(_labelled(spark, sf_dir, price), ONE_MODEL, split_key="id", on_null="skip"))
+
+
+def pca_diagnosis_totals(spark, sf_dir):
+    """What holds of any diagnosis: shares sum to one, scores are centred and spread as their share says."""
+    ratios, scores = jobs.pca_diagnosis(_features(jobs.features_pop, spark, sf_dir), ONE_MODEL, on_null="skip")
+    shares = ratios.agg(
+        F.count("*").alias("components"), F.sum("ratio").alias("ratios"),
+        *[F.max(F.when(F.col("component") == i, F.col("ratio"))).alias(f"r{i}") for i in (1, 2)])
+    spreads = scores.agg(
+        F.count("*").alias("n"), F.abs(F.round(F.avg("pc1"), 6)).alias("mean1"), F.abs(F.round(F.avg("pc2"), 6)).alias("mean2"),
+        F.var_pop("pc1").alias("v1"), F.var_pop("pc2").alias("v2"), F.sum(F.col("label").cast("long")).alias("label"))
+    both = shares.join(F.broadcast(spreads))  # one row each
+    return rounded(both.select(
+        "components", "ratios", "n", "mean1", "mean2", "label",
+        (F.col("v1") / F.col("r1")).alias("varying1"), (F.col("v2") / F.col("r2")).alias("varying2")), 4)
+
+
+def _sparse_lines(spark, sf_dir):
+    """Lines that share order and number are one row, whose entries add up."""
+    lines = vt.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return sparse_pca.fit_sparse_pca(sparse_pca.sparse_entries(lines, ["l_orderkey", "l_linenumber"]), 2)
+
+
+def pca_sparse_ratios(spark, sf_dir):
+    return rounded(_sparse_lines(spark, sf_dir).ratios)
+
+
+def pca_sparse_scores(spark, sf_dir):
+    return rounded(_sparse_lines(spark, sf_dir).scores().select("row.*", "pc1", "pc2"), 5)
+
+
 QUERIES = {
     "assemble": assembled,
     "hash_split": hash_split,
@@ -147,6 +199,11 @@ QUERIES = {
     "train_linear": train_linear,
     "pca_diagnosis": pca_diagnosis,
     "pca_diagnosis_scores": pca_diagnosis_scores,
+    "train_forest_pure": train_forest_pure,
+    "train_linear_exact": train_linear_exact,
+    "pca_diagnosis_totals": pca_diagnosis_totals,
+    "pca_sparse_ratios": pca_sparse_ratios,
+    "pca_sparse_scores": pca_sparse_scores,
 }
 
 _LINE = """
@@ -155,6 +212,11 @@ WITH fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS slope, regr_inter
 scored AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS label, intercept + slope * l_quantity AS prediction
            FROM lineitem, fit)
 """
+_SUMS = """
+WITH sums AS (SELECT l_orderkey, l_linenumber, sum(l_quantity) AS quantity, sum(l_extendedprice) AS price
+              FROM lineitem GROUP BY l_orderkey, l_linenumber)
+"""
+_HELD_OUT = f"model = '{ONE_MODEL}' AND CAST('0x' || substr(md5(id || ':42'), 1, 8) AS BIGINT) % 10000 >= 8000"
 ORACLES = {
     "assemble": over_vehicles("""
         SELECT id, damaged_by_other_total AS label, CAST(owner_changed AS DOUBLE) AS owner_changed,
@@ -194,4 +256,33 @@ ORACLES = {
                       - sign(corr(l_quantity, l_extendedprice) OVER ())
                         * (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER ()) / sqrt(2), 5)
                AS pc2, round(l_tax, 5) AS label FROM lineitem""",
+    "train_forest_pure": over_vehicles(f"""
+        SELECT CAST(power(least(owner_changed, 4), 2) AS DOUBLE) AS label, label AS prediction,
+               CAST(0 AS DOUBLE) AS rmse, CAST(0 AS DOUBLE) AS mse FROM vehicles WHERE {_HELD_OUT}"""),
+    "train_linear_exact": over_vehicles(f"""
+        SELECT CAST(10 + 3 * owner_changed + license_changed - 2 * damaged_by_other_count AS DOUBLE) AS label,
+               label AS prediction, CAST(0 AS DOUBLE) AS rmse, CAST(0 AS DOUBLE) AS mse
+        FROM vehicles WHERE damaged_by_other_count IS NOT NULL AND {_HELD_OUT}"""),
+    "pca_diagnosis_totals": over_vehicles(f"""
+        SELECT CAST(sum(CASE WHEN c IN ('fuel', 'cc') THEN k - 1 ELSE 1 END) AS BIGINT) AS components,
+               CAST(1 AS DOUBLE) AS ratios, max(n) AS n, CAST(0 AS DOUBLE) AS mean1, CAST(0 AS DOUBLE) AS mean2,
+               max(total) AS label,
+               CAST(sum(CASE WHEN c IN ('fuel', 'cc') THEN k - 1 WHEN k > 1 THEN 1 ELSE 0 END) AS DOUBLE) AS varying1,
+               varying1 AS varying2
+        FROM (SELECT c, count(DISTINCT v) AS k, count(*) AS n FROM (
+                UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE (model, price)) AS VARCHAR) FROM features_pop
+                         WHERE model = '{ONE_MODEL}' AND COLUMNS(*) IS NOT NULL)
+                ON COLUMNS(*) INTO NAME c VALUE v) GROUP BY c),
+             (SELECT CAST(sum(price) AS BIGINT) AS total FROM features_pop
+              WHERE model = '{ONE_MODEL}' AND COLUMNS(*) IS NOT NULL)"""),
+    "pca_sparse_ratios": f"""{_SUMS}
+        SELECT 1 AS component, round((1 + abs(corr(quantity, price))) / 2, 6) AS ratio FROM sums
+        UNION ALL SELECT 2, round((1 - abs(corr(quantity, price))) / 2, 6) FROM sums""",
+    "pca_sparse_scores": f"""{_SUMS}
+        SELECT l_orderkey, l_linenumber,
+               round((price + sign(c) * quantity) / sqrt(2), 5) AS pc1, round((price - sign(c) * quantity) / sqrt(2), 5) AS pc2
+        FROM (SELECT l_orderkey, l_linenumber, corr(quantity, price) OVER () AS c,
+                     (quantity - avg(quantity) OVER ()) / stddev_pop(quantity) OVER () AS quantity,
+                     (price - avg(price) OVER ()) / stddev_pop(price) OVER () AS price
+              FROM sums)""",
 }

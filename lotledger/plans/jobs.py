@@ -13,7 +13,7 @@ from lotledger.functions.features import (
     car_age, digits_only, flag_equals, flag_nonzero, flag_present, parse_cc, parse_mileage, saturate,
 )
 from lotledger.functions.text import nth_token
-from lotledger.operators import categories, extract, model as models
+from lotledger.operators import categories, extract, model as models, sparse_pca
 from lotledger.operators.group_stats import drop_outliers, mean_by
 from lotledger.operators.impute import impute_mean
 from lotledger.operators.id_filter import id_filter, may_be_in
@@ -159,6 +159,27 @@ def pca_diagnosis(features: DataFrame, model_name: str, on_null: str = "error")
     return models.pca_ratios(fitted, vectors), models.pca_scores(fitted, vectors)
 
 
+def pca_diagnosis_sparse(
+    features: DataFrame, model_name: str, keys: list[str], components: int = 2, on_null: str = "error"
+) -> tuple[DataFrame, DataFrame]:
+    """The diagnosis for any number of category values: no wide table, no square matrix on the driver.
+
+    Ratios of the first components, and the keys and scores of every row beside the price. ``keys``
+    name a row and are no features.
+    """
+    one = drop_cols(filter_model(features, model_name), ["model"])
+    one = materialise(one.dropna() if on_null == "skip" else one, "pca-input")
+    inputs = one.drop("price")
+    fitted = sparse_pca.fit_sparse_pca(sparse_pca.sparse_entries(inputs, keys), components, n_rows=one.count())
+    names = [f"pc{i + 1}" for i in range(fitted.components)]
+    zero = fitted.zero_scores()
+    scores = fitted.scores().select(*[F.col("row")[k].alias(f"__{k}") for k in keys], *names)
+    matched = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`__{k}`")) for k in keys])
+    joined = one.join(scores, matched, "left")
+    return fitted.ratios, joined.select(
+        *[F.col(f"`{k}`") for k in keys], *[F.coalesce(c, F.lit(zero[c])).alias(c) for c in names], F.col("price").alias("label"))
+
+
 def mean_price_by_model(vehicles: DataFrame) -> DataFrame:
     """Mean price per model after two outlier passes."""
     return mean_by(drop_outliers(vehicles, "model", "price", ddof=0, passes=2), "model", "price")
