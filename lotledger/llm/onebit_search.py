@@ -96,8 +96,9 @@ def search_block(
             near = np.flatnonzero((own + bound >= least) & (own > -np.inf))
             with np.errstate(over="ignore", invalid="ignore"):
                 score = inner(given[near], asked[i][None, :])
-                scaled = np.ldexp(inner(vectors[near], queries[i][None, :]), power + powers[i])
-            score = np.where(np.isfinite(score), score, scaled)
+                wide = ~np.isfinite(score)
+                if wide.any():
+                    score[wide] = np.ldexp(inner(vectors[near[wide]], queries[i][None, :]), power + powers[i])
             best = np.lexsort((ids[near], -score))[:k]
             out.append((np.full(len(best), i), near[best], score[best]))
     if not out:
