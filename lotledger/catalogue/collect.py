@@ -55,12 +55,8 @@ def _streamed(spark, sf_dir):
     """Both reports of every listing arrive as files of a stream, run until it is used up."""
     root = new_location(spark, "stream")
     prices = vt.price(spark, sf_dir)
-    pages = (
-        prices.select("id")
-        .join(vt.inspection_pages(spark, sf_dir).withColumnRenamed("html", "inspection"), "id", "left")
-        .join(vt.accident_pages(spark, sf_dir).withColumnRenamed("html", "accident"), "id", "left")
-    )
-    pages.repartition(16, "id").write.parquet(f"{root}/pages")
+    pages = vt.report_pairs(spark, sf_dir, 16)
+    pages.write.parquet(f"{root}/pages")
     stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/pages")
     collect_stream(stream, prices, *_stores(spark, sf_dir), root, PRICE_ORDER).awaitTermination()
     return root

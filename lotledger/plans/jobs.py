@@ -243,8 +243,8 @@ def pending_ids(ids: DataFrame, done: DataFrame, failed: DataFrame) -> DataFrame
 
 def store_prices(good: DataFrame, prices: DataFrame, price_order: tuple[str, ...]) -> DataFrame:
     """Collected rows with their price; of repeated prices the last in ``price_order`` counts."""
-    # Few new rows leave few prices to look through.
-    wanted = prices.join(good.select("id"), "id", "left_semi")
+    # Few new rows leave few prices to look through; the filter is of fixed size, as a plan may broadcast ids.
+    wanted = may_be_in(prices, id_filter(good))
     return lookup_default(good, wanted, "id", "price", PRICE_MISSING_TEXT, list(price_order)).select(*COLLECTED.fieldNames())
 
 

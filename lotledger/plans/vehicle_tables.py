@@ -127,12 +127,8 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The accident report of every listing with a history.
-
-    Some lack the plate, the claims or the losses in between. Some are written in capitals, and
-    some have lists within items, tables within cells, inner markup and comments.
-    """
+def _accident_html() -> Column:
+    """The accident report, over the columns of ``history_raw``."""
     k = F.col("id")
     year = F.substring("registration_date", 1, 4)
     claims = F.when(k % 29 == 4, "").otherwise(
@@ -169,17 +165,26 @@ def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     loud = html
     for tag in ("dl", "dd", "ul", "li", "tr", "td", "th", "table", "span"):
         loud = F.replace(F.replace(loud, F.lit(f"<{tag}>"), F.lit(f"<{tag.upper()} >")), F.lit(f"</{tag}>"), F.lit(f"</{tag.upper()}>"))
-    return history_raw(spark, sf_dir).select("id", F.when(k % 7 == 5, loud).otherwise(html).alias("html"))
+    return F.when(k % 7 == 5, loud).otherwise(html)
 
 
-def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The inspection report of every listing with a status; null fields leave their item out."""
+def accident_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accident report of every listing with a history.
+
+    Some lack the plate, the claims or the losses in between. Some are written in capitals, and
+    some have lists within items, tables within cells, inner markup and comments.
+    """
+    return history_raw(spark, sf_dir).select("id", _accident_html().alias("html"))
+
+
+def _inspection_html() -> Column:
+    """The inspection report, over the columns of ``status``; null fields leave their item out."""
     k = F.col("id")
 
     def item(label: str, value: Column | str) -> Column:
         return F.coalesce(_text("<li><span>", label, "</span><span>", value, "</span></li>"), F.lit(""))
 
-    html = _text(
+    return _text(
         "<div><strong>차량, ", k % 1000, "나", k, " </strong></div>",
         "<div><strong>등록일 (최초 ", F.concat_ws("/", F.lit("2020"), F.lpad((k % 12 + 1).cast("string"), 2, "0"), F.lit("01")),
         ")</strong></div>",
@@ -191,4 +196,24 @@ def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         item("리콜", F.when(k % 17 == 0, "대상").otherwise("해당없음")), "</ul>",
         "<ul>", item("사고", F.col("accident")), item("단순수리", F.col("little_accident")), "</ul>",
     )
-    return status(spark, sf_dir).select("id", html.alias("html"))
+
+
+def inspection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inspection report of every listing with a status."""
+    return status(spark, sf_dir).select("id", _inspection_html().alias("html"))
+
+
+def report_pairs(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
+    """Both reports of every listing as ``inspection`` and ``accident``, null where there is none.
+
+    Only the short rows are joined and dealt out by id, and pages are made last: their size cannot
+    be told from that of the tables, and a plan would take them for small enough to broadcast.
+    """
+    inspected = status(spark, sf_dir).withColumn("inspected", F.lit(True))
+    reported = history_raw(spark, sf_dir).withColumn("reported", F.lit(True))
+    rows = (
+        price(spark, sf_dir).select("id")
+        .join(inspected.hint("merge"), "id", "left").join(reported.hint("merge"), "id", "left").repartition(files, "id")
+    )
+    return rows.select(
+        "id", F.when(F.col("inspected"), _inspection_html()).alias("inspection"), F.when(F.col("reported"), _accident_html()).alias("accident"))

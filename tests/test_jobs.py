@@ -1,9 +1,10 @@
 """Feature tables, resumed collection and its streaming form."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from lotledger.catalogue import ORACLES, QUERIES, common
+from lotledger.catalogue import ORACLES, QUERIES, collect, common
 from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.schemas import COLLECTED, ERROR_IDS
 from lotledger.streaming.collect import collect_stream
@@ -225,3 +226,51 @@ def test_stream_stops_at_the_target(spark, prices, tmp_path):
         collect_stream(stream, prices, ids(spark, 1), ids(spark), root, ("price",), target=3).awaitTermination()
     assert found(spark.read.schema(COLLECTED).parquet(f"{root}/collected")) == [2, 4]
     assert found(spark.read.schema(ERROR_IDS).parquet(f"{root}/failed")) == [3]
+
+
+def broadcast_columns(df):
+    """Names of all columns that a plan takes to the driver to broadcast them."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.initialPlan())
+        if name.startswith("Broadcast") and not name.endswith("Join"):
+            found.extend(node.output().apply(i).name() for i in range(node.output().size()))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return set(found)
+
+
+class Ended:
+    awaitTermination = staticmethod(lambda: None)
+
+
+def test_streamed_pages_are_not_broadcast(spark, sf_dir, tmp_path, monkeypatch):
+    written, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(collect, "new_location", lambda *_: f"{tmp_path}/stream")
+    monkeypatch.setattr(collect, "collect_stream", lambda *_: Ended)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: written.append(self._df) or write(self, path))
+    collect._streamed(spark, sf_dir)
+    assert not {"inspection", "html"} & (broadcast_columns(written[0]) | shuffled_columns(written[0]))
+
+
+def test_report_pairs_are_the_joined_pages(spark, sf_dir):
+    pairs = vt.report_pairs(spark, sf_dir, 4)
+    joined = (
+        vt.price(spark, sf_dir).select("id")
+        .join(vt.inspection_pages(spark, sf_dir).withColumnRenamed("html", "inspection"), "id", "left")
+        .join(vt.accident_pages(spark, sf_dir).withColumnRenamed("html", "accident"), "id", "left")
+    )
+    assert pairs.count() == joined.count() and pairs.exceptAll(joined).isEmpty()
+    assert pairs.where("inspection IS NULL").count() and pairs.where("inspection IS NOT NULL AND accident IS NOT NULL").count()
+
+
+def test_stored_ids_are_not_broadcast_to_look_up_prices(spark, prices, tmp_path):
+    good = jobs.read_report_pairs(report_pages(spark)).drop("is_ok")
+    rows = jobs.store_prices(good, prices.unionAll(ids(spark, 9).select("id", F.lit(1))), ("price",))
+    assert sorted((r.id, r.price) for r in rows.collect()) == [(1, "10"), (2, "20"), (3, "30"), (4, "가격 없음"), (5, "50"), (6, "60")]
+    assert "bitmap_construct_agg" in rows._jdf.queryExecution().optimizedPlan().toString()
