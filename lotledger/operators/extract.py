@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.functions.text import blank_to_null, first_token
-from lotledger.operators.nesting import LISTING_BLOCKS, element, inside, marked, unmarked
+from lotledger.operators.nesting import BLOCKS, LISTING_BLOCKS, element, inside, marked, unmarked
 from lotledger.schemas import NO_RESULTS_TEXT, NOT_AVAILABLE, RESERVED_TEXT
 
 #: A node inside another one is found too: what is matched is only looked at ahead.
@@ -124,9 +124,15 @@ def _decoded(part: Column) -> Column:
 
 def inner_text(node: Column) -> Column:
     """The text of a node: without tags, a line break for each ``br``, entities decoded once."""
-    plain = F.when(node.contains("<"), F.regexp_replace(F.regexp_replace(node, LINE_BREAK, "\n"), MARKUP, "")).otherwise(node)
-    parts = F.regexp_extract_all(plain, F.lit(ENTITY_PARTS), F.lit(0))
-    return F.when(plain.contains("&"), F.array_join(F.transform(parts, _decoded), "")).otherwise(plain)
+    may_break = reduce(Column.__or__, [node.contains(tag) for tag in ("<br", "<BR", "<Br", "<bR")])
+    lines = F.when(may_break, F.regexp_replace(node, LINE_BREAK, "\n")).otherwise(node)
+    plain = F.when(node.contains("<"), F.regexp_replace(lines, MARKUP, "")).otherwise(node)
+
+    def decoded(text: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(ENTITY_PARTS), F.lit(0))
+        return F.when(text.contains("&"), F.array_join(F.transform(parts, _decoded), "")).otherwise(text)
+
+    return F.get(F.transform(F.array(plain), decoded), F.lit(0))  # the plain text is worked out once
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -137,6 +143,12 @@ def _without_comments(html: Column) -> Column:
     return F.when(html.contains("<!--"), F.regexp_replace(html, COMMENT, "")).otherwise(html)
 
 
+def _marked_pages(pages: DataFrame, keep: list[str], html: str, sought: tuple[str, ...], tags: tuple[str, ...] = BLOCKS) -> DataFrame:
+    """``__page`` without comments, and with depths where patterns need them; marks look at a page more than once."""
+    clean = _once(pages, keep, {"__clean": _without_comments(F.col(html))})
+    return _once(clean, keep, {"__page": marked(F.col("__clean"), sought, tags)})
+
+
 def extract_fields(
     pages: DataFrame, fields: dict[str, list[Step]], keep: list[str], html: str = "html"
 ) -> DataFrame:
@@ -150,8 +162,7 @@ def extract_fields(
     patterns = {step.pattern for steps in fields.values() for step in steps}
     own = patterns <= {*ELEMENTS, *TEXT_NODES}  # other patterns see the page as it is
     sought = tuple(tag for pattern, tag in ELEMENTS.items() if pattern in patterns)
-    page = marked(_without_comments(F.col(html)), sought) if own else F.col(html)
-    level = _once(pages, keep, {"__page": page})
+    level = _marked_pages(pages, keep, html, sought) if own else _once(pages, keep, {"__page": F.col(html)})
     columns: dict[tuple, str] = {}
 
     def node(steps: tuple[Step, ...]) -> Column:
@@ -185,21 +196,21 @@ def extract_labelled(
     ``cells`` take the ``td`` right after the first ``th`` that contains the label, ``items``
     the first span text of the first list item that contains it.
     """
-    page = _once(pages, keep, {"__page": marked(_without_comments(F.col(html)), ("th", "td", "li"))})
+    page = _marked_pages(pages, keep, html, ("th", "td", "li"))
     text = F.col("__page")
     found = _once(page, keep, {
         "__heads": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(1)),
         "__cells": F.regexp_extract_all(text, F.lit(LABELLED_CELL), F.lit(3)),
         "__nodes": _all(text, LIST_ITEM),
     })
-    layout = _once(found, [*keep, "__cells"], {
-        "__heads": F.transform("__heads", inner_text),
+    heads = F.transform("__heads", inner_text)
+    layout = _once(found, keep, {
+        "__pairs": F.arrays_zip(heads.alias("head"), F.col("__cells").alias("cell")),
         "__items": F.transform("__nodes", lambda node: F.struct(inner_text(node).alias("text"), node.alias("node"))),
     })
 
     def cell(label: str) -> Column:
-        pairs = F.arrays_zip(F.col("__heads").alias("head"), F.col("__cells").alias("cell"))
-        return F.get(F.filter(pairs, lambda pair: pair["head"].contains(label)), F.lit(0))["cell"]
+        return F.get(F.filter("__pairs", lambda pair: pair["head"].contains(label)), F.lit(0))["cell"]
 
     def item(label: str) -> Column:
         first = F.get(F.filter("__items", lambda node: node["text"].contains(label)), F.lit(0))["node"]
@@ -221,7 +232,7 @@ def listing_nodes(pages: DataFrame, keep: list[str], html: str = "html") -> Data
 
     A node ends at its own end tag, whatever elements it holds; one inside another is a node too.
     """
-    page = _once(pages, keep, {"__page": marked(_without_comments(F.col(html)), LISTING_BLOCKS, LISTING_BLOCKS)})
+    page = _marked_pages(pages, keep, html, LISTING_BLOCKS, LISTING_BLOCKS)
     nodes = explode_nodes(page, LISTING_NODE, keep, group=1, html="__page")
     return nodes.withColumns({"attribute": node_attribute(F.col("node")), "node": unmarked(F.col("node"))})
 

@@ -23,24 +23,33 @@ _CHUNK = 512
 
 def _inside(tag: str, levels: int) -> str:
     """What may stand in an element: text, other tags and whole elements of its kind, no loose tag of it."""
-    inside = rf"[^<]++|<(?!/?{tag}[\s/>])"
-    return rf"(?:{inside}|<{tag}(?=[\s/>])[^>]*>{_inside(tag, levels - 1)}</{tag}\s*>)*+" if levels else rf"(?:{inside})*+"
+    whole = rf"|{tag}(?=[\s/>])[^>]*>{_inside(tag, levels - 1)}</{tag}\s*>" if levels else ""
+    return rf"[^<]*+(?:<(?:(?!/?{tag}[\s/>]){whole})[^<]*+)*+"
 
 
 def element(tag: str, label: int = 1, attribute: str = "") -> str:
-    """A whole element; ``label`` is the number of the group that holds its depth in marked pages."""
+    """A whole element; ``label`` is the number of the group that holds its depth in marked pages.
+
+    It begins with the one text that both forms share, for which a page is scanned fast.
+    """
     rest = rf"(?=[\s>])[^>]*{attribute}[^>]*>"
-    return rf"(?:<{tag}{rest}{_inside(tag, LEVELS.get(tag, OTHER_LEVELS))}</{tag}\s*>|<{tag}#(\d+){rest}.*?</{tag}#\{label}\s*>)"
+    return rf"<{tag}(?:{rest}{_inside(tag, LEVELS.get(tag, OTHER_LEVELS))}</{tag}\s*>|#(\d+){rest}.*?</{tag}#\{label}\s*>)"
 
 
 def inside(whole: Column) -> Column:
     """An element without its own two tags."""
-    return F.regexp_replace(whole, r"(?s)^<[^>]*>|</[^<>]*>$", "")
+    return F.regexp_extract(whole, r"(?s)^<[^>]*+>(.*)</", 1)
+
+
+def _nested(*tags: str) -> str:
+    """One of the tags that is opened again before it has ended, whether nested or left open."""
+    again = "|".join(rf"{tag}(?=[\s/>])[^<]*+(?:<(?!/?{tag}[\s/>])[^<]*+)*+<{tag}[\s/>]" for tag in tags)
+    return rf"(?i)<(?:{again})"
 
 
-def _nested(tag: str) -> str:
-    """A tag that is opened again before it has ended, whether nested or left open."""
-    return rf"(?i)<{tag}(?=[\s/>])[^<]*+(?:<(?!/?{tag}[\s/>])[^<]*+)*+<{tag}[\s/>]"
+def _clear(*tags: str) -> str:
+    """A page of nothing but elements that patterns can follow, for each of the tags."""
+    return r"(?is)\A" + "".join(rf"(?={_inside(tag, LEVELS.get(tag, OTHER_LEVELS) + 1)}\z)" for tag in tags)
 
 
 def _loose(html: Column, tag: str) -> Column:
@@ -107,8 +116,12 @@ def _with_depths(html: Column, tags: tuple[str, ...]) -> Column:
 
 def marked(html: Column, sought: tuple[str, ...], tags: tuple[str, ...] = BLOCKS) -> Column:
     """The page, with depths in ``tags`` where patterns could not follow a ``sought`` element without them."""
-    unclear = reduce(Column.__or__, [html.rlike(_nested(tag)) & _loose(html, tag) for tag in sought], F.lit(False))
-    return F.when(unclear, _with_depths(html, tags)).otherwise(html)
+    if not sought:
+        return html
+    # One scan tells the pages without a tag in another, the next those that are clear in every tag.
+    doubtful = html.rlike(_nested(*sought)) & ~html.rlike(_clear(*sought))
+    unclear = reduce(Column.__or__, [html.rlike(_nested(tag)) & _loose(html, tag) for tag in sought])
+    return F.when(doubtful & unclear, _with_depths(html, tags)).otherwise(html)
 
 
 def unmarked(node: Column) -> Column:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lotledger.catalogue import pages as pages_queries
 from lotledger.functions.text import join_text
 from lotledger.operators import extract
 
@@ -111,3 +112,18 @@ def test_labels_with_inner_markup(spark):
     pages = spark.createDataFrame([(1, html)], "id long, html string")
     row = extract.extract_labelled(pages, {"maker": "제작사", "year": "연식", "title": "제목"}, {"use": "용도 변경이력"}, ["id"]).first()
     assert (row.maker, row.year, row.title, row.use) == ("현대·기아", "2020", None, "있음")
+
+
+def test_history_queries_match_only_their_fields(spark, monkeypatch):
+    """Fields that a query does not return are not looked for."""
+    seen = []
+    monkeypatch.setattr(pages_queries, "accident_pages", lambda *_: None)
+    monkeypatch.setattr(pages_queries.extract, "extract_fields", lambda pages, fields, keep: seen.append(list(fields)))
+    pages_queries._history_fields(spark, "")
+    assert seen == [pages_queries.HISTORY_FIELDS]
+
+
+def test_text_of_a_node_with_breaks_and_entities(spark):
+    rows = [("a<BR/>b &amp; <b>c</b>",), ("a<bR>b",), ("<break>x",), ("&lt;br&gt;",), ("plain",), (None,)]
+    got = spark.createDataFrame(rows, "node string").select(extract.inner_text(F.col("node")).alias("x")).collect()
+    assert [r.x for r in got] == ["a\nb & c", "a\nb", "x", "<br>", "plain", None]

@@ -102,3 +102,22 @@ def test_items_around_inner_lists(spark):
     )
     row = extract.extract_fields(spark.createDataFrame([(1, page)], "id long, html string"), extract.ACCIDENT_FIELDS, ["id"]).first()
     assert (row.license, row.license_changed, row.owner_changed, row.total_loss) == ("12가 3", "3회", "4회", None)
+
+
+def test_clear_pages_are_those_that_patterns_follow(spark):
+    """Pages deeper than patterns go, with tags left open or with loose ends are marked, others never."""
+    def depth(n, tag="li"):
+        return f"<{tag}>" * n + "x" + f"</{tag}>" * n
+    clear = ["", "<ul><li>a<ul><li>b</li></ul></li></ul>", depth(7), depth(7, "LI"), "<link><listing><l", "<<li>a<li >b</li>< /li></li>"]
+    unclear = [depth(8), "<li>a<li>b</li>", "<ul><li>a<li>b</ul>", "</li><li><li></li></li>"]
+    rows = spark.createDataFrame([(i, page) for i, page in enumerate(clear + unclear)], "id int, html string")
+    marked = rows.select("id", "html", nesting.marked(F.col("html"), ("ul", "li")).alias("page"), F.col("html").rlike(nesting._clear("ul", "li")).alias("clear"))
+    for r in marked.collect():
+        assert r.clear == (r.id < len(clear)) and ("#" in r.page) == (r.id >= len(clear)), r.html
+
+
+def test_marking_scans_a_page_once_unless_a_tag_is_in_another(spark):
+    """Flat pages are told by one expression for all tags, not by one for each."""
+    page = spark.createDataFrame([("<ul><li>a</li><li>b</li></ul>",)], "html string")
+    assert not page.where(F.col("html").rlike(nesting._nested("ul", "li", "tr", "td"))).count()
+    assert spark.range(1).select(F.lit("<tr><td><table><TD>x").rlike(nesting._nested("ul", "td"))).first()[0]
