@@ -98,7 +98,8 @@ def labelled_fields(spark, sf_dir):
 
 
 def _history_fields(spark, sf_dir):
-    return accident_fields(spark, sf_dir).select("id", *HISTORY_FIELDS)
+    fields = {name: extract.ACCIDENT_FIELDS[name] for name in HISTORY_FIELDS}
+    return extract.extract_fields(accident_pages(spark, sf_dir), fields, ["id"])
 
 
 def default_texts(spark, sf_dir):
