@@ -8,6 +8,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
@@ -46,16 +47,23 @@ def new_location(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lotledger/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
+def materialise(df: DataFrame, label: str, rows_per_file: int = 0, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where a result is read more than once: later passes prune columns, and a lost
     executor re-reads files instead of recomputing the joins and aggregates behind them. Rows
     that cost much to work on and compress well, as pages do, are spread by ``rows_per_file``.
+    The shuffle files of the write go with its end; they would else stay until the driver collects.
     """
     spark = df.sparkSession
     path = new_location(spark, label)
-    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    write = df.write.option("maxRecordsPerFile", rows_per_file)
+    before = spark.conf.get(CLEANUP_SETTING, "false")
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        (write.option("compression", codec) if codec else write).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
     stored = spark.read.schema(df.schema).parquet(path)
     _STORED[stored] = path
     return stored

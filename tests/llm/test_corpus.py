@@ -77,6 +77,50 @@ def test_repeated_spans_of_hot_passages(spark, monkeypatch):
     assert digests(repeated_spans.remove_repeated(table(spark, rows).repartition(4))) == brute_spans(rows)
 
 
+@pytest.mark.parametrize("longest", [200, 2_048])
+def test_first_documents_against_brute_force(longest):
+    """Segments of a few hashes: random sides, equal sides, equal segments, a hash that comes again."""
+    random = np.random.default_rng(5)
+    segments = []
+    for key in range(4):
+        gram = "".join(random.choice(list("abcd"), 16))
+        sides = ["".join(random.choice(list("abc"), 34)) for _ in range(5)]
+        for _ in range(30):
+            left, right = (sides[random.integers(0, 5)] if random.random() < 0.6 else "".join(random.choice(list("abc"), 34)) for _ in "lr")
+            segments.append((key, gram, (left[random.integers(0, 20):] + gram + right[:random.integers(16, 34)]).encode()))
+        segments.append((key, gram, (sides[0] + gram + sides[1][:10] + gram + sides[2]).encode()))
+    segments = [x for x in segments if len(x[2]) >= 50]
+    docs = random.integers(0, 40, len(segments))
+    h = np.array([repeated_spans._grams(np.frombuffer(g.encode(), np.uint8))[0] for _, g, _ in segments])
+    least = {}
+    for (key, _, text), doc in zip(segments, docs.tolist(), strict=True):
+        for i in range(len(text) - 49):
+            least[key, text[i:i + 50]] = min(least.get((key, text[i:i + 50]), doc), doc)
+    want = [least[key, text[i:i + 50]] for key, _, text in segments for i in range(len(text) - 49)]
+    data = np.frombuffer(b"".join(text for _, _, text in segments), np.uint8)
+    lengths = np.array([len(text) for _, _, text in segments])
+    assert repeated_spans.first_documents(h, data, lengths, docs, 50, longest).tolist() == want
+
+
+def test_segments_that_share_little_are_not_sorted(monkeypatch):
+    """Most segments of a hash have only its 16 bytes in common; they need no suffix array."""
+    sorted_bytes = []
+    monkeypatch.setattr(repeated_spans, "suffix_arrays", lambda text, starts: sorted_bytes.append(len(text)) or suffix_arrays(text, starts))
+    random = np.random.default_rng(6)
+    texts = ["".join(random.choice(list("abcdefgh "), 34)) + "sixteen bytes...".upper() + "".join(random.choice(list("abcdefgh "), 34)) for _ in range(50)]
+    h = np.repeat(repeated_spans._grams(np.frombuffer(b"SIXTEEN BYTES...", np.uint8)), 50)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    got = repeated_spans.first_documents(h, data, np.full(50, 84), np.arange(50), 50, 2_048)
+    assert got.tolist() == np.repeat(np.arange(50), 35).tolist()
+    assert not sorted_bytes
+
+
+def test_lists_of_hashes_grow_no_faster_than_the_text():
+    for size in (200 << 20, 1 << 30, 20 << 30):
+        (a, b), (c, d) = repeated_spans._layout(size), repeated_spans._layout(5 * size)
+        assert c * d < 5.2 * a * b
+
+
 def test_repeated_spans_without_ids_and_rows(spark):
     text = "x y z " * 30
     got = repeated_spans.remove_repeated(table(spark, [(None, text), (1, text), (1, text), (2, text)])).collect()
