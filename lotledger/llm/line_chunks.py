@@ -8,7 +8,8 @@ than once are compared byte by byte with their first occurrence, which stays.
 Passages that are no chunks of lines, inside a line or over a few short ones, are found by words.
 Each run of 50 words belongs to the smallest hash of the 16-word groups in it, so equal runs share
 theirs wherever they stand; runs in a row with one hash are a segment. Equal segments repeat as a
-whole. Where a hash has several segments, each one's runs are compared, by a digest of their bytes.
+whole. Where a hash has several segments, each one's runs are compared, by a digest of their bytes;
+the digests of a segment lie in one row, and those of many hashes are sorted together.
 """
 
 from __future__ import annotations
@@ -19,15 +20,19 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotledger.llm.common import python_tasks
 from lotledger.llm.shingles import SPACE, U, mix, parts, text_bytes
+from lotledger.llm.suffix_groups import _ranges
 from lotledger.session import discard, materialise
 
 ENDS_ONE_IN = 3  # a boundary follows one line in so many
+BUCKET_WINDOWS = 500_000  # windows that are compared together
+HOT_KINDS = 2_000  # a hash with more different segments, or a longer one, has its windows compared in a join
 PASSAGE_WORDS = 50  # a line of so many words is a chunk in itself
 _FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -138,25 +143,61 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
                 )
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Digests of the windows of each piece in a row; those of hot pieces in rows of their own."""
         for batch in batches:
             asked = batch.column("asked").to_pylist()
             for first, raw, begin, end, at in _parts(batch.column("text")):
-                texts, places = [], []
+                texts, places, sizes, hashes, hots = [], [], [], [], []
                 for i in range(len(at) - 1):
                     for piece in asked[first + i]:
-                        places += range(piece["place"], piece["place"] + piece["n"])
-                    texts += [i] * (len(places) - len(texts))
-                texts, places = np.array(texts, np.int64), np.array(places, np.int64)
-                word = at[texts] + places
-                keys = [_digest(raw[a:b]) for a, b in zip(begin[word].tolist(), end[word + window - 1].tolist(), strict=True)]
+                        cuts = range(piece["n"]) if piece["hot"] else (0,)
+                        texts += [i] * len(cuts)
+                        places += [piece["place"] + c for c in cuts]
+                        sizes += [1 if piece["hot"] else piece["n"]] * len(cuts)
+                        hashes += [piece["h"]] * len(cuts)
+                        hots += [piece["hot"]] * len(cuts)
+                texts, sizes = np.array(texts, np.int64), np.array(sizes, np.int64)
+                word = _ranges(at[texts] + np.array(places, np.int64), sizes)
+                keys = b"".join([_digest(raw[a:b]) for a, b in zip(begin[word].tolist(), end[word + window - 1].tolist(), strict=True)])
+                cuts = np.concatenate([[0], np.cumsum(sizes) * 16]).tolist()
                 texts = pa.array(texts + first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(texts), batch.column("tag").take(texts), pa.array(places, pa.int32()), pa.array(keys, pa.binary())],
-                    names=["doc_id", "tag", "place", "key"],
+                    [batch.column("doc_id").take(texts), batch.column("tag").take(texts), pa.array(places, pa.int32()), pa.array(hashes, pa.int64()),
+                     pa.array(hots, pa.bool_()), pa.array([keys[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                    names=["doc_id", "tag", "place", "h", "hot", "key"],
                 )
 
-    def firsts(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "tag", "place")).alias("first"), F.count("*").alias("copies"))
+    def compared(keys: tuple[pa.Scalar, ...], pieces: pa.Table) -> pa.Table:
+        """Windows in a row that have an equal one before them, apart from them."""
+        blobs = pieces.column("key").to_pylist()
+        digests = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, 2)
+        sizes = np.array([len(x) // 16 for x in blobs], np.int64)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = _ranges(pieces.column("place").to_numpy().astype(np.int64), sizes)
+        tag, doc = pieces.column("tag").to_numpy(), pc.rank(pieces.column("doc_id"), tiebreaker="dense").to_numpy()
+        again = np.zeros(len(row), bool)
+        # Most windows have a half digest of their own.
+        order = np.argsort(digests[:, 0], kind="stable")
+        alike = digests[order, 0][1:] == digests[order, 0][:-1]
+        order = order[np.append(alike, False) | np.append(False, alike)]
+        if len(order):
+            order = order[np.lexsort((place[order], tag[row[order]], doc[row[order]], digests[order, 1], digests[order, 0]))]
+            new = np.append(True, (digests[order[1:]] != digests[order[:-1]]).any(axis=1))
+            first = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+            one, other = row[order], row[first]
+            again[order] = (doc[one] != doc[other]) | (tag[one] != tag[other]) | (place[order] >= place[first] + window)
+        found = np.flatnonzero(again)
+        new = np.ones(len(found), bool)
+        new[1:] = (np.diff(found) != 1) | (row[found[1:]] != row[found[:-1]])
+        heads = np.flatnonzero(new)
+        of = pa.array(row[found[heads]])
+        return pa.table({
+            "doc_id": pieces.column("doc_id").take(of), "tag": pieces.column("tag").take(of),
+            "place": pa.array(place[found[heads]], pa.int32()), "n": pa.array(np.diff(heads, append=len(found)), pa.int32()),
+        })
+
+    def firsts(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "tag", "place")).alias("first"), F.count("*").alias("copies"), *more)
 
     # Equal words that overlap in one text do not repeat each other.
     apart = F.expr(f"doc_id <> first.doc_id or tag <> first.tag or place >= first.place + {window}")
@@ -165,24 +206,29 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
     several = placed.groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most")).where(f"rows > 1 or most > {window}")
     shared = materialise(placed.join(several.select("h"), "h"), "shared-segments")
     discard(placed)
-    known = stored_known = materialise(firsts(shared, ["h", "key"]), "first-segments")
-    mixed = known.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h", F.lit(True).alias("mixed"))
-    known = known.join(mixed, "h", "left").select("key", "first", "copies", F.coalesce("mixed", F.lit(False)).alias("mixed"))
-    known = known.where("copies > 1 or mixed")
+    known = stored_known = materialise(firsts(shared, ["h", "key"], F.max("n").alias("most")), "first-segments")
+    # All windows of a hash are compared in the same way, in a bucket or, of very many segments, in a join.
+    kinds = known.groupBy("h").agg(F.count("*").alias("kinds"), F.max("most").alias("most"))
+    kinds = kinds.select("h", "most", F.expr("kinds > 1").alias("mixed"), F.expr(f"kinds > {HOT_KINDS} or most > {HOT_KINDS}").alias("hot"))
+    known = known.drop("most").join(kinds, "h").where(f"copies > 1 or mixed or most > {window}").select("key", "first", "copies", "mixed", "hot")
+    # A segment that is long enough to repeat itself is asked in any case.
     judged = shared.join(known, "key").withColumn("again", apart).select(
-        "doc_id", "tag", "place", "n", "again",
-        F.expr(f"not again and (mixed or n > {window} or doc_id <> first.doc_id or tag <> first.tag or place <> first.place)").alias("asked"),
+        "doc_id", "tag", "place", "n", "h", "hot", "again",
+        F.expr(f"n > {window} or not again and (mixed or doc_id <> first.doc_id or tag <> first.tag or place <> first.place)").alias("asked"),
     )
-    alone = shared.where(f"n > {window}").select("doc_id", "tag", "place", "n")
     judged = materialise(judged, "judged-segments")
-    discard(stored_known)
-    asked = judged.where("asked").select("doc_id", "tag", "place", "n").unionByName(alone)
-    asked = asked.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "n")).alias("asked"))
+    discard(stored_known, shared)
+    asked = judged.where("asked")
+    size = asked.agg(F.sum("n")).first()[0] or 0
+    buckets = -(-size // BUCKET_WINDOWS) or 1
+    asked = asked.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "n", "h", "hot")).alias("asked"))
     windows = whole.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked")
-    windows = materialise(windows.mapInArrow(single, f"doc_id {kind}, tag long, place int, key binary"), "windows")
-    discard(shared)
-    again = windows.join(firsts(windows, ["key"]).where("copies > 1"), "key").where(apart)
-    return judged.where("again").select("doc_id", "tag", "place", "n").unionByName(again.select("doc_id", "tag", "place", F.lit(1).alias("n")))
+    windows = materialise(windows.mapInArrow(single, f"doc_id {kind}, tag long, place int, h long, hot boolean, key binary"), "windows")
+    packed = windows.where("not hot").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets))).groupBy("bucket")
+    packed = packed.applyInArrow(compared, f"doc_id {kind}, tag long, place int, n int")
+    hot = windows.where("hot")
+    hot = hot.join(firsts(hot, ["key"]).where("copies > 1"), "key").where(apart).select("doc_id", "tag", "place", F.lit(1).alias("n"))
+    return judged.where("again").select("doc_id", "tag", "place", "n").unionByName(packed).unionByName(hot)
 
 
 def _without(text: str, dropped: set[int], cuts: list[tuple[int, int]], window: int) -> tuple[str, int]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotledger.llm import line_chunks, ordinal_quality, queries, sentencepiece_bpe, text_density, toxicity
 from lotledger.llm.common import held_out
+from lotledger.session import materialise
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
@@ -306,3 +307,25 @@ def test_no_passage_stays_twice(spark, sf_dir):
 
     # Repeated chunks of lines go besides, so less may be left.
     assert all(within(got[d], w) for d, w in want.items())
+
+
+@pytest.mark.parametrize("hot", [0, 2_000])
+def test_windows_of_a_segment_are_stored_in_a_row(spark, monkeypatch, hot):
+    """One row for each segment that is compared, but for hashes of very many segments; the same text is left."""
+    stored = {}
+
+    def spy(df, label, *more):
+        stored[label] = out = materialise(df, label, *more)
+        if label == "windows":
+            stored["rows"] = out.where("not hot").count(), out.where("hot").count()
+        return out
+
+    monkeypatch.setattr(line_chunks, "materialise", spy)
+    monkeypatch.setattr(line_chunks, "HOT_KINDS", hot)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"{' '.join(f'a{i}x{j}' for j in range(40))} {passage} {' '.join(f'b{i}x{j}' for j in range(40))}") for i in range(6)]
+    left = {r.doc_id: r.text for r in line_chunks.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left[0] == rows[0][1]
+    assert all(left[i] == rows[i][1].replace(passage + " ", "") for i in range(1, 6))
+    packed, single = stored["rows"]
+    assert (packed == 0 and single > 0) if not hot else (0 < packed < 40 and single == 0)
