@@ -14,9 +14,10 @@ the digests of a segment lie in one row, and those of many hashes are sorted tog
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from struct import unpack
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +34,21 @@ from lotledger.session import discard, materialise
 ENDS_ONE_IN = 3  # a boundary follows one line in so many
 BUCKET_WINDOWS = 500_000  # windows that are compared together
 HOT_KINDS = 2_000  # a hash with more different segments, or a longer one, has its windows compared in a join
+BUCKET_HASHES = 1_000_000  # hashes that are looked through together for those that stand twice
+RANGE_BYTES = 1 << 17  # texts whose words are hashed together: working arrays of ten times that stay near the CPU
+LIST_SEGMENTS = 1 << 16  # segments in a row of their list, at most
 PASSAGE_WORDS = 50  # a line of so many words is a chunk in itself
 _FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _BYTES = np.random.Generator(np.random.PCG64(20_240_602)).integers(1, 1 << 64, 256, dtype=U)
-#: Spaces that ``str.split`` knows besides those of ASCII, in UTF-8.
-_WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-
-
-def line_hash(line: str) -> int:
-    return int.from_bytes(blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+#: Bytes that are no space of one byte, and those that spaces of more bytes begin with in UTF-8.
+_INSIDE = ~SPACE
+_INSIDE[0x1C:0x20] = False
+_WIDE_BEGIN = np.zeros(256, bool)
+_WIDE_BEGIN[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+#: Those spaces that ``str.split`` knows, as numbers of three bytes; of the first two, the third is any byte.
+_WIDE_TWO = np.array([0xC285, 0xC2A0])
+_WIDE_THREE = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 
 
 def chunks(text: str | None, passage_words: int = PASSAGE_WORDS) -> list[tuple[int, int, int]]:
@@ -50,7 +56,8 @@ def chunks(text: str | None, passage_words: int = PASSAGE_WORDS) -> list[tuple[i
     if not text:
         return []
     lines = text.split("\n")
-    hashes = [line_hash(x) for x in lines]
+    raw = b"".join([blake2b(x, digest_size=8).digest() for x in text.encode("utf-8", "surrogatepass").split(b"\n")])
+    hashes = unpack(f"<{len(lines)}Q", raw)
     found, first = [], 0
 
     def close(end: int) -> None:
@@ -76,17 +83,24 @@ def chunks(text: str | None, passage_words: int = PASSAGE_WORDS) -> list[tuple[i
 
 def words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where each word begins and ends."""
-    inside = ~SPACE[np.frombuffer(raw, np.uint8)]
-    for found in _WIDE_SPACE.finditer(raw):
-        inside[found.start():found.end()] = False
-    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    data = np.frombuffer(raw + b"\0\0", np.uint8)
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = _INSIDE[data[:-2]]
+    wide = np.flatnonzero(_WIDE_BEGIN[data])
+    if len(wide):
+        two = data[wide].astype(np.int64) << 8 | data[wide + 1]
+        three = two << 8 | data[np.minimum(wide + 2, len(raw))]
+        for found, size in ((wide[np.isin(two, _WIDE_TWO)], 2), (wide[np.isin(three, _WIDE_THREE)], 3)):
+            for k in range(1, size + 1):
+                inside[found + k] = False
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
 
 def _parts(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts in ranges: number of the first, bytes with a line break after each, words, first word of each."""
     data, offsets = text_bytes(column)
-    for first, last in parts(offsets):
+    for first, last in parts(offsets, RANGE_BYTES):
         raw = b"\n".join([data[a:b].tobytes() for a, b in zip(offsets[first:last], offsets[first + 1:last + 1], strict=True)] + [b""])
         bounds = offsets[first:last + 1] - offsets[first] + np.arange(last - first + 1)
         begin, end = words(raw)
@@ -131,14 +145,68 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
     kind = whole.schema["doc_id"].dataType.simpleString()
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The segments of a batch of texts in a row, or a few: texts, segments of each, and their hashes, places, sizes and digests."""
         for batch in batches:
+            owners, found, keys = [], [], []
             for first, raw, begin, end, at in _parts(batch.column("text")):
                 owner, start, n, h = _segments(raw, begin, end, at, window)
-                keys = [_digest(raw[a:b]) for a, b in zip(begin[start].tolist(), end[start + n + window - 2].tolist(), strict=True)]
-                texts = pa.array(owner + first)
+                keys += [_digest(raw[a:b]) for a, b in zip(begin[start].tolist(), end[start + n + window - 2].tolist(), strict=True)]
+                owners.append(owner + first)
+                found.append((h.view(np.int64), (start - at[owner]).astype(np.int32), n.astype(np.int32)))
+            owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+            for i in range(0, len(owner), LIST_SEGMENTS):
+                own = slice(i, i + LIST_SEGMENTS)
+                texts, counts = np.unique(owner[own], return_counts=True)
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column(c).take(pa.array(texts))) for c in ("doc_id", "tag")]
+                blobs = [counts.astype(np.int32), *(np.concatenate(x)[own] for x in zip(*found, strict=True))]
+                blobs = [pa.array([x.tobytes()], pa.binary()) for x in blobs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid4().bytes], pa.binary()), *lists, *blobs, pa.array([b"".join(keys[own])], pa.binary())],
+                    names=["part", "docs", "tags", "counts", "h", "place", "n", "key"],
+                )
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hashes of a list by bucket, more than once if there is something to compare within it."""
+        for batch in batches:
+            for part, h, n in zip(*(batch.column(c).to_pylist() for c in ("part", "h", "n")), strict=True):
+                values = np.frombuffer(h, np.int64)
+                one, times = np.unique(values, return_counts=True)
+                # A segment longer than a window may repeat itself.
+                sent = np.concatenate([one, one[times > 1], np.repeat(np.unique(values[np.frombuffer(n, np.int32) > window]), 2)])
+                place = sent % parted
+                sent = sent[np.argsort(place, kind="stable")]
+                held, cuts = np.unique(place, return_counts=True)
+                cuts = np.concatenate([[0], np.cumsum(cuts)]).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held, pa.int64()), pa.array([part] * len(held), pa.binary()),
+                     pa.array([sent[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+                    names=["bucket", "part", "hashes"],
+                )
+
+    def met(keys: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
+        """The hashes of each list that are sent twice."""
+        blobs = sent.column("hashes").to_pylist()
+        values = np.frombuffer(b"".join(blobs), np.int64)
+        order = np.argsort(values, kind="stable")
+        alike = values[order[1:]] == values[order[:-1]]
+        twice = np.zeros(len(values), bool)
+        twice[order[1:][alike]] = twice[order[:-1][alike]] = True
+        cuts = np.cumsum([0, *(len(x) // 8 for x in blobs)]).tolist()
+        found = [values[a:b][twice[a:b]].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.table({"part": sent.column("part"), "hashes": pa.array(found, pa.binary())})
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The segments with hashes that were met elsewhere, each in a row."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                counts, place, n = (np.frombuffer(row[c].as_py(), np.int32) for c in ("counts", "place", "n"))
+                h = np.frombuffer(row["h"].as_py(), np.int64)
+                at = np.flatnonzero(np.isin(h, np.frombuffer(b"".join(row["asked"].as_py()), np.int64)))
+                texts, keys = pa.array(np.repeat(np.arange(len(counts)), counts)[at]), row["key"].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(texts), batch.column("tag").take(texts), pa.array(start - at[owner], pa.int32()),
-                     pa.array(n, pa.int32()), pa.array(h.view(np.int64)), pa.array(keys, pa.binary())],
+                    [row["docs"].values.take(texts), row["tags"].values.take(texts), pa.array(place[at], pa.int32()), pa.array(n[at], pa.int32()),
+                     pa.array(h[at], pa.int64()), pa.array([keys[16 * k:16 * k + 16] for k in at.tolist()], pa.binary())],
                     names=["doc_id", "tag", "place", "n", "h", "key"],
                 )
 
@@ -201,10 +269,14 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
 
     # Equal words that overlap in one text do not repeat each other.
     apart = F.expr(f"doc_id <> first.doc_id or tag <> first.tag or place >= first.place + {window}")
-    placed = materialise(whole.mapInArrow(listed, f"doc_id {kind}, tag long, place int, n int, h long, key binary"), "segments")
+    lists = f"part binary, docs array<{kind}>, tags array<long>, counts binary, h binary, place binary, n binary, key binary"
+    placed = materialise(whole.mapInArrow(listed, lists), "segments")
     # A hash that stands once has nothing to compare, unless its segment is long enough to repeat itself.
-    several = placed.groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most")).where(f"rows > 1 or most > {window}")
-    shared = materialise(placed.join(several.select("h"), "h"), "shared-segments")
+    parted = -(-(placed.agg(F.sum(F.octet_length("h"))).first()[0] or 0) // (8 * BUCKET_HASHES)) or 1
+    sent = placed.select("part", "h", "n").mapInArrow(dealt, "bucket long, part binary, hashes binary")
+    several = sent.groupBy("bucket").applyInArrow(met, "part binary, hashes binary").where("octet_length(hashes) > 0")
+    several = placed.join(several.groupBy("part").agg(F.collect_list("hashes").alias("asked")), "part")
+    shared = materialise(several.mapInArrow(chosen, f"doc_id {kind}, tag long, place int, n int, h long, key binary"), "shared-segments")
     discard(placed)
     known = stored_known = materialise(firsts(shared, ["h", "key"], F.max("n").alias("most")), "first-segments")
     # All windows of a hash are compared in the same way, in a bucket or, of very many segments, in a join.
@@ -245,22 +317,24 @@ def _without(text: str, dropped: set[int], cuts: list[tuple[int, int]], window:
             gone[place] += 1
             gone[place + n + window - 1] -= 1
     gone = np.cumsum(gone)[:-1] > 0
-    out, word, base, cut = [], 0, 0, 0
+    out, base, cut = [], 0, 0
     begins, ends, covered = begin.tolist(), end.tolist(), gone.tolist()
+    breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+    words_to = [*np.searchsorted(begin, breaks).tolist(), len(begins)]
+    gone_to = np.concatenate([[0], np.cumsum(gone)]).tolist()
+    word = 0
     for i, line in enumerate(raw.split(b"\n")):
-        first, stop = word, base + len(line)
-        while word < len(begins) and begins[word] < stop:
-            word += 1
-        own = covered[first:word]
+        first, word, stop = word, words_to[i], base + len(line)
+        own = gone_to[word] - gone_to[first]
         if i in dropped:
             pass
-        elif not any(own):
+        elif not own:
             # A blank line inside a passage goes with it.
-            if own or not (0 < first < len(begins) and covered[first - 1] and covered[first]):
+            if word > first or not (0 < first < len(begins) and covered[first - 1] and covered[first]):
                 out.append(line)
         else:
-            cut += sum(own)
-            if not all(own):
+            cut += own
+            if own < word - first:
                 kept, at = [], base
                 for k in range(first, word):
                     if covered[k]:
@@ -348,10 +422,10 @@ def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Data
         for batch in batches:
             out, lines, removed, cut = [], [], [], []
             for text, pieces in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
-                lines.append(len(text.split("\n")) if text else 0)
+                lines.append(text.count("\n") + 1 if text else 0)
                 drop, n = set(), 0
                 if pieces:
-                    found = chunks(text, passage_words)
+                    found = chunks(text, passage_words) if any(not x["n"] for x in pieces) else []
                     drop = {i for x in pieces if not x["n"] for i in range(*found[x["place"]][:2])}
                     text, n = _without(text, drop, [(x["place"], x["n"]) for x in pieces if x["n"]], passage_words)
                 removed.append(len(drop))

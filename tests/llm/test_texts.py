@@ -329,3 +329,32 @@ def test_windows_of_a_segment_are_stored_in_a_row(spark, monkeypatch, hot):
     assert all(left[i] == rows[i][1].replace(passage + " ", "") for i in range(1, 6))
     packed, single = stored["rows"]
     assert (packed == 0 and single > 0) if not hot else (0 < packed < 40 and single == 0)
+
+
+@pytest.mark.parametrize("hashes", [16, 1_000_000])
+def test_segments_are_listed_by_batch(spark, monkeypatch, hashes):
+    """Only segments whose hash stands twice get rows of their own, however lists and hashes are dealt out; nothing else changes."""
+    rows_of = {}
+
+    def spy(df, label, *more):
+        out = materialise(df, label, *more)
+        rows_of[label] = out.count()
+        return out
+
+    monkeypatch.setattr(line_chunks, "materialise", spy)
+    monkeypatch.setattr(line_chunks, "BUCKET_HASHES", hashes)
+    monkeypatch.setattr(line_chunks, "LIST_SEGMENTS", 7 if hashes == 16 else 1 << 16)
+    rows = [(i, " ".join(f"a{i}x{j}" for j in range(400)) + (f" {LONG}" if i % 8 == 0 else "")) for i in range(40)]
+    rows += [(40, "a " * 130), (41, "\u3000".join(f"s{j}" for j in range(60)) * 2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = {r.doc_id: r.text.split() for r in line_chunks.remove_repeated(table).collect()}
+    assert left == brute_passages(rows)
+    # About one segment for every 18 words.
+    assert rows_of["segments"] <= (3 if hashes > 16 else 400) and 0 < rows_of["shared-segments"] < 200
+
+
+def test_words_end_at_every_space():
+    wide = ["\x1c", "\x1f", "\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
+    for text in [x.join(["", "é", "日本", "a\u200bb", ""]) for x in wide] + ["".join(wide), "Â", "â\u2027", "ends \u3000", ""]:
+        raw = text.encode()
+        assert [raw[a:b].decode() for a, b in zip(*line_chunks.words(raw), strict=True)] == text.split()
