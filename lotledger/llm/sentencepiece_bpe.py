@@ -8,8 +8,8 @@ on in a bitfield, so that each is tried once.
 
 No piece of such a vocabulary spans a space that follows other text, nor a character that
 occurs in no longer piece, so a text falls into short segments that are encoded apart. Both
-facts are read from the vocabulary when it is loaded. Frequent segments are remembered in a
-table of bounded size.
+facts are read from the vocabulary when it is loaded. Segments are remembered in tables
+of bounded size, from which those go that were not met of late.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from lotledger.llm.common import python_tasks
 
 SPACE = "▁"  # fixed value: how the models write a space
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000  # of segments, and of pairs, kept by a worker; it lives on through the stages of a job
 
 # Kinds of pieces in a model file, fixed values.
 NORMAL, CONTROL, USER_DEFINED, BYTE = 1, 3, 4, 6
@@ -118,11 +118,14 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary, self.pairs = vocabulary, {}
+        self.old, self.old_pairs = {}, {}  # what was known before the last trim and not asked since
 
     def compatible(self, left: int, right: int) -> bool:
         if (known := self.pairs.get(left << 32 | right)) is None:
-            texts = [self.vocabulary.tokens[left], self.vocabulary.tokens[right]]
-            known = self.pairs[left << 32 | right] = self.vocabulary.merged("".join(texts)) == texts
+            if (known := self.old_pairs.pop(left << 32 | right, None)) is None:
+                texts = [self.vocabulary.tokens[left], self.vocabulary.tokens[right]]
+                known = self.vocabulary.merged("".join(texts)) == texts
+            self.pairs[left << 32 | right] = known
         return known
 
     def tokens(self, segment: str) -> list[int]:
@@ -157,7 +160,9 @@ class Encoder(dict):
 
     def __missing__(self, segment: str) -> bytes:
         vocabulary = self.vocabulary
-        if len(segment) == 1:
+        if (packed := self.old.pop(segment, None)) is not None:
+            pass
+        elif len(segment) == 1:
             packed = array("i", vocabulary.token_ids(segment)).tobytes()
         else:
             packed = b"".join([vocabulary.packed[i] for i in self.tokens(segment)])
@@ -178,9 +183,12 @@ class Encoder(dict):
         return whole.removeprefix(b" " if self.vocabulary.prefix else b"").decode("utf-8", "replace")
 
     def trim(self) -> None:
-        for cache in (self, self.pairs):
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
+        """Half of the entries are of late; the others go where they were not asked since the last time."""
+        if len(self) > CACHE_ENTRIES // 2:
+            self.old = dict(self)
+            self.clear()
+        if len(self.pairs) > CACHE_ENTRIES // 2:
+            self.old_pairs, self.pairs = self.pairs, {}
 
 
 _ENCODERS: dict[bytes, Encoder] = {}  # one per model in a worker process, kept from task to task
