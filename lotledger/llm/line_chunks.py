@@ -2,8 +2,8 @@
 
 A rolling hash over the hashes of two lines in a row tells where a chunk ends, so chunks of a
 passage come out alike wherever the passage stands. A chunk has several lines; a line with as
-many words as a passage ends the chunk before it and is one in itself. Chunks that occur more
-than once are compared byte by byte with their first occurrence, which stays.
+many words as a passage ends the chunk before it and is one in itself. Chunks are compared by a
+256-bit digest of their bytes; the first of equal ones stays.
 
 Passages that are no chunks of lines, inside a line or over a few short ones, are found by words.
 Each run of 50 words belongs to the smallest hash of the 16-word groups in it, so equal runs share
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
-from struct import unpack
 from uuid import uuid4
 
 import numpy as np
@@ -36,11 +35,12 @@ BUCKET_WINDOWS = 500_000  # windows that are compared together
 HOT_KINDS = 2_000  # a hash with more different segments, or a longer one, has its windows compared in a join
 BUCKET_HASHES = 1_000_000  # hashes that are looked through together for those that stand twice
 RANGE_BYTES = 1 << 17  # texts whose words are hashed together: working arrays of ten times that stay near the CPU
-LIST_SEGMENTS = 1 << 16  # segments in a row of their list, at most
+LIST_SEGMENTS = 1 << 16  # segments, and chunks, in a row of their lists, at most
 PASSAGE_WORDS = 50  # a line of so many words is a chunk in itself
 _FACTOR = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 _BYTES = np.random.Generator(np.random.PCG64(20_240_602)).integers(1, 1 << 64, 256, dtype=U)
+#: Powers of the factor and of its inverse, for ranges of texts of the usual size.
+_POWERS, _INVERSE = (np.cumprod(np.full(RANGE_BYTES * 5 // 4, x, U), dtype=U) for x in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
 #: Bytes that are no space of one byte, and those that spaces of more bytes begin with in UTF-8.
 _INSIDE = ~SPACE
 _INSIDE[0x1C:0x20] = False
@@ -51,34 +51,49 @@ _WIDE_TWO = np.array([0xC285, 0xC2A0])
 _WIDE_THREE = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 
 
-def chunks(text: str | None, passage_words: int = PASSAGE_WORDS) -> list[tuple[int, int, int]]:
-    """``(first line, line after the last, hash)`` of each chunk; a lone short line is none."""
+def chunks(text: str | None, passage_words: int = PASSAGE_WORDS) -> list[tuple[int, int, bytes]]:
+    """``(first line, line after the last, digest)`` of each chunk; a lone short line is none."""
     if not text:
         return []
-    lines = text.split("\n")
-    raw = b"".join([blake2b(x, digest_size=8).digest() for x in text.encode("utf-8", "surrogatepass").split(b"\n")])
-    hashes = unpack(f"<{len(lines)}Q", raw)
-    found, first = [], 0
-
-    def close(end: int) -> None:
-        nonlocal first
+    raw = text.encode("utf-8", "surrogatepass") + b"\n"
+    _, first, last, keys = _chunks(raw, words(raw)[0], np.array([0, len(raw)]), passage_words)
+    return list(zip(first.tolist(), last.tolist(), keys, strict=True))
+
+
+def _lines(raw: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each line begins and ends, and the first line of each text."""
+    stops = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+    return np.append(0, stops[:-1] + 1), stops, np.searchsorted(stops, bounds)
+
+
+def _chunks(raw: bytes, begin: np.ndarray, bounds: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Chunks of lines of texts in a row: text, first line, line after the last, digest."""
+    starts, stops, lines_at = _lines(raw, bounds)
+    raws = b"".join([blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)])
+    h = np.frombuffer(raws, "<u8").astype(U)
+    long = np.diff(np.searchsorted(begin, np.append(starts, len(raw)))) >= passage_words
+    for i in np.flatnonzero(long).tolist():
+        long[i] = raw.count(b" ", starts[i], stops[i]) + 1 >= passage_words
+    ends = np.append(False, ((h[:-1] * U(_FACTOR) + h[1:]) >> U(32)) % U(ENDS_ONE_IN) == 0)
+    marks = np.flatnonzero(ends | long)
+    marked = zip(marks.tolist(), long[marks].tolist(), strict=True)
+    found, (i, alone) = [], next(marked, (len(stops), False))
+    for text, (first, end) in enumerate(zip(lines_at.tolist(), lines_at[1:].tolist(), strict=False)):
+        while i < end:
+            if alone:
+                if i - first > 1:
+                    found.append((text, first, i))
+                found.append((text, i, i + 1))
+                first = i + 1
+            elif i > first:
+                found.append((text, first, i + 1))
+                first = i + 1
+            i, alone = next(marked, (len(stops), False))
         if end - first > 1:
-            key = 0
-            for h in hashes[first:end]:
-                key = (key * _FACTOR + h) & _MASK
-            found.append((first, end, key))
-        first = end
-
-    for i, line in enumerate(lines):
-        # Counting spaces first spares most short lines the split.
-        if line.count(" ") + 1 >= passage_words and len(line.split()) >= passage_words:
-            close(i)
-            found.append((i, i + 1, hashes[i]))
-            first = i + 1
-        elif i > first and (rolled := ((hashes[i - 1] * _FACTOR + hashes[i]) & _MASK) >> 32) % ENDS_ONE_IN == 0:
-            close(i + 1)
-    close(len(lines))
-    return found
+            found.append((text, first, end))
+    text, first, last = np.array(found, np.int64).reshape(-1, 3).T
+    keys = [_digest(raw[a:b], 32) for a, b in zip(starts[first].tolist(), stops[last - 1].tolist(), strict=True)]
+    return text, first - lines_at[text], last - lines_at[text], keys
 
 
 def words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -97,14 +112,14 @@ def words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _parts(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts in ranges: number of the first, bytes with a line break after each, words, first word of each."""
+def _parts(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts in ranges: number of the first, bytes with a line break after each, words, first word and first byte of each."""
     data, offsets = text_bytes(column)
     for first, last in parts(offsets, RANGE_BYTES):
         raw = b"\n".join([data[a:b].tobytes() for a, b in zip(offsets[first:last], offsets[first + 1:last + 1], strict=True)] + [b""])
         bounds = offsets[first:last + 1] - offsets[first] + np.arange(last - first + 1)
         begin, end = words(raw)
-        yield first, raw, begin, end, np.searchsorted(begin, bounds)
+        yield first, raw, begin, end, np.searchsorted(begin, bounds), bounds
 
 
 def _segments(raw: bytes, begin: np.ndarray, end: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -113,14 +128,20 @@ def _segments(raw: bytes, begin: np.ndarray, end: np.ndarray, at: np.ndarray, wi
     if len(begin) < window:
         return none, none, none, np.zeros(0, U)
     data = np.frombuffer(raw, np.uint8)
-    powers = np.cumprod(np.full(len(data), _FACTOR, U), dtype=U)
-    inverse = np.cumprod(np.full(len(data), pow(_FACTOR, -1, 1 << 64), U), dtype=U)
-    sums = np.concatenate([np.zeros(1, U), np.cumsum(_BYTES[data] * powers, dtype=U)])
+    powers, inverse = _POWERS, _INVERSE
+    if len(data) > len(powers):
+        powers, inverse = (np.cumprod(np.full(len(data), x, U), dtype=U) for x in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
+    sums = np.zeros(len(data) + 1, U)
+    values = _BYTES[data]
+    values *= powers[:len(data)]
+    np.cumsum(values, out=sums[1:])
     h = mix((sums[end] - sums[begin]) * inverse[begin])
     group = 1
     while group * 2 <= window // 3:
-        h = mix(h[:-group] * U(_FACTOR) + h[group:])
+        # A power for each place in a group.
+        h = h[:-group] * powers[group - 1] + h[group:]
         group *= 2
+    h = mix(h)
     grams, reach = window - group + 1, 1
     while reach < grams:
         step = min(reach, grams - reach)
@@ -136,35 +157,56 @@ def _segments(raw: bytes, begin: np.ndarray, end: np.ndarray, at: np.ndarray, wi
     return owner[valid[heads]], valid[heads], np.diff(heads, append=len(valid)), h[valid[heads]]
 
 
-def _digest(raw: bytes) -> bytes:
-    return blake2b(raw, digest_size=16).digest()
+def _digest(raw: bytes, size: int = 16) -> bytes:
+    return blake2b(raw, digest_size=size).digest()
+
 
+def _listed(whole: DataFrame, window: int) -> DataFrame:
+    """One row for the segments and the chunks of lines of a batch of texts, or a few rows.
 
-def _passages(whole: DataFrame, window: int) -> DataFrame:
-    """``doc_id, tag, place, n``: ``n`` windows from word ``place`` on that occur before, in another text or apart in this one."""
+    ``docs, tags, counts`` are the texts with segments and how many each has, ``h, place, n, key`` the
+    segments' hashes, places, windows and digests.
+    """
     kind = whole.schema["doc_id"].dataType.simpleString()
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The segments of a batch of texts in a row, or a few: texts, segments of each, and their hashes, places, sizes and digests."""
         for batch in batches:
-            owners, found, keys = [], [], []
-            for first, raw, begin, end, at in _parts(batch.column("text")):
+            owners, found, keys, lines, line_keys = [], [], [], [], []
+            for first, raw, begin, end, at, bounds in _parts(batch.column("text")):
                 owner, start, n, h = _segments(raw, begin, end, at, window)
                 keys += [_digest(raw[a:b]) for a, b in zip(begin[start].tolist(), end[start + n + window - 2].tolist(), strict=True)]
                 owners.append(owner + first)
                 found.append((h.view(np.int64), (start - at[owner]).astype(np.int32), n.astype(np.int32)))
+                text, begins, ends, more = _chunks(raw, begin, bounds, window)
+                lines.append((text + first, begins.astype(np.int32), ends.astype(np.int32)))
+                line_keys += more
             owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-            for i in range(0, len(owner), LIST_SEGMENTS):
+            for i in range(0, max(len(owner), len(line_keys)), LIST_SEGMENTS):
                 own = slice(i, i + LIST_SEGMENTS)
                 texts, counts = np.unique(owner[own], return_counts=True)
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column(c).take(pa.array(texts))) for c in ("doc_id", "tag")]
                 blobs = [counts.astype(np.int32), *(np.concatenate(x)[own] for x in zip(*found, strict=True))]
                 blobs = [pa.array([x.tobytes()], pa.binary()) for x in blobs]
+                text, begins, ends = (pa.array(np.concatenate(x)[own]) for x in zip(*lines, strict=True))
+                chunk = [batch.column("doc_id").take(text), batch.column("tag").take(text), begins, ends, pa.array(line_keys[own], pa.binary())]
+                chunk = pa.StructArray.from_arrays(chunk, names=["doc_id", "tag", "first", "last", "key"])
+                chunk = pa.ListArray.from_arrays(pa.array([0, len(chunk)], pa.int32()), chunk)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([uuid4().bytes], pa.binary()), *lists, *blobs, pa.array([b"".join(keys[own])], pa.binary())],
-                    names=["part", "docs", "tags", "counts", "h", "place", "n", "key"],
+                    [pa.array([uuid4().bytes], pa.binary()), *lists, *blobs, pa.array([b"".join(keys[own])], pa.binary()), chunk],
+                    names=["part", "docs", "tags", "counts", "h", "place", "n", "key", "chunks"],
                 )
 
+    lists = f"part binary, docs array<{kind}>, tags array<long>, counts binary, h binary, place binary, n binary, key binary"
+    return materialise(whole.mapInArrow(listed, f"{lists}, chunks array<struct<doc_id:{kind},tag:long,first:int,last:int,key:binary>>"), "segments")
+
+
+def _passages(whole: DataFrame, placed: DataFrame, window: int) -> DataFrame:
+    """``doc_id, tag, place, n``: ``n`` windows from word ``place`` on that occur before, in another text or apart in this one.
+
+    ``placed`` are the lists of ``whole``; they are discarded.
+    """
+    kind = whole.schema["doc_id"].dataType.simpleString()
+
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The hashes of a list by bucket, more than once if there is something to compare within it."""
         for batch in batches:
@@ -213,19 +255,17 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Digests of the windows of each piece in a row; those of hot pieces in rows of their own."""
         for batch in batches:
-            asked = batch.column("asked").to_pylist()
-            for first, raw, begin, end, at in _parts(batch.column("text")):
-                texts, places, sizes, hashes, hots = [], [], [], [], []
-                for i in range(len(at) - 1):
-                    for piece in asked[first + i]:
-                        cuts = range(piece["n"]) if piece["hot"] else (0,)
-                        texts += [i] * len(cuts)
-                        places += [piece["place"] + c for c in cuts]
-                        sizes += [1 if piece["hot"] else piece["n"]] * len(cuts)
-                        hashes += [piece["h"]] * len(cuts)
-                        hots += [piece["hot"]] * len(cuts)
-                texts, sizes = np.array(texts, np.int64), np.array(sizes, np.int64)
-                word = _ranges(at[texts] + np.array(places, np.int64), sizes)
+            counts = pc.list_value_length(batch.column("asked")).to_numpy()
+            pieces = batch.column("asked").flatten()
+            piece_at = np.append(0, np.cumsum(counts))
+            place, n, h, hot = (pc.struct_field(pieces, c).to_numpy(zero_copy_only=False) for c in ("place", "n", "h", "hot"))
+            for first, raw, begin, end, at, _ in _parts(batch.column("text")):
+                own = slice(piece_at[first], piece_at[first + len(at) - 1])
+                rows = np.where(hot[own], n[own], 1).astype(np.int64)
+                texts = np.repeat(np.repeat(np.arange(len(at) - 1), counts[first:first + len(at) - 1]), rows)
+                places, hashes, hots = _ranges(place[own].astype(np.int64), rows), np.repeat(h[own], rows), np.repeat(hot[own], rows)
+                sizes = np.repeat(np.where(hot[own], 1, n[own]).astype(np.int64), rows)
+                word = _ranges(at[texts] + places, sizes)
                 keys = b"".join([_digest(raw[a:b]) for a, b in zip(begin[word].tolist(), end[word + window - 1].tolist(), strict=True)])
                 cuts = np.concatenate([[0], np.cumsum(sizes) * 16]).tolist()
                 texts = pa.array(texts + first)
@@ -269,13 +309,11 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
 
     # Equal words that overlap in one text do not repeat each other.
     apart = F.expr(f"doc_id <> first.doc_id or tag <> first.tag or place >= first.place + {window}")
-    lists = f"part binary, docs array<{kind}>, tags array<long>, counts binary, h binary, place binary, n binary, key binary"
-    placed = materialise(whole.mapInArrow(listed, lists), "segments")
     # A hash that stands once has nothing to compare, unless its segment is long enough to repeat itself.
     parted = -(-(placed.agg(F.sum(F.octet_length("h"))).first()[0] or 0) // (8 * BUCKET_HASHES)) or 1
     sent = placed.select("part", "h", "n").mapInArrow(dealt, "bucket long, part binary, hashes binary")
     several = sent.groupBy("bucket").applyInArrow(met, "part binary, hashes binary").where("octet_length(hashes) > 0")
-    several = placed.join(several.groupBy("part").agg(F.collect_list("hashes").alias("asked")), "part")
+    several = placed.drop("chunks").join(several.groupBy("part").agg(F.collect_list("hashes").alias("asked")), "part")
     shared = materialise(several.mapInArrow(chosen, f"doc_id {kind}, tag long, place int, n int, h long, key binary"), "shared-segments")
     discard(placed)
     known = stored_known = materialise(firsts(shared, ["h", "key"], F.max("n").alias("most")), "first-segments")
@@ -303,60 +341,61 @@ def _passages(whole: DataFrame, window: int) -> DataFrame:
     return judged.where("again").select("doc_id", "tag", "place", "n").unionByName(packed).unionByName(hot)
 
 
-def _without(text: str, dropped: set[int], cuts: list[tuple[int, int]], window: int) -> tuple[str, int]:
-    """The text without some lines and words, and the number of words that went besides those lines."""
-    lines = text.split("\n")
-    if not cuts:
-        left = [x for i, x in enumerate(lines) if i not in dropped]
-        return "\n".join(left) if any(x.strip() for x in left) else "", 0
-    raw = text.encode("utf-8", "surrogatepass")
-    begin, end = words(raw)
-    gone = np.zeros(len(begin) + 1, np.int64)
-    for place, n in cuts:
-        if place + n + window - 1 <= len(begin):
-            gone[place] += 1
-            gone[place + n + window - 1] -= 1
-    gone = np.cumsum(gone)[:-1] > 0
-    out, base, cut = [], 0, 0
-    begins, ends, covered = begin.tolist(), end.tolist(), gone.tolist()
-    breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
-    words_to = [*np.searchsorted(begin, breaks).tolist(), len(begins)]
-    gone_to = np.concatenate([[0], np.cumsum(gone)]).tolist()
-    word = 0
-    for i, line in enumerate(raw.split(b"\n")):
-        first, word, stop = word, words_to[i], base + len(line)
-        own = gone_to[word] - gone_to[first]
-        if i in dropped:
-            pass
-        elif not own:
-            # A blank line inside a passage goes with it.
-            if word > first or not (0 < first < len(begins) and covered[first - 1] and covered[first]):
-                out.append(line)
-        else:
-            cut += own
-            if own < word - first:
-                kept, at = [], base
-                for k in range(first, word):
-                    if covered[k]:
-                        continue
-                    if k > first and covered[k - 1]:
-                        # With words before, their end joins what separates the passage from the next word.
-                        kept.append(raw[ends[k - 1]:begins[k]] if kept else raw[base:begins[first]])
-                        at = begins[k]
-                    kept.append(raw[at:ends[k]])
-                    at = ends[k]
-                out.append(b"".join(kept) + raw[ends[word - 1]:stop])
-        base = stop + 1
-    left = b"\n".join(out)
-    return (left.decode("utf-8", "surrogatepass") if len(words(left)[0]) else ""), cut
-
-
-def _signed(key: int) -> int:
-    return key - (1 << 64) if key >> 63 else key
-
-
-def _cut(text: str, chunk: tuple[int, int, int]) -> str:
-    return "\n".join(text.split("\n")[chunk[0]:chunk[1]])
+def _without(
+    raw: bytes, begin: np.ndarray, end: np.ndarray, at: np.ndarray, bounds: np.ndarray,
+    dropped: tuple[np.ndarray, np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray, np.ndarray], window: int,
+) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Texts in a row without some lines and words; lines that went, and words that went besides those.
+
+    ``dropped`` and ``cuts`` are texts, places in them and numbers of lines and of windows.
+    """
+    starts, stops, lines_at = _lines(raw, bounds)
+
+    def covered(which: tuple[np.ndarray, np.ndarray, np.ndarray], first: np.ndarray, more: int) -> np.ndarray:
+        text, place, n = which
+        fits = place + n + more <= first[text + 1] - first[text]
+        place, n = (first[text] + place)[fits], n[fits] + more
+        edges = np.bincount(place, minlength=first[-1] + 1) - np.bincount(place + n, minlength=first[-1] + 1)
+        return np.cumsum(edges)[:-1] > 0
+
+    drop, gone = covered(dropped, lines_at, 0), covered(cuts, at, window - 1)
+    word_at = np.searchsorted(begin, np.append(starts, len(raw)))
+    first_word, after = word_at[:-1], word_at[1:]
+    gone_to = np.append(0, np.cumsum(gone))
+    lost, size = np.diff(gone_to[word_at]), after - first_word
+    owner = np.repeat(np.arange(len(lines_at) - 1), np.diff(lines_at))
+    # A blank line inside a passage goes with it.
+    inside = np.zeros(len(stops), bool)
+    blank = np.flatnonzero((size == 0) & (first_word > at[owner]) & (first_word < at[owner + 1]))
+    inside[blank] = gone[first_word[blank] - 1] & gone[first_word[blank]]
+    # A text of which no word is left is empty.
+    words_left = np.bincount(owner, np.where(drop, 0, size - lost), len(lines_at) - 1)
+    stays = ~drop & ~inside & ((size == 0) | (lost < size)) & (words_left[owner] > 0)
+    kept = np.zeros(len(raw) + 1, np.int8)
+
+    def keep(first: np.ndarray, last: np.ndarray) -> None:
+        kept[first] += 1
+        kept[last] -= 1
+
+    plain, parted = np.flatnonzero(stays & (lost == 0)), np.flatnonzero(stays & (lost > 0))
+    keep(starts[plain], stops[plain])
+    # A line break stands before each line but the first that stays.
+    follows = np.flatnonzero(stays)
+    follows = follows[:-1][owner[follows[1:]] == owner[follows[:-1]]]
+    keep(stops[follows], stops[follows] + 1)
+    word = _ranges(first_word[parted], size[parted])
+    line = np.repeat(parted, size[parted])[~gone[word]]
+    word = word[~gone[word]]
+    keep(begin[word], end[word])
+    # What separates a word from the one before stays with it; the first that stays begins as its line did.
+    later = word[1:][line[1:] == line[:-1]]
+    keep(end[later - 1], begin[later])
+    keep(starts[parted], begin[first_word[parted]])
+    keep(end[after[parted] - 1], stops[parted])
+    mask = np.cumsum(kept[:-1], dtype=np.int8) > 0
+    offsets = np.append(0, np.cumsum(np.add.reduceat(mask, bounds[:-1], dtype=np.int64))).astype(np.int32)
+    left = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(np.frombuffer(raw, np.uint8)[mask]))
+    return left, np.add.reduceat(drop, lines_at[:-1], dtype=np.int64), np.bincount(owner, np.where(drop, 0, lost), len(lines_at) - 1).astype(np.int64)
 
 
 def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
@@ -369,48 +408,15 @@ def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Data
     text count as one document. A line break that ends a removed chunk goes with it.
     """
     python_tasks(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                (doc, tag, i, _signed(c[2]))
-                for doc, tag, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-                for i, c in enumerate(chunks(text, passage_words))
-            ]
-            ids, tags, places, found = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(tags, pa.int64()), pa.array(places, pa.int32()), pa.array(found, pa.int64())],
-                names=["doc_id", "tag", "place", "key"],
-            )
-
-    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, tag, text, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                own = chunks(text, passage_words)
-                rows += [(doc, tag, p, _signed(own[p][2]), _cut(text, own[p])) for p in places if p < len(own)]
-            ids, tags, places, found, texts = zip(*rows, strict=True) if rows else ((), (), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(tags, pa.int64()), pa.array(places, pa.int32()), pa.array(found, pa.int64()), pa.array(texts, pa.string())],
-                names=["doc_id", "tag", "place", "key", "chunk"],
-            )
-
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     whole = texts.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("tag"), "text")
-    placed = materialise(whole.mapInArrow(keys, f"doc_id {kind}, tag long, place int, key long"), "line-chunks")
-    repeated = placed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "place")).alias("first")).where("n > 1")
-    repeated = materialise(repeated.select("key", "first"), "repeated-chunks")
-    asked = placed.join(repeated.select("key"), "key").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
-    held = whole.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "places")
-    held = materialise(held.mapInArrow(contents, f"doc_id {kind}, tag long, place int, key long, chunk string"), "chunk-texts")
-    discard(placed)
-    first = held.join(repeated.select("key", "first.*"), ["key", "doc_id", "tag", "place"]).select(
-        "key", F.col("chunk").alias("first_chunk"), F.struct("doc_id", "tag", "place").alias("first")
-    ).dropDuplicates(["key"])
-    same = held.join(first, "key").where("chunk = first_chunk and struct(doc_id, tag, place) <> first")
-    # A chunk has no windows in this list.
-    gone = same.select("doc_id", "tag", "place", F.lit(0).alias("n")).unionByName(_passages(whole, passage_words))
+    placed = _listed(whole, passage_words)
+    each = placed.select(F.explode("chunks").alias("chunk")).select("chunk.*")
+    repeated = each.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "first")).alias("stays")).where("n > 1")
+    same = each.join(repeated, "key").where("struct(doc_id, tag, first) <> stays")
+    # Lines stand in this list with a negative number, windows with a positive one.
+    same = materialise(same.select("doc_id", "tag", F.col("first").alias("place"), F.expr("first - last").alias("n")), "repeated-chunks")
+    gone = same.unionByName(_passages(whole, placed, passage_words))
     gone = gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "n")).alias("__gone"))
 
     names = docs.columns
@@ -420,20 +426,25 @@ def remove_repeated(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> Data
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, lines, removed, cut = [], [], [], []
-            for text, pieces in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
-                lines.append(text.count("\n") + 1 if text else 0)
-                drop, n = set(), 0
-                if pieces:
-                    found = chunks(text, passage_words) if any(not x["n"] for x in pieces) else []
-                    drop = {i for x in pieces if not x["n"] for i in range(*found[x["place"]][:2])}
-                    text, n = _without(text, drop, [(x["place"], x["n"]) for x in pieces if x["n"]], passage_words)
-                removed.append(len(drop))
-                cut.append(n)
-                out.append(text)
-            columns = [pa.array(out, pa.string()) if n == "text" else batch.column(n) for n in kept]
-            counts = [pa.array(x, pa.int64()) for x in (lines, removed, cut)]
-            yield pa.RecordBatch.from_arrays([*columns, *counts], names=[*kept, "n_lines", "n_removed", "n_cut"])
+            text, pieces = batch.column("text"), batch.column("__gone")
+            lines = pc.add(pc.count_substring(text, "\n"), 1).cast(pa.int64())
+            lines = pc.if_else(pc.equal(pc.fill_null(pc.binary_length(text), 0), 0), 0, lines)
+            changed = pc.is_valid(pieces)
+            at = np.flatnonzero(changed.to_numpy(zero_copy_only=False))
+            removed, cut = np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
+            if len(at):
+                pieces, out = pieces.take(pa.array(at)), []
+                owner = np.repeat(np.arange(len(at)), pc.list_value_length(pieces).to_numpy())
+                place, n = (pc.struct_field(pieces.flatten(), c).to_numpy().astype(np.int64) for c in ("place", "n"))
+                for first, raw, begin, end, words_at, bounds in _parts(text.take(pa.array(at))):
+                    own = slice(*np.searchsorted(owner, [first, first + len(bounds) - 1]))
+                    which = [(owner[own][x] - first, place[own][x], abs(n[own][x])) for x in (n[own] < 0, n[own] > 0)]
+                    left, dropped, went = _without(raw, begin, end, words_at, bounds, *which, passage_words)
+                    out.append(left)
+                    removed[at[first:first + len(left)]], cut[at[first:first + len(left)]] = dropped, went
+                text = pc.replace_with_mask(text, changed, pa.concat_arrays(out))
+            columns = [text if n == "text" else batch.column(n) for n in kept]
+            yield pa.RecordBatch.from_arrays([*columns, lines, pa.array(removed), pa.array(cut)], names=[*kept, "n_lines", "n_removed", "n_cut"])
 
     gone = gone.withColumnRenamed("doc_id", "__doc").withColumnRenamed("tag", "__tag")
     source = docs.select(*[F.col(n).cast("string").alias(n) if n == "text" else F.col(n) for n in names])

@@ -358,3 +358,39 @@ def test_words_end_at_every_space():
     for text in [x.join(["", "é", "日本", "a\u200bb", ""]) for x in wide] + ["".join(wide), "Â", "â\u2027", "ends \u3000", ""]:
         raw = text.encode()
         assert [raw[a:b].decode() for a, b in zip(*line_chunks.words(raw), strict=True)] == text.split()
+
+
+def test_texts_meet_python_three_times(spark, monkeypatch):
+    """One pass lists chunks and segments, one makes windows, one rewrites; chunks of lines are not stored as texts."""
+    passes, stored = [], {}
+
+    def spy(df, label, *more):
+        stored[label] = materialise(df, label, *more)
+        return stored[label]
+
+    kind = type(spark.range(0))
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *more, **named: passes.append(self.columns) or run(self, f, *more, **named))
+    monkeypatch.setattr(line_chunks, "materialise", spy)
+    lines = "\n".join(f"line {i} of a passage" for i in range(30))
+    rows = [(1, f"{lines}\nend"), (2, f"two\n{LONG}"), (3, f"three\n{lines}\n{LONG}\nthree"), (4, None)]
+    left = {r.doc_id: (r.text, r.n_lines, r.n_removed > 0) for r in line_chunks.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left == {1: (rows[0][1], 31, False), 2: (rows[1][1], 2, False), 3: ("three\nthree", 33, True), 4: (None, 0, False)}
+    assert sum("text" in x for x in passes) == 3
+    assert all("string" not in t for df in stored.values() for _, t in df.dtypes)
+
+
+def test_spaces_and_blank_lines_around_what_is_cut(spark):
+    """Texts that are cut together keep the spaces of their own words and lines; a row without an id keeps all."""
+    wide = "　".join(f"w{i}" for i in range(55))
+    rows = [
+        (0, f"{LONG}\n{wide}\n"),
+        (1, f"\t {LONG}  tail é \n\n \nlast　"), (2, f"one\xa0two  {wide}　 \n\n{LONG}"), (3, f" \n{wide} \n\n {LONG}\n "),
+        (4, f"a\n\n{LONG}\n\nb\n"), (5, "untouched \n\n text"), (None, LONG),
+    ]
+    left = {r.doc_id: (r.text, r.n_removed, r.n_cut) for r in line_chunks.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert left[0] == (rows[0][1], 0, 0) and left[5] == (rows[5][1], 0, 0) and left[None] == (LONG, 0, 0)
+    assert left[1] == ("\t tail é \n\n \nlast　", 0, 60)
+    assert left[2] == ("one\xa0two　 ", 1, 55)
+    assert left[3][0] == ""
+    assert left[4] == ("a\n\n\nb\n", 1, 0)
