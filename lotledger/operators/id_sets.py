@@ -17,6 +17,10 @@ from lotledger.operators.id_filter import holds
 #: Ids of one bitmap, a fixed value of the bitmap functions.
 RANGE = 32768
 _WORD = 8  # bytes
+#: Ids that a range has to hold for its bitmap to take 8 bytes an id at most.
+FULL = 512
+#: Bitmaps that every task is sent: 16 MB whatever the number of ids.
+SENT = 4096
 
 
 def id_set(ids: DataFrame, key: str = "id") -> DataFrame:
@@ -26,6 +30,19 @@ def id_set(ids: DataFrame, key: str = "id") -> DataFrame:
         F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
 
 
+def split_full(ids: DataFrame, key: str = "id", least: int = FULL, most: int = SENT) -> tuple[DataFrame, DataFrame]:
+    """The set of the ids in the fullest ranges, at most ``most`` bitmaps, and the ids that are not in it.
+
+    ``ids`` are distinct; they are counted by range before any bitmap is made, so ids that lie far
+    apart cost no bitmaps. Null is among the other ids.
+    """
+    bucket = F.bitmap_bucket_number(F.col(key).cast("long"))
+    counted = ids.where(F.col(key).isNotNull()).groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("n"))
+    full = F.broadcast(counted.where(F.col("n") >= least).orderBy(F.desc("n"), "__bucket").limit(most).select("__bucket"))
+    same = bucket == F.col("__bucket")
+    return id_set(ids.join(full, same, "left_semi"), key), ids.join(full, same, "left_anti")
+
+
 def merge_sets(*sets: DataFrame) -> DataFrame:
     """The union of sets."""
     united = reduce(DataFrame.unionAll, [s.select("bucket", "bits") for s in sets])

@@ -2,41 +2,58 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lotledger.operators.id_sets import rows_outside, split_full
 from lotledger.plans import jobs
 from lotledger.schemas import ERROR_IDS
-from lotledger.session import materialise
+from lotledger.session import discard, materialise
 from lotledger.sources.writers import split_ok_error
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _BEFORE = "timestamp_seconds(0)"
 _COUNTED = T.StructType([T.StructField("stored", T.LongType())])
+_RANGES = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("bits", T.BinaryType())])
 
 
 def _store_known(done: DataFrame, failed: DataFrame, root: str) -> None:
-    """Ids stored or failed before the first run, the first source of the state; kept once batches are planned."""
+    """Ids stored or failed before the first run, kept once batches are planned.
+
+    Those in well filled ranges are bitmaps, by which their pages are left out where they are
+    scanned; the others are the first source of the state.
+    """
     spark = done.sparkSession
     planned = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/progress/offsets")
     if not planned.getFileSystem(spark._jsc.hadoopConfiguration()).exists(planned):
-        done.select("id").unionAll(failed.select("id")).distinct().write.mode("overwrite").parquet(f"{root}/known")
+        known = materialise(done.select("id").unionAll(failed.select("id")).distinct(), "known-ids")
+        ranges, others = split_full(known)
+        ranges.write.mode("overwrite").parquet(f"{root}/ranges")
+        others.write.mode("overwrite").parquet(f"{root}/known")
+        discard(known)
 
 
-def _first_seen(pages: DataFrame, known_path: str) -> DataFrame:
+def _first_seen(pages: DataFrame, root: str) -> DataFrame:
     """Per id the time of the first batch that had it, its best row in that batch, and the last time.
 
-    Fields are extracted where pages are read, so that only short rows reach the state. Known
-    ids, all of them in the first batch, count as seen before any page.
+    Fields are extracted where pages are read, so that only short rows reach the state, and only
+    from ids that are not known. Known ids that are no bitmaps, all of them in the first batch,
+    count as seen before any page. A row that lacks a field fails whatever its others are: they
+    are not looked for where a page is missing, and do not go into the state.
     """
     spark = pages.sparkSession
-    fields = jobs.report_pair_fields(pages)
+    both = F.col("inspection").isNotNull() & F.col("accident").isNotNull()
+    unknown = rows_outside(pages, F.broadcast(spark.read.schema(_RANGES).parquet(f"{root}/ranges")))
+    fields = jobs.report_pair_fields(unknown.withColumns({c: F.when(both, F.col(c)) for c in ("inspection", "accident")}))
     names = [c for c in fields.columns if c != "id"]
-    missing = sum((F.col(c).isNull().cast("int") for c in names), F.lit(0))
-    arrived = fields.select("id", F.current_timestamp().alias("arrived"), missing.alias("missing"), *names)
-    known = spark.readStream.schema(ERROR_IDS).parquet(known_path).select(
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in names])
+    arrived = fields.select(
+        "id", F.current_timestamp().alias("arrived"), (~complete).cast("int").alias("missing"), *[F.when(complete, F.col(c)).alias(c) for c in names])
+    known = spark.readStream.schema(ERROR_IDS).parquet(f"{root}/known").select(
         "id", F.expr(_BEFORE).alias("arrived"), F.lit(0).alias("missing"), *[F.lit(None).cast("string").alias(c) for c in names])
     return known.unionAll(arrived).groupBy("id").agg(
         F.min(F.struct("arrived", "missing", *names)).alias("first"), F.max("arrived").alias("last"))
@@ -84,7 +101,7 @@ def collect_stream(
         bad.write.mode("overwrite").parquet(f"{root}/failed/batch={number}")
 
     return (
-        _first_seen(pages, f"{root}/known").writeStream.outputMode("update").foreachBatch(one_batch)
+        _first_seen(pages, root).writeStream.outputMode("update").foreachBatch(one_batch)
         .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()

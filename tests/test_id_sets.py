@@ -64,3 +64,14 @@ def test_a_second_run_shuffles_bitmaps_and_no_stored_ids(spark):
 @pytest.mark.parametrize("copies", [1, 1000])
 def test_copies_of_an_id_are_one(spark, copies):
     assert id_sets.id_set(frame(spark, [5] * copies)).selectExpr("bitmap_count(bits) AS n").first().n == 1
+
+
+def test_only_full_ranges_become_bitmaps(spark):
+    ids = spark.range(-40, 40).select("id").unionAll(spark.createDataFrame([(10**12,), (2**40,), (None,)], "id long")).unionAll(
+        spark.range(40_000, 40_100).select("id"))
+    full, others = id_sets.split_full(ids, least=40, most=2)
+    assert sorted(r.bucket for r in full.collect()) == [0, 2]
+    # The range with the ids from 1 to 39 holds too few, and two others hold more.
+    assert {r.id for r in others.collect()} == {*range(1, 40), 10**12, 2**40, None}
+    left = id_sets.rows_outside(ids, full)
+    assert sorted(left.collect(), key=str) == sorted(others.collect(), key=str)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lotledger.catalogue import ORACLES, QUERIES, collect, common
 from lotledger.plans import jobs, vehicle_tables as vt
 from lotledger.schemas import COLLECTED, ERROR_IDS
-from lotledger.streaming.collect import collect_stream
+from lotledger.streaming.collect import _first_seen, collect_stream
 
 FEATURES = [
     "total_loss", "damaged_count", "damaged_total", "damaged_by_other_count", "mileage", "tuning_history",
@@ -184,6 +184,28 @@ def test_a_batch_reads_nothing_that_earlier_ones_wrote(spark, prices, tmp_path):
     assert run(ids(spark)) == ([5], [6])
 
 
+def test_pages_of_known_ids_are_left_out_where_they_are_scanned(spark, prices, tmp_path):
+    pages = report_pages(spark, broken={3})
+    landing, root = f"{tmp_path}/landing", f"{tmp_path}/out"
+    done = ids(spark, 1, 10**12, None).unionAll(spark.range(7, 700).select("id"))
+    far = pages.where("id = 2").withColumn("id", F.lit(10**12)).unionAll(pages.where("id = 2").withColumn("id", F.lit(None).cast("long")))
+
+    def run(known):
+        stream = spark.readStream.schema(pages.schema).parquet(landing)
+        collect_stream(stream, prices, known, ids(spark, 4), root, ("price",)).awaitTermination()
+        return found(spark.read.schema(COLLECTED).parquet(f"{root}/collected")), found(spark.read.schema(ERROR_IDS).parquet(f"{root}/failed")), stream
+
+    pages.unionAll(far).write.parquet(landing)
+    collected, failed, stream = run(done)
+    assert (collected, failed) == ([2, 5, 6], [3])
+    # The state is given only ids that lie far apart; bitmaps of the others are applied before any page is worked on.
+    assert {r.id for r in spark.read.schema(ERROR_IDS).parquet(f"{root}/known").collect()} == {10**12, None}
+    plan = _first_seen(stream, root)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("LeftAnti") == 1 and plan.index("Generate") < plan.rindex("Generate") < plan.index("LeftAnti")
+    pages.unionAll(far).write.mode("append").parquet(landing)
+    assert run(ids(spark))[:2] == ([2, 5, 6], [3])
+
+
 def test_the_most_complete_page_of_a_batch_counts(spark, prices, tmp_path):
     pages = report_pages(spark)
     worse = pages.withColumn("accident", F.lit(None).cast("string"))
