@@ -14,6 +14,8 @@ from lotledger.streaming.collect import collect_stream
 
 TARGET_SHARE = 0.6
 PRICE_ORDER = ("price",)  # ids have one price each here
+#: Bytes of pages that are read by one task: they compress well and take long to work on.
+ROW_GROUP = 4 << 20
 
 
 def _stores(spark, sf_dir):
@@ -56,7 +58,7 @@ def _streamed(spark, sf_dir):
     root = new_location(spark, "stream")
     prices = vt.price(spark, sf_dir)
     pages = vt.report_pairs(spark, sf_dir, 16)
-    pages.write.parquet(f"{root}/pages")
+    pages.write.option("parquet.block.size", ROW_GROUP).parquet(f"{root}/pages")
     stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/pages")
     collect_stream(stream, prices, *_stores(spark, sf_dir), root, PRICE_ORDER).awaitTermination()
     return root

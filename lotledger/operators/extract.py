@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.functions.text import blank_to_null, first_token
-from lotledger.operators.nesting import BLOCKS, LISTING_BLOCKS, element, inside, marked, unmarked
+from lotledger.operators.nesting import BLOCKS, LISTING_BLOCKS, LISTS, cut, cut_text, element, flat, inside, marked, unmarked
 from lotledger.schemas import NO_RESULTS_TEXT, NOT_AVAILABLE, RESERVED_TEXT
 
 #: A node inside another one is found too: what is matched is only looked at ahead.
@@ -109,6 +110,11 @@ def _once(pages: DataFrame, keep: list[str], columns: dict[str, Column]) -> Data
     return pages.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def _let(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
 def _decoded(part: Column) -> Column:
     """The character of an entity; unknown ones and plain text stay."""
     digits = F.regexp_extract(part, "^&#[xX]?([0-9a-fA-F]+);$", 1)
@@ -132,7 +138,7 @@ def inner_text(node: Column) -> Column:
         parts = F.regexp_extract_all(text, F.lit(ENTITY_PARTS), F.lit(0))
         return F.when(text.contains("&"), F.array_join(F.transform(parts, _decoded), "")).otherwise(text)
 
-    return F.get(F.transform(F.array(plain), decoded), F.lit(0))  # the plain text is worked out once
+    return _let(plain, decoded)
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -149,6 +155,15 @@ def _marked_pages(pages: DataFrame, keep: list[str], html: str, sought: tuple[st
     return _once(clean, keep, {"__page": marked(F.col("__clean"), sought, tags)})
 
 
+def _list_pages(pages: DataFrame, keep: list[str], html: str) -> DataFrame:
+    """``__page`` as :func:`_marked_pages` gives it for lists and items, and whether it is ``__flat``."""
+    def told(clean: Column) -> Column:
+        return _let(flat(clean), lambda is_flat: F.struct(
+            is_flat.alias("__flat"), F.when(is_flat, clean).otherwise(marked(clean, LISTS)).alias("__page")))
+
+    return pages.select(*keep, F.inline(F.array(_let(_without_comments(F.col(html)), told))))
+
+
 def extract_fields(
     pages: DataFrame, fields: dict[str, list[Step]], keep: list[str], html: str = "html"
 ) -> DataFrame:
@@ -156,36 +171,58 @@ def extract_fields(
 
     The steps of all fields form a tree. It is gone down level by level: of a node only what
     a field lies in is matched, once for all fields that share it, and only the text of the
-    chosen nodes is worked out.
+    chosen nodes is worked out. On flat pages lists and items are cut out without patterns.
     """
     depth = max(len(steps) for steps in fields.values())
     patterns = {step.pattern for steps in fields.values() for step in steps}
     own = patterns <= {*ELEMENTS, *TEXT_NODES}  # other patterns see the page as it is
     sought = tuple(tag for pattern, tag in ELEMENTS.items() if pattern in patterns)
-    level = _marked_pages(pages, keep, html, sought) if own else _once(pages, keep, {"__page": F.col(html)})
+    lists = own and set(sought) == set(LISTS)
+    if lists:
+        level = _list_pages(pages, keep, html)
+    else:
+        level = _marked_pages(pages, keep, html, sought) if own else _once(pages, keep, {"__page": F.col(html)})
+    wanted, keep = keep, [*keep, "__flat"] if lists else keep
     columns: dict[tuple, str] = {}
 
     def node(steps: tuple[Step, ...]) -> Column:
         if not steps:
             return F.col("__page")
-        chosen = F.get(F.col(columns[steps[:-1], steps[-1].pattern]), F.lit(steps[-1].position - 1))
-        return inside(chosen) if steps[-1].pattern in ELEMENTS else chosen
+        found, place = F.col(columns[steps[:-1], steps[-1].pattern]), steps[-1].position - 1
+        if steps[-1].pattern not in ELEMENTS:
+            return F.get(found, F.lit(place))
+        whole = inside(F.get(found, F.lit(place)))
+        return F.when(F.col("__flat"), F.get(found, F.lit(2 * place + 1))).otherwise(whole) if lists else whole
+
+    def matches(parent: Column, pattern: str, last: int) -> Column:
+        """All matches, or as far as the last that a field lies in where that is simple."""
+        if pattern not in ELEMENTS:
+            return _all(parent, pattern)
+        found = F.array(F.nullif(F.regexp_extract(parent, pattern, 0), F.lit(""))) if last == 1 else _all(parent, pattern)
+        return F.when(F.col("__flat"), cut(parent, ELEMENTS[pattern], last)).otherwise(found) if lists else found
 
     for d in range(depth):
-        sought = dict.fromkeys((tuple(s[:d]), s[d].pattern) for s in fields.values() if len(s) > d)
-        found = {f"__level{d}_{i}": _all(node(prefix), pattern) for i, (prefix, pattern) in enumerate(sought)}
+        sought: dict[tuple, int] = {}
+        for s in fields.values():
+            if len(s) > d:
+                at = tuple(s[:d]), s[d].pattern
+                sought[at] = max(sought.get(at, 1), s[d].position)
+        found = {f"__level{d}_{i}": matches(node(prefix), pattern, last) for i, ((prefix, pattern), last) in enumerate(sought.items())}
         # Matches of earlier levels go on while a field ends there.
         ended = dict.fromkeys(columns[tuple(s[:-1]), s[-1].pattern] for s in fields.values() if len(s) <= d)
         level = _once(level, [*keep, *ended], found)
         columns |= dict(zip(sought, found, strict=True))
 
     nodes = {name: node(tuple(steps)) for name, steps in fields.items()}
+    if lists:
+        nodes |= {name: F.when(F.col("__flat"), cut_text(nodes[name])).otherwise(nodes[name])
+                  for name, steps in fields.items() if steps[-1].pattern in ELEMENTS}
     texts = [name for name, steps in fields.items() if steps[-1].pattern in TEXT_NODES]
     if texts:  # one expression for all texts keeps plans small
         level = _once(level, [*keep, *dict.fromkeys(c for c in level.columns if c not in keep)], {
             "__texts": F.transform(F.array(*[nodes[name] for name in texts]), inner_text)})
         nodes |= {name: F.get("__texts", F.lit(i)) for i, name in enumerate(texts)}
-    return level.select(*keep, *[F.trim(chosen).alias(name) for name, chosen in nodes.items()])
+    return level.select(*wanted, *[F.trim(chosen).alias(name) for name, chosen in nodes.items()])
 
 
 def extract_labelled(

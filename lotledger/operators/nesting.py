@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 #: Elements fields lie in. Fixed by the page templates; ``div`` is for listings only.
 BLOCKS = ("ul", "ol", "li", "table", "tr", "td", "th")
 LISTING_BLOCKS = ("div",)
+LISTS = ("ul", "li")
 #: Levels that patterns follow without marks; pages that go deeper are marked.
 LEVELS = {"div": 24}
 OTHER_LEVELS = 6
@@ -41,6 +42,29 @@ def inside(whole: Column) -> Column:
     return F.regexp_extract(whole, r"(?s)^<[^>]*+>(.*)</", 1)
 
 
+def _flat() -> str:
+    """A page of lists that hold only items, and items that hold no list, with small tags."""
+    text = rf"[^<]*+(?:<(?!/?(?i:{'|'.join(LISTS)}))[^<]*+)*+"
+    start, end = (lambda tag: rf"<{tag}(?:\s[^<>]*+)?+>"), (lambda tag: rf"</{tag}\s*+>")
+    item = rf"{start('li')}{text}{end('li')}{text}"
+    return rf"\A{text}(?:{start('ul')}{text}(?:{item})*+{end('ul')}{text})*+\z"
+
+
+def flat(html: Column) -> Column:
+    """Whether lists and items can be cut out by plain text: nothing else on the page begins as their tags do."""
+    return html.rlike(_flat())
+
+
+def cut(node: Column, tag: str, last: int) -> Column:
+    """A flat page's node cut before every start and end tag, up to the element ``last``; the pieces 1, 3, 5 are in elements."""
+    return F.split(node, f"</?{tag}", 2 * last + 1)
+
+
+def cut_text(piece: Column) -> Column:
+    """The piece without the end of its start tag."""
+    return F.substring(piece, F.instr(piece, ">") + 1, F.length(piece))
+
+
 def _nested(*tags: str) -> str:
     """One of the tags that is opened again before it has ended, whether nested or left open."""
     again = "|".join(rf"{tag}(?=[\s/>])[^<]*+(?:<(?!/?{tag}[\s/>])[^<]*+)*+<{tag}[\s/>]" for tag in tags)

@@ -121,3 +121,61 @@ def test_marking_scans_a_page_once_unless_a_tag_is_in_another(spark):
     page = spark.createDataFrame([("<ul><li>a</li><li>b</li></ul>",)], "html string")
     assert not page.where(F.col("html").rlike(nesting._nested("ul", "li", "tr", "td"))).count()
     assert spark.range(1).select(F.lit("<tr><td><table><TD>x").rlike(nesting._nested("ul", "td"))).first()[0]
+
+
+PIECES = ["<ul>", "<ul class='a'>", "</ul>", "</ul >", "<ul title='<li>'>", "<UL>", "</UL>", "<ul/>", "</ulx>", "<li>", "<li\n>", "<li a='>'>", "</li>", "</li >", "<li/>", "<LI>",
+          "<link>", "</link>", "<!-- <li> -->", "<span>a</span>", "<span> b<b>c</b></span>", "<span></span>", "<SPAN x>d</SPAN >", "<span>", "</span>", "<strong>e</strong>", "x", "&amp;", ">", "<"]
+LIST_FIELDS = {
+    "item": [extract.Step(extract.LIST_ITEM, 2)], "block": [extract.Step(extract.LIST_BLOCK, 1)], "both": [extract.Step(extract.LIST_BLOCK, 2), extract.Step(extract.LIST_ITEM, 1)],
+    "title": [extract.Step(extract.STRONG_TEXT, 1)],
+    **{f"text{b}{i}{k}": [extract.Step(extract.LIST_BLOCK, b), extract.Step(extract.LIST_ITEM, i), extract.Step(extract.SPAN_TEXT, k)] for b in (1, 2) for i in (1, 3) for k in (1, 2)},
+    "inner": [extract.Step(extract.LIST_ITEM, 1), extract.Step(extract.LIST_BLOCK, 1), extract.Step(extract.SPAN_TEXT, 1)],
+}
+
+
+def random_page(random):
+    def some(most):
+        return "".join(random.choice(PIECES[16:-2]) if random.random() > 0.1 else "y" for _ in range(random.integers(most)))
+
+    def block():
+        return some(2) + random.choice(PIECES[:2]) + some(2) + "".join(random.choice(PIECES[9:11]) + some(4) + random.choice(PIECES[12:14]) for _ in range(random.integers(4))) + random.choice(PIECES[2:4])
+
+    page = "".join(block() for _ in range(random.integers(4))) + some(2)
+    if random.random() < 0.5:
+        at = random.integers(len(page) + 1)
+        page = page[:at] + random.choice(PIECES) + page[at:]
+    return page
+
+
+@pytest.mark.parametrize("fields", [LIST_FIELDS, {"first": LIST_FIELDS["text111"]}, {"item": LIST_FIELDS["both"], "title": LIST_FIELDS["title"]}])
+def test_flat_pages_give_the_same_fields(spark, fields, monkeypatch):
+    random = np.random.default_rng(5)
+    texts = [random_page(random) for _ in range(1500)] + [None, "", "<ul></ul>", "<ul><li></li></ul>"]
+    pages = spark.createDataFrame(list(enumerate(texts)), "id long, html string")
+    got = {r.id: r for r in extract.extract_fields(pages, fields, ["id"]).collect()}
+    told = {r.id: r.flat for r in pages.select("id", nesting.flat(extract._without_comments(F.col("html"))).alias("flat")).collect()}
+    assert len(got) == len(texts) and 300 < sum(map(bool, told.values())) < 1300
+    assert any(told[i] and all(v is not None for v in r) for i, r in got.items()) or len(fields) > 3
+    monkeypatch.setattr(extract, "_list_pages", lambda pages, keep, html: extract._marked_pages(pages, keep, html, nesting.LISTS).withColumn("__flat", F.lit(False)))
+    monkeypatch.setattr(extract, "cut", lambda node, tag, first: F.array(F.lit("wrong")))
+    for r in extract.extract_fields(pages, fields, ["id"]).collect():
+        assert r == got[r.id], texts[r.id]
+
+
+def test_flat_pages_are_told_and_may_be_long(spark):
+    long = "<ul>" + "<li><span>a</span><span>b</span></li>" * 30_000 + "</ul><ul><li><span>c</span></li></ul>"
+    want = {long: True, "<ul><li>a<ul></ul></li></ul>": False, "<ul><li>a<li>b</li></ul>": False, "<UL></UL>": False, "<ul><link></ul>": False, "<table><td>a</table>": True, "": True}
+    got = spark.createDataFrame([(p,) for p in want], "html string").select("html", nesting.flat(F.col("html")).alias("flat")).collect()
+    assert {r.html: r.flat for r in got} == want
+    field = {"last": [extract.Step(extract.LIST_BLOCK, 2), extract.Step(extract.LIST_ITEM, 1), extract.Step(extract.SPAN_TEXT, 1)]}
+    pages = spark.createDataFrame([(long,)], "html string")
+    assert extract.extract_fields(pages, field, []).first().last == "c"
+
+
+def test_flat_pages_need_no_list_patterns(spark, monkeypatch):
+    # Neither the depths of elements nor the patterns of lists and items are worked out on a flat page.
+    monkeypatch.setattr(extract, "marked", lambda *_: F.raise_error(F.lit("marked")).cast("string"))
+    monkeypatch.setattr(extract, "inside", lambda _: F.raise_error(F.lit("inside")).cast("string"))
+    pages = spark.createDataFrame([("<ul><li><span>a</span><span>b</span></li></ul>",)], "html string")
+    field = {"second": [extract.Step(extract.LIST_BLOCK, 1), extract.Step(extract.LIST_ITEM, 1), extract.Step(extract.SPAN_TEXT, 2)]}
+    assert extract.extract_fields(pages, field, []).first().second == "b"
